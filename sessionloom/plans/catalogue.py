@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import crossquery  # noqa: F401
+from . import crossquery, events  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

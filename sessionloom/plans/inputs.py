@@ -40,6 +40,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The event log with structured JSON payloads, built from the k value of each event.
+INPUT_SQL["px_log"] = """
+SELECT session_id, event_id, kind, client_ms, k,
+ concat('{"task_id":"', CASE WHEN n%10=0 THEN '' ELSE concat('task_', n%10) END, '","task_type":"', CASE WHEN n%2=0 THEN 'eye' ELSE 'breath' END,
+  '","element_id":"', k, '","input_modality":"voice","config":{"count":', n%7, ',"input_modality":"', CASE WHEN n%2=0 THEN 'voice' ELSE '' END,
+  '"},"element_content":{"element_type":"t', n%3, '","response_time_seconds":', n%3, ',"task_metadata":{"task_id":"', CASE WHEN n%10=0 THEN '' ELSE concat('task_', n%10) END,
+  '","current_count":', n%4, ',"config":{"response_time_seconds":', n%5, '}}}}') AS payload
+FROM (SELECT *, CAST(k AS INT) AS n FROM px_events)"""
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    task = "CASE WHEN n % 10 = 0 THEN '' ELSE concat('task_', n % 10) END"
+    return (
+        events(spark, sf_dir)
+        .withColumn("n", F.col("k").cast("int"))
+        .selectExpr(
+            "session_id",
+            "event_id",
+            "kind",
+            "client_ms",
+            "k",
+            f"""concat('{{"task_id":"', {task}, '","task_type":"', CASE WHEN n % 2 = 0 THEN 'eye' ELSE 'breath' END,
+            '","element_id":"', k, '","input_modality":"voice","config":{{"count":', n % 7, ',"input_modality":"',
+            CASE WHEN n % 2 = 0 THEN 'voice' ELSE '' END, '"}},"element_content":{{"element_type":"t', n % 3,
+            '","response_time_seconds":', n % 3, ',"task_metadata":{{"task_id":"', {task}, '","current_count":', n % 4,
+            ',"config":{{"response_time_seconds":', n % 5, '}}}}}}}}') AS payload""",
+        )
+    )
+
+
 # Elements: view/purchase events paired by (session, k), the last row of each wins.
 INPUT_SQL["px_elements"] = """
 SELECT s.session_id, concat(CASE WHEN CAST(s.k AS INT)%3=0 THEN 'open_' WHEN CAST(s.k AS INT)%3=1 THEN 'close_' ELSE 'intro_' END, s.k) AS element_id,
