@@ -129,3 +129,13 @@ def over_frames(
         .where(F.col("__own") == F.col("__block"))
         .drop("__own", "__block")
     )
+
+
+def first_k(df: DataFrame, keys: list[str], order: list, k: int, rank: str) -> DataFrame:
+    """The first ``k`` rows of every key with their 1-based rank.
+
+    Spark limits each input partition to ``k`` rows per key before the shuffle,
+    so a hot key sends only ``k`` rows per partition to its task.
+    """
+    w = Window.partitionBy(*_one_key(keys)).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)

@@ -279,7 +279,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Optical cells: one value of a channel in a frame; -inf marks unused channels.
 INPUT_SQL["px_cells"] = """
-SELECT l_suppkey AS file_id, l_orderkey AS frame, (l_partkey*97) % 248832 AS channel,
+SELECT l_suppkey AS file_id, l_orderkey AS frame, (l_linenumber % 6)*41472 + (l_partkey*97) % 41472 AS channel,
   CASE WHEN l_partkey % 11 = 0 OR (l_partkey % 3 > 0 AND l_returnflag = 'R') THEN CAST('-inf' AS DOUBLE)
        WHEN l_linenumber = 7 AND l_partkey % 3 = 1 THEN CAST('nan' AS DOUBLE)
        WHEN l_discount = 0 THEN 0.0::DOUBLE
@@ -291,7 +291,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey AS file_id",
         "l_orderkey AS frame",
-        "(l_partkey * 97) % 248832 AS channel",
+        "(l_linenumber % 6) * 41472 + (l_partkey * 97) % 41472 AS channel",
         "CASE WHEN l_partkey % 11 = 0 OR (l_partkey % 3 > 0 AND l_returnflag = 'R') THEN double('-Infinity') "
         "WHEN l_linenumber = 7 AND l_partkey % 3 = 1 THEN double('NaN') WHEN l_discount = 0 THEN 0.0D "
         "WHEN l_partkey % 5 = 0 AND l_linenumber = 6 THEN double('Infinity') "
@@ -347,10 +347,10 @@ def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Measurement list: one row per measured channel of a file.
 INPUT_SQL["px_measurements"] = """
-SELECT l_suppkey AS file_id, l_linenumber AS data_type, (l_partkey*97) % 248832 AS channel FROM lineitem"""
+SELECT l_suppkey AS file_id, l_linenumber AS data_type, (l_linenumber % 6)*41472 + (l_partkey*97) % 41472 AS channel FROM lineitem"""
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_suppkey AS file_id", "l_linenumber AS data_type", "(l_partkey * 97) % 248832 AS channel"
+        "l_suppkey AS file_id", "l_linenumber AS data_type", "(l_linenumber % 6) * 41472 + (l_partkey * 97) % 41472 AS channel"
     )
