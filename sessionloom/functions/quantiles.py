@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str], cells: int = 256
+    df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str], bits: int = 8
 ) -> DataFrame:
-    """One row per key with linearly interpolated quantiles, as ``percentile``.
+    """One row per key with linearly interpolated quantiles, as ``percentile``."""
+    at = lambda p: lambda total: (total - 1) * F.lit(float(p))
+    return exact_positions(df, keys, value, [at(p) for p in probs], names, bits)
+
+
+def exact_positions(
+    df: DataFrame, keys: list[str], value: str, positions: list[Callable[[Column], Column]], names: list[str], bits: int = 8
+) -> DataFrame:
+    """Values at given places of the sorted group, one row per key.
+
+    A position maps the group size to a 0-based place; fractions interpolate.
 
     ``percentile`` keeps every distinct value of a group in one task.  Here a
     bounded sketch only proposes cell borders; exact counts per cell tell which
     cells hold the wanted ranks, and only those cells are sorted.  The sketch
     error affects how even the cells are, never the result.  Null and NaN are
-    left out.
+    left out.  There are ``2**bits`` cells.
     """
+    cells = 2**bits
     x = F.col(value).cast("double")
     counted = (
         df.where(F.col(value).isNotNull() & ~F.isnan(x))
@@ -29,7 +42,9 @@ def exact_quantiles(
     borders = counted.groupBy(*keys).agg(
         F.percentile_approx("__x", grid, F.lit(cells * 8)).alias("__borders"), F.sum("__c").alias("__total")
     )
-    cell = F.expr("size(filter(__borders, b -> b < __x))")
+    # binary search: number of borders below the value
+    halves = ", ".join(str(2**b) for b in reversed(range(bits)))
+    cell = F.expr(f"aggregate(array({halves}), 0, (n, h) -> n + IF(__borders[n + h - 1] < __x, h, 0))")
     placed = attach(counted, borders, keys).withColumn("__cell", cell).drop("__borders")
 
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__cell")
@@ -41,13 +56,8 @@ def exact_quantiles(
     # 0-based ranks around each quantile; the result lies between them.
     want = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.floor((F.col("__total") - 1) * F.lit(float(p))).alias("lo"),
-                F.ceil((F.col("__total") - 1) * F.lit(float(p))).alias("hi"),
-                ((F.col("__total") - 1) * F.lit(float(p))).alias("h"),
-            )
-            for i, p in enumerate(probs)
+            F.struct(F.lit(i).alias("i"), F.floor(h).alias("lo"), F.ceil(h).alias("hi"), h.cast("double").alias("h"))
+            for i, h in enumerate(p(F.col("__total")) for p in positions)
         ]
     )
     sizes = sizes.withColumn("__want", F.explode(want)).where(

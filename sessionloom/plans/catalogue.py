@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import align, crossquery, events, optical  # noqa: F401
+from . import align, crossquery, events, optical, quality  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -145,6 +145,21 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A recording: 16 channels per session, vectors as consecutive stretches of the signal.
+INPUT_SQL["px_signal"] = """
+SELECT (channel//16)%4 AS session_id, channel%16 AS channel, label, ((channel//16)//4)*64+sample AS sample, x FROM px_samples"""
+
+
+def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return samples(spark, sf_dir).selectExpr(
+        "(channel div 16) % 4 AS session_id",
+        "channel % 16 AS channel",
+        "label",
+        "((channel div 16) div 4) * 64 + sample AS sample",
+        "x",
+    )
+
+
 # Character stream: every character of every document, 50 ms apart.
 INPUT_SQL["px_chars"] = """
 SELECT session_id, idx, ch, session_id*1000000+idx*50 AS ts_ms FROM (
