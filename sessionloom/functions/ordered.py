@@ -30,6 +30,7 @@ def over_slices(
     lags: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
     sums: dict[str, str] | None = None,
+    mins: dict[str, str] | None = None,
     fills: dict[str, str] | None = None,
     backfills: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -42,10 +43,11 @@ def over_slices(
     lags       {new: column} value in the previous row
     leads      {new: column} value in the next row
     sums       {new: column} running sum up to and including the row
+    mins       {new: column} running minimum up to and including the row
     fills      {new: column} last non-null value at or before the row
     backfills  {new: column} first non-null value at or after the row
     """
-    lags, leads, sums = lags or {}, leads or {}, sums or {}
+    lags, leads, sums, mins = lags or {}, leads or {}, sums or {}, mins or {}
     fills, backfills = fills or {}, backfills or {}
     part = [*keys, SLICE]
     sliced = df.withColumn(SLICE, F.floor(F.col(order[0]) / F.lit(width)).cast("long"))
@@ -56,6 +58,7 @@ def over_slices(
     facts += [F.max_by(F.struct(F.col(c)), at).alias(f"__lag_{n}") for n, c in lags.items()]
     facts += [F.min_by(F.struct(F.col(c)), at).alias(f"__lead_{n}") for n, c in leads.items()]
     facts += [F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()]
+    facts += [F.min(c).alias(f"__min_{n}") for n, c in mins.items()]
     facts += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__fill_{n}") for n, c in fills.items()]
     facts += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__back_{n}") for n, c in backfills.items()]
     slices = sliced.groupBy(*part).agg(*facts)
@@ -68,6 +71,7 @@ def over_slices(
     carried += [F.lag(f"__lag_{n}").over(up).alias(f"__lag_{n}") for n in lags]
     carried += [F.lead(f"__lead_{n}").over(up).alias(f"__lead_{n}") for n in leads]
     carried += [F.sum(f"__sum_{n}").over(earlier).alias(f"__sum_{n}") for n in sums]
+    carried += [F.min(f"__min_{n}").over(earlier).alias(f"__min_{n}") for n in mins]
     carried += [F.last(f"__fill_{n}", ignorenulls=True).over(earlier).alias(f"__fill_{n}") for n in fills]
     carried += [F.last(f"__back_{n}", ignorenulls=True).over(later).alias(f"__back_{n}") for n in backfills]
     slices = slices.select(*part, *carried)
@@ -80,6 +84,7 @@ def over_slices(
     inside += [F.lag(c).over(w).alias(f"__in_lag_{n}") for n, c in lags.items()]
     inside += [F.lead(c).over(w).alias(f"__in_lead_{n}") for n, c in leads.items()]
     inside += [F.sum(c).over(so_far).alias(f"__in_sum_{n}") for n, c in sums.items()]
+    inside += [F.min(c).over(so_far).alias(f"__in_min_{n}") for n, c in mins.items()]
     inside += [F.last(c, ignorenulls=True).over(so_far).alias(f"__in_fill_{n}") for n, c in fills.items()]
     inside += [F.last(c, ignorenulls=True).over(from_here).alias(f"__in_back_{n}") for n, c in backfills.items()]
     rows = sliced.select("*", *inside)
@@ -95,6 +100,8 @@ def over_slices(
         out.append(F.when(last_row, F.col(f"__lead_{n}")[c]).otherwise(F.col(f"__in_lead_{n}")).alias(n))
     for n in sums:
         out.append((F.coalesce(F.col(f"__sum_{n}"), F.lit(0)) + F.coalesce(F.col(f"__in_sum_{n}"), F.lit(0))).alias(n))
+    for n in mins:
+        out.append(F.least(f"__min_{n}", f"__in_min_{n}").alias(n))
     for n in fills:
         out.append(F.coalesce(F.col(f"__in_fill_{n}"), F.col(f"__fill_{n}")).alias(n))
     for n in backfills:
