@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import attach, with_row
+from ..functions.lineage import cut
 from ..functions.ordered import over_slices
 
 HASH_BITS = 60
@@ -246,7 +247,7 @@ def lr_baseline(features: DataFrame, columns: list[str], max_iter: int = 1000) -
     """
     weights = distribution(features.where("split = 'train'"))
     rows = attach(features, weights.select("label", "weight"), ["label"])
-    rows = VectorAssembler(inputCols=columns, outputCol="features").transform(rows)
+    rows = VectorAssembler(inputCols=columns, outputCol="features").transform(cut(rows))  # read once per iteration
     model = LogisticRegression(maxIter=max_iter, weightCol="weight").fit(rows.where("split = 'train'"))
     out = model.transform(rows)
     return out.withColumn("p1", vector_to_array("probability")[1]).withColumn("p", F.col("prediction").cast("int")).drop(

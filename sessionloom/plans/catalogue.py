@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import align, crossquery, events, optical, prep, quality, spectral  # noqa: F401
+from . import align, audio, catalog, crossquery, events, lang, optical, prep, profile, quality, spectral  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -160,6 +160,37 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Audio chunks of 64 samples: four sessions with their own chunk spacing.
+INPUT_SQL["px_audio"] = """
+SELECT vec_id%4 AS session_id, vec_id//4 AS chunk, (vec_id//4)*CASE vec_id%4 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END AS ts_ms, embedding AS samples FROM embeddings"""
+
+
+def audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id % 4 AS session_id",
+        "vec_id div 4 AS chunk",
+        "(vec_id div 4) * CASE vec_id % 4 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END AS ts_ms",
+        "embedding AS samples",
+    )
+
+
+# Session sizes: bytes from the summed event values.
+INPUT_SQL["px_sessions"] = """
+SELECT session_id, arg_min(client_ms,event_id) AS first_ms, arg_max(client_ms,event_id) AS last_ms, max(client_ms)-min(client_ms) AS file_ms,
+  CAST(floor(round(sum(value),2)*50000000) AS BIGINT) AS size_bytes FROM px_events GROUP BY 1"""
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.curate import clean_duration
+
+    ev = events(spark, sf_dir)
+    sizes = ev.groupBy("session_id").agg(
+        (F.max("client_ms") - F.min("client_ms")).alias("file_ms"),
+        F.floor(F.round(F.sum("value"), 2) * 50000000).cast("long").alias("size_bytes"),
+    )
+    return clean_duration(ev, "event_id").join(sizes, "session_id")
+
+
 # Character stream: every character of every document, 50 ms apart.
 INPUT_SQL["px_chars"] = """
 SELECT session_id, idx, ch, session_id*1000000+idx*50 AS ts_ms FROM (
@@ -176,7 +207,7 @@ def chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # File manifest: orders as files of a customer's session.
 INPUT_SQL["px_manifest"] = """
-SELECT sid AS session_id, file_id, 'curated/' || sid || CASE WHEN file_id % 4 = 0 THEN '.h5' ELSE '/' || sid || '_' || CAST(ts_ms AS VARCHAR) || '.h5' END AS path,
+SELECT sid AS session_id, file_id, 'curated/' || sid || CASE WHEN file_id % 4 = 0 THEN '.h5' ELSE '/' || sid || '_' || CAST(ts_ms+1000000000000 AS VARCHAR) || '.h5' END AS path,
        size_bytes, ts_ms FROM (
   SELECT 'rec_' || CAST(20240101 + o_custkey % 28 AS VARCHAR) || '_' || lpad(CAST(o_custkey % 1000000 AS VARCHAR), 6, '0') AS sid, o_orderkey AS file_id,
          CAST(floor(o_totalprice*1024) AS BIGINT) AS size_bytes, epoch_us(o_orderdate)//1000 AS ts_ms FROM orders)"""
@@ -195,7 +226,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             "session_id",
             "file_id",
             "concat('curated/', session_id, CASE WHEN file_id % 4 = 0 THEN '.h5' "
-            "ELSE concat('/', session_id, '_', string(ts_ms), '.h5') END) AS path",
+            "ELSE concat('/', session_id, '_', string(ts_ms + 1000000000000), '.h5') END) AS path",
             "size_bytes",
             "ts_ms",
         )
