@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE = "__slice"
+SLICE = "__w_slice"
 
 
 def _one_key(keys: list[str]) -> list:
@@ -54,58 +54,58 @@ def over_slices(
     at = F.struct(*order)
 
     # One row per slice: what the neighbouring slices need to know.
-    facts = [F.count(F.lit(1)).alias("__n")]
-    facts += [F.max_by(F.struct(F.col(c)), at).alias(f"__lag_{n}") for n, c in lags.items()]
-    facts += [F.min_by(F.struct(F.col(c)), at).alias(f"__lead_{n}") for n, c in leads.items()]
-    facts += [F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()]
-    facts += [F.min(c).alias(f"__min_{n}") for n, c in mins.items()]
-    facts += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__fill_{n}") for n, c in fills.items()]
-    facts += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__back_{n}") for n, c in backfills.items()]
+    facts = [F.count(F.lit(1)).alias("__w_size")]
+    facts += [F.max_by(F.struct(F.col(c)), at).alias(f"__w_lag_{n}") for n, c in lags.items()]
+    facts += [F.min_by(F.struct(F.col(c)), at).alias(f"__w_lead_{n}") for n, c in leads.items()]
+    facts += [F.sum(c).alias(f"__w_sum_{n}") for n, c in sums.items()]
+    facts += [F.min(c).alias(f"__w_min_{n}") for n, c in mins.items()]
+    facts += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__w_fill_{n}") for n, c in fills.items()]
+    facts += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__w_back_{n}") for n, c in backfills.items()]
     slices = sliced.groupBy(*part).agg(*facts)
 
     up = Window.partitionBy(*_one_key(keys)).orderBy(SLICE)
     down = Window.partitionBy(*_one_key(keys)).orderBy(F.col(SLICE).desc())
     earlier = up.rowsBetween(Window.unboundedPreceding, -1)
     later = down.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.col("__n"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n0")]
-    carried += [F.lag(f"__lag_{n}").over(up).alias(f"__lag_{n}") for n in lags]
-    carried += [F.lead(f"__lead_{n}").over(up).alias(f"__lead_{n}") for n in leads]
-    carried += [F.sum(f"__sum_{n}").over(earlier).alias(f"__sum_{n}") for n in sums]
-    carried += [F.min(f"__min_{n}").over(earlier).alias(f"__min_{n}") for n in mins]
-    carried += [F.last(f"__fill_{n}", ignorenulls=True).over(earlier).alias(f"__fill_{n}") for n in fills]
-    carried += [F.last(f"__back_{n}", ignorenulls=True).over(later).alias(f"__back_{n}") for n in backfills]
+    carried = [F.col("__w_size"), F.coalesce(F.sum("__w_size").over(earlier), F.lit(0)).alias("__w_offset")]
+    carried += [F.lag(f"__w_lag_{n}").over(up).alias(f"__w_lag_{n}") for n in lags]
+    carried += [F.lead(f"__w_lead_{n}").over(up).alias(f"__w_lead_{n}") for n in leads]
+    carried += [F.sum(f"__w_sum_{n}").over(earlier).alias(f"__w_sum_{n}") for n in sums]
+    carried += [F.min(f"__w_min_{n}").over(earlier).alias(f"__w_min_{n}") for n in mins]
+    carried += [F.last(f"__w_fill_{n}", ignorenulls=True).over(earlier).alias(f"__w_fill_{n}") for n in fills]
+    carried += [F.last(f"__w_back_{n}", ignorenulls=True).over(later).alias(f"__w_back_{n}") for n in backfills]
     slices = slices.select(*part, *carried)
 
     w = Window.partitionBy(*part).orderBy(*order)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     wd = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
     from_here = wd.rowsBetween(Window.unboundedPreceding, 0)
-    inside = [F.row_number().over(w).alias("__rn")]
-    inside += [F.lag(c).over(w).alias(f"__in_lag_{n}") for n, c in lags.items()]
-    inside += [F.lead(c).over(w).alias(f"__in_lead_{n}") for n, c in leads.items()]
-    inside += [F.sum(c).over(so_far).alias(f"__in_sum_{n}") for n, c in sums.items()]
-    inside += [F.min(c).over(so_far).alias(f"__in_min_{n}") for n, c in mins.items()]
-    inside += [F.last(c, ignorenulls=True).over(so_far).alias(f"__in_fill_{n}") for n, c in fills.items()]
-    inside += [F.last(c, ignorenulls=True).over(from_here).alias(f"__in_back_{n}") for n, c in backfills.items()]
+    inside = [F.row_number().over(w).alias("__w_row")]
+    inside += [F.lag(c).over(w).alias(f"__w_in_lag_{n}") for n, c in lags.items()]
+    inside += [F.lead(c).over(w).alias(f"__w_in_lead_{n}") for n, c in leads.items()]
+    inside += [F.sum(c).over(so_far).alias(f"__w_in_sum_{n}") for n, c in sums.items()]
+    inside += [F.min(c).over(so_far).alias(f"__w_in_min_{n}") for n, c in mins.items()]
+    inside += [F.last(c, ignorenulls=True).over(so_far).alias(f"__w_in_fill_{n}") for n, c in fills.items()]
+    inside += [F.last(c, ignorenulls=True).over(from_here).alias(f"__w_in_back_{n}") for n, c in backfills.items()]
     rows = sliced.select("*", *inside)
 
     joined = rows.join(slices, part)
     out: list[Column] = [F.col(c) for c in df.columns]
     if rank:
-        out.append((F.col("__rn") + F.col("__n0")).cast("long").alias(rank))
+        out.append((F.col("__w_row") + F.col("__w_offset")).cast("long").alias(rank))
     for n, c in lags.items():
-        out.append(F.when(F.col("__rn") == 1, F.col(f"__lag_{n}")[c]).otherwise(F.col(f"__in_lag_{n}")).alias(n))
+        out.append(F.when(F.col("__w_row") == 1, F.col(f"__w_lag_{n}")[c]).otherwise(F.col(f"__w_in_lag_{n}")).alias(n))
     for n, c in leads.items():
-        last_row = F.col("__rn") == F.col("__n")
-        out.append(F.when(last_row, F.col(f"__lead_{n}")[c]).otherwise(F.col(f"__in_lead_{n}")).alias(n))
+        last_row = F.col("__w_row") == F.col("__w_size")
+        out.append(F.when(last_row, F.col(f"__w_lead_{n}")[c]).otherwise(F.col(f"__w_in_lead_{n}")).alias(n))
     for n in sums:
-        out.append((F.coalesce(F.col(f"__sum_{n}"), F.lit(0)) + F.coalesce(F.col(f"__in_sum_{n}"), F.lit(0))).alias(n))
+        out.append((F.coalesce(F.col(f"__w_sum_{n}"), F.lit(0)) + F.coalesce(F.col(f"__w_in_sum_{n}"), F.lit(0))).alias(n))
     for n in mins:
-        out.append(F.least(f"__min_{n}", f"__in_min_{n}").alias(n))
+        out.append(F.least(f"__w_min_{n}", f"__w_in_min_{n}").alias(n))
     for n in fills:
-        out.append(F.coalesce(F.col(f"__in_fill_{n}"), F.col(f"__fill_{n}")).alias(n))
+        out.append(F.coalesce(F.col(f"__w_in_fill_{n}"), F.col(f"__w_fill_{n}")).alias(n))
     for n in backfills:
-        out.append(F.coalesce(F.col(f"__in_back_{n}"), F.col(f"__back_{n}")).alias(n))
+        out.append(F.coalesce(F.col(f"__w_in_back_{n}"), F.col(f"__w_back_{n}")).alias(n))
     return joined.select(*out)
 
 

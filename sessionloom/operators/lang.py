@@ -124,9 +124,11 @@ def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     return attach(tokens, vocab.select("token", "token_id"), ["token"])
 
 
-def align_chars(tokens: DataFrame, chars: DataFrame, cell: int = 4096) -> DataFrame:
+def align_chars(tokens: DataFrame, chars: DataFrame, cell: int = 64) -> DataFrame:
     """Times of tokens from the first and last of their characters; 0 without characters.
 
+    ``cell`` is a few token lengths, so a character meets only tokens near it.
+
     ``tokens`` has session_id, token_idx, token, start, end.
     """
     pairs = points_in_intervals(
@@ -139,7 +141,7 @@ def align_chars(tokens: DataFrame, chars: DataFrame, cell: int = 4096) -> DataFr
     )
 
 
-def align_keys(tokens: DataFrame, chars: DataFrame, cell: int = 4096) -> DataFrame:
+def align_keys(tokens: DataFrame, chars: DataFrame, cell: int = 64) -> DataFrame:
     """As ``align_chars`` for typed characters, with character numbers and keystrokes.
 
     ``chars`` also has keystrokes (array of strings) and trigger_keystroke.
@@ -201,7 +203,7 @@ def word_tokens(placed: DataFrame, slice_words: int = 100_000) -> DataFrame:
     )
 
 
-def align_words(tokens: DataFrame, placed: DataFrame, cell: int = 4096, strict: bool = False) -> DataFrame:
+def align_words(tokens: DataFrame, placed: DataFrame, cell: int = 64, strict: bool = False) -> DataFrame:
     """Times of tokens from the first and last word they meet.
 
     Both bounds are inclusive, so a word that only touches a token counts;

@@ -272,7 +272,7 @@ INPUT_SQL["px_words"] = """
 SELECT element_id AS session_id, idx AS turn, mode, row_number() OVER (PARTITION BY element_id ORDER BY idx, pos)-1 AS idx, word,
        start_ms + pos*300 AS start_ms, start_ms + pos*300 + 250 AS end_ms
 FROM (SELECT element_id, idx, mode, start_ms, unnest(ws) AS word, unnest(range(0, len(ws))) AS pos
-      FROM (SELECT *, list_filter(regexp_split_to_array(word, '[ \\n\\t\\r]+'), x -> x <> '') AS ws FROM px_units))"""
+      FROM (SELECT *, [x for x in regexp_split_to_array(word, '[ \\n\\t\\r]+') if x <> ''] AS ws FROM px_units))"""
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:

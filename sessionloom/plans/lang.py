@@ -76,7 +76,7 @@ def _(spark, d):
 PLACED = "placed AS (SELECT *, CAST(sum(length(word)+1) OVER w AS BIGINT)-length(word)-1 AS text_start, CAST(sum(length(word)+1) OVER w AS BIGINT)-1 AS text_end FROM px_words WINDOW w AS (PARTITION BY session_id ORDER BY idx))"
 WTOK = f"""{PLACED}, wp AS (SELECT *, regexp_extract_all(word,'[\\p{{L}}\\p{{N}}_'']+|[^\\p{{L}}\\p{{N}}_'']') AS p FROM placed),
  wt AS (SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY idx, i)-1 AS token_idx, token, text_start+lo AS "start", text_start+lo+length(token) AS "end"
-   FROM (SELECT session_id, idx, text_start, i, p[i] AS token, CAST(coalesce(list_sum(list_transform(p[1:i-1], x -> length(x))),0) AS BIGINT) AS lo FROM (SELECT *, unnest(range(1,len(p)+1)) AS i FROM wp)))"""
+   FROM (SELECT session_id, idx, text_start, i, p[i] AS token, CAST(coalesce(list_sum([length(x) for x in p[1:i-1]]),0) AS BIGINT) AS lo FROM (SELECT *, unnest(range(1,len(p)+1)) AS i FROM wp)))"""
 
 
 @query("h5_word_offsets", f"WITH {PLACED} SELECT session_id, idx, word, text_start, text_end FROM placed")
