@@ -411,7 +411,7 @@ def window_arrays(frames: DataFrame, per_window: int) -> DataFrame:
 
     A group holds exactly ``per_window`` frames; incomplete windows drop out.
     """
-    parts = F.array_sort(F.collect_list(F.struct("frame", "samples")))
+    parts = F.sort_array(F.collect_list(F.struct("frame", "samples")))
     return (
         frames.groupBy(*S, "channel", F.floor(F.col("frame") / per_window).cast("long").alias("window_idx"))
         .agg(parts.alias("parts"))

@@ -200,7 +200,7 @@ def breakdown(labelled: DataFrame, examples: int = 5) -> DataFrame:
         .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("element_id")))
         .where(F.col("r") <= examples)
         .groupBy("label")
-        .agg(F.array_join(F.array_sort(F.collect_list("element_id")), ",").alias("examples"))
+        .agg(F.array_join(F.sort_array(F.collect_list("element_id")), ",").alias("examples"))
     )
     return (
         with_row(stats, total)

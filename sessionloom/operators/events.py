@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.joins import attach, first_containing
+from ..functions.lineage import cut
 from ..functions.ordered import over_slices
 
 # Configuration defaults and completion states.
@@ -155,6 +156,7 @@ def skip_targets(task_rows: DataFrame, skips: DataFrame, width: float) -> DataFr
 
 def attribute_skips(task_rows: DataFrame, skips: DataFrame, width: float) -> DataFrame:
     """Task table with skip information; the last skip of a task counts."""
+    task_rows = cut(task_rows)
     last = (
         skip_targets(task_rows, skips, width)
         .groupBy("session_id", "task_id")

@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ PIECE_SLICES = 10_000  # pieces per slice of ordered work
 
 def text_pieces(chars: DataFrame, width: float, order: str = "ts_ms") -> DataFrame:
     """Ordered text of each session in consecutive pieces of ``width`` milliseconds."""
-    cs = F.array_sort(F.collect_list(F.struct(order, "idx", "ch")))
+    cs = F.sort_array(F.collect_list(F.struct(order, "idx", "ch")))
     return (
         chars.groupBy(*S, F.floor(F.col(order) / F.lit(width)).cast("long").alias("piece"))
         .agg(cs.alias("cs"))
@@ -53,12 +55,26 @@ _SPANS = "array<struct<token: string, lo: int, hi: int, t0: bigint, t1: bigint,
 
 
 def _spans(tokenizer: Callable[[str], list[tuple[str, int, int]]]):
-    @F.pandas_udf(_SPANS)
-    def spans(text: pd.Series, times: pd.Series) -> pd.Series:
-        out = []
-        for s, t in zip(text, times):
-            out.append([(tok, lo, hi, int(t[lo]), int(t[hi - 1]), bool(re.match(r"[\w']", tok))) for tok, lo, hi in tokenizer(s)])
-        return pd.Series(out)
+    @F.arrow_udf(_SPANS)
+    def spans(text: pa.Array, times: pa.Array) -> pa.Array:
+        found = [tokenizer(t) for t in text.to_pylist()]
+        rows = [t for one in found for t in one]
+        ends = np.cumsum([0] + [len(one) for one in found]).astype("int32")
+        tokens = [r[0] for r in rows]
+        lo = np.array([r[1] for r in rows], dtype="int32")
+        hi = np.array([r[2] for r in rows], dtype="int32")
+        clock = times.flatten().to_numpy(zero_copy_only=False)
+        lengths = np.array(pc.list_value_length(times))
+        first = np.repeat(np.cumsum(lengths) - lengths, np.diff(ends))  # where the piece of each token starts
+        fields = {
+            "token": pa.array(tokens, pa.string()),
+            "lo": pa.array(lo),
+            "hi": pa.array(hi),
+            "t0": pa.array(clock[first + lo].astype("int64")),
+            "t1": pa.array(clock[first + hi - 1].astype("int64")),
+            "word": pa.array([t[0].isalnum() or t[0] in "_'" for t in tokens], pa.bool_()),
+        }
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
 
     return spans
 
@@ -79,7 +95,7 @@ def tokenize(chars: DataFrame, width: float, tokenizer: Callable[[str], list[tup
             "ts",
             n.alias("n"),
             ((n > 0) & (F.get("ts", F.lit(0))["lo"] == 0) & F.get("ts", F.lit(0))["word"]).alias("opens"),
-            ((n > 0) & (F.element_at("ts", -1)["hi"] == F.col("n_chars")) & F.element_at("ts", -1)["word"]).alias("closes"),
+            ((n > 0) & (F.try_element_at("ts", F.lit(-1))["hi"] == F.col("n_chars")) & F.try_element_at("ts", F.lit(-1))["word"]).alias("closes"),
         )
     )
     small = stored.drop("ts")
@@ -90,24 +106,29 @@ def tokenize(chars: DataFrame, width: float, tokenizer: Callable[[str], list[tup
     placed = over_slices(linked, S, ["piece"], PIECE_SLICES, sums={"toks": "net", "cs": "n_chars"}).select(
         *S, "piece", "cont", "goes", (F.col("toks") - F.col("net")).alias("tok0"), (F.col("cs") - F.col("n_chars")).alias("char0")
     )
-    rows = (
-        stored.select(*S, "piece", "n", "ts")
-        .join(placed, [*S, "piece"])
-        .select(*S, "n", "cont", "goes", "tok0", "char0", F.posexplode("ts").alias("pos", "t"))
-        .select(
+    rows = stored.select(*S, "piece", "n", "ts").join(placed, [*S, "piece"])
+
+    def located(df: DataFrame, pos: Column) -> DataFrame:
+        return df.select(
             *S,
-            (F.col("tok0") + F.col("pos") - F.col("cont")).alias("token_idx"),
+            (F.col("tok0") + pos).alias("token_idx"),
             F.col("t.token").alias("token"),
             (F.col("char0") + F.col("t.lo")).alias("start"),
             (F.col("char0") + F.col("t.hi")).alias("end"),
             F.col("t.t0").alias("start_ms"),
             F.col("t.t1").alias("end_ms"),
-            (((F.col("pos") == 0) & (F.col("cont") == 1)) | ((F.col("pos") == F.col("n") - 1) & F.col("goes"))).alias("border"),
         )
-    )
-    whole = rows.where("NOT border").drop("border")
-    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "token"))), lambda p: p["token"]), "")
-    joined = rows.where("border").groupBy(*S, "token_idx").agg(
+
+    # Tokens that touch no other piece are complete; only the few at a border are put together.
+    head, tail = F.col("cont").cast("int"), F.col("goes").cast("int")
+    inner = F.slice("ts", head + 1, F.greatest(F.size("ts") - head - tail, F.lit(0)))
+    whole = located(rows.select(*S, "tok0", "char0", F.posexplode(inner).alias("pos", "t")), F.col("pos"))
+    first = F.when(head == 1, F.struct(F.lit(0).cast("long").alias("pos"), F.get("ts", F.lit(0)).alias("t")))
+    last = F.when((tail == 1) & ~((head == 1) & (F.col("n") == 1)), F.struct((F.col("n") - 1).alias("pos"), F.try_element_at("ts", F.lit(-1)).alias("t")))
+    ends = rows.where("cont = 1 OR goes").select(*S, "tok0", "char0", "cont", F.explode(F.array_compact(F.array(first, last))).alias("e"))
+    ends = located(ends.select(*S, "tok0", "char0", "cont", "e.pos", "e.t"), F.col("pos") - F.col("cont"))
+    parts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "token"))), lambda p: p["token"]), "")
+    joined = ends.groupBy(*S, "token_idx").agg(
         parts.alias("token"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms")
     )
     return whole.unionByName(joined)
@@ -150,7 +171,7 @@ def align_keys(tokens: DataFrame, chars: DataFrame, cell: int = 64) -> DataFrame
     pairs = points_in_intervals(
         chars, tokens.select(*S, "token_idx", "start", "end"), S, "idx", "start", "end", cell, open_end=True
     )
-    cs = F.array_sort(F.collect_list(F.struct("idx", "keystrokes", "trigger_keystroke")))
+    cs = F.sort_array(F.collect_list(F.struct("idx", "keystrokes", "trigger_keystroke")))
     lists = pairs.groupBy(*S, "token_idx").agg(
         F.min_by("ts_ms", "idx").alias("start_ms"), F.max_by("ts_ms", "idx").alias("end_ms"), cs.alias("cs")
     )
@@ -183,7 +204,7 @@ def word_offsets(words: DataFrame, slice_words: int = 100_000) -> DataFrame:
 
 def word_text(words: DataFrame, words_per_piece: int = 1000) -> DataFrame:
     """The blank-joined text of each session in pieces of words."""
-    parts = F.array_sort(F.collect_list(F.struct("idx", "word")))
+    parts = F.sort_array(F.collect_list(F.struct("idx", "word")))
     return words.groupBy(*S, F.floor(F.col("idx") / words_per_piece).cast("long").alias("piece")).agg(
         F.array_join(F.transform(parts, lambda w: w["word"]), " ").alias("text"), F.count(F.lit(1)).alias("n_words")
     )
@@ -311,7 +332,7 @@ def score(aligned: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def correction_view(aligned: DataFrame, tokens_per_piece: int = 200) -> DataFrame:
     """Original and corrected text side by side, in pieces of tokens, with the score."""
-    rows = F.array_sort(F.collect_list(F.struct("token_idx", "token", "corrected")))
+    rows = F.sort_array(F.collect_list(F.struct("token_idx", "token", "corrected")))
     return (
         aligned.groupBy(*S, F.floor(F.col("token_idx") / tokens_per_piece).cast("long").alias("piece"))
         .agg(rows.alias("r"), F.avg(F.col("unchanged").cast("double")).alias("score"))
@@ -346,13 +367,13 @@ def element_summary(units: DataFrame) -> DataFrame:
         F.min("start_ms").alias("start_ms"),
         F.max("end_ms").alias("end_ms"),
         F.avg(F.col("end_ms") - F.col("start_ms")).alias("mean_unit_ms"),
-        F.array_join(F.array_sort(F.collect_set(mode)), ",").alias("modes"),
+        F.array_join(F.sort_array(F.collect_set(mode)), ",").alias("modes"),
     )
 
 
 def element_text(units: DataFrame, sep: str = " ", units_per_piece: int = 1000) -> DataFrame:
     """Text of each element in start order, in pieces of units."""
-    rows = F.array_sort(F.collect_list(F.struct("start_ms", "idx", "word")))
+    rows = F.sort_array(F.collect_list(F.struct("start_ms", "idx", "word")))
     return units.groupBy("element_id", F.floor(F.col("idx") / units_per_piece).cast("long").alias("piece")).agg(
         F.array_join(F.transform(rows, lambda u: u["word"]), sep).alias("text")
     )

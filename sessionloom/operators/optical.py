@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -244,7 +246,7 @@ def ever_valid(cells: DataFrame) -> DataFrame:
 
 def module_pairs(cells: DataFrame) -> DataFrame:
     """Ever-valid channels per (source module, detector module); sets hold ids 1..6."""
-    ids = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
+    ids = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     return (
         decode(per_channel_flags(cells).where("ever_valid = 1"))
         .groupBy("src_mod", "det_mod")
@@ -281,7 +283,7 @@ def transitions(cells: DataFrame, n_frames: int) -> DataFrame:
     The frame lists hold at most ``n_frames`` numbers.
     """
     gone = F.col("value") == NEG_INF
-    frames = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("frame")))), ",")
+    frames = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("frame")))), ",")
     per = evenly_spaced(cells, n_frames).groupBy("channel").agg(
         frames(~gone).alias("valid_frames"), frames(gone).alias("inf_frames")
     )
@@ -524,7 +526,7 @@ def matched_detectors(layout: DataFrame, sensors: DataFrame, tolerance: float =
 
 def module_coverage(layout: DataFrame, sensors: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     """Matched detectors per module, percent, and the positions present."""
-    present = F.array_join(F.array_sort(F.collect_set(F.when(F.col("matched"), F.col("pos")))), ",")
+    present = F.array_join(F.sort_array(F.collect_set(F.when(F.col("matched"), F.col("pos")))), ",")
     return (
         matched_detectors(layout, sensors, tolerance)
         .groupBy("mod")
@@ -577,28 +579,31 @@ AXIS_CONVENTIONS = [
 def axis_costs(sensors: DataFrame, layout: DataFrame) -> DataFrame:
     """Total distance to the nearest layout position under each axis convention.
 
-    The layout (at most 48 x 9 positions, checked) travels as one array, so
-    every sensor is compared in its own row.
+    A layout has at most 48 x 9 positions; this is checked before it is sent
+    to the tasks, where sensors are compared with it in batches.
     """
-    small = F.count(F.lit(1)) <= MODULES * (SOURCES + DETECTORS)
-    places = layout.agg(
-        F.when(F.assert_true(small).isNull(), F.collect_list(F.struct("x", "y", "z"))).alias("places")
-    ).scalar()
-    moved = F.array(
-        *[
-            F.struct(F.lit(i).alias("ord"), F.lit(name).alias("name"), *[(F.col(c) * F.lit(float(s))).alias(o) for c, s, o in zip(axes, signs, "xyz")])
-            for i, (name, axes, signs) in enumerate(AXIS_CONVENTIONS)
-        ]
-    )
-    square = F.expr(
-        "array_min(transform(__places, p -> (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) + (t.z - p.z) * (t.z - p.z)))"
-    )
+    most = MODULES * (SOURCES + DETECTORS)
+    rows = layout.select("x", "y", "z").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a layout has at most {most} positions")
+    places = np.array([tuple(r) for r in rows], dtype=float)
+    axes = [["xyz".index(c) for c in order] for _, order, _ in AXIS_CONVENTIONS]
+    signs = [s for _, _, s in AXIS_CONVENTIONS]
+
+    @F.pandas_udf("array<double>")
+    def nearest(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
+        p = np.stack([x, y, z], axis=1)
+        best = np.empty((len(p), len(axes)))
+        for i, (a, s) in enumerate(zip(axes, signs)):
+            for lo in range(0, len(p), 1024):
+                d = (p[lo : lo + 1024, a] * s)[:, None, :] - places[None, :, :]
+                best[lo : lo + 1024, i] = np.sqrt((d * d).sum(axis=2).min(axis=1))
+        return pd.Series(list(best))
+
+    names = F.array(*[F.lit(n) for n, _, _ in AXIS_CONVENTIONS])
     return (
-        sensors.select("x", "y", "z")
-        .withColumn("__places", places)
-        .withColumn("t", F.explode(moved))
-        .withColumn("d", F.sqrt(square))
-        .groupBy("t.ord", "t.name")
+        sensors.select(F.posexplode(nearest("x", "y", "z")).alias("ord", "d"))
+        .groupBy("ord", F.get(names, F.col("ord")).alias("name"))
         .agg(F.sum("d").alias("cost"))
     )
 

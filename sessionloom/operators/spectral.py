@@ -24,7 +24,7 @@ ALPHA = (8, 13)
 
 def window_signals(samples: DataFrame, keys: list[str], size: int, stride: int) -> DataFrame:
     """Complete windows as arrays of ``size`` values in sample order."""
-    parts = F.array_sort(F.collect_list(F.struct("sample", "x")))
+    parts = F.sort_array(F.collect_list(F.struct("sample", "x")))
     return (
         slide(samples.select(*keys, "sample", "x"), keys, size, stride)
         .groupBy(*keys, "window")
@@ -242,7 +242,7 @@ def apply_filter(samples: DataFrame, gain, bands: dict[str, tuple[float, float]]
     own = F.floor(s / block).cast("long")
     reach = F.sequence(F.greatest(F.floor((s - halo) / block), F.lit(0)).cast("long"), F.floor((s + halo) / block).cast("long"))
     length = samples.groupBy(*K).agg((F.max("sample") + 1).alias("__n"))
-    parts = F.array_sort(F.collect_list(F.struct("sample", "x")))
+    parts = F.sort_array(F.collect_list(F.struct("sample", "x")))
     blocks = (
         attach(samples.select(*K, "sample", "x"), length, K)
         .withColumn("__block", F.explode(reach))

@@ -148,7 +148,7 @@ def _(spark, d):
     frames = (
         px.samples(spark, d)
         .groupBy("session_id", "channel", F.expr("sample div 8").alias("frame"))
-        .agg(F.expr("transform(array_sort(collect_list(struct(sample, x))), s -> s.x)").alias("samples"))
+        .agg(F.expr("transform(sort_array(collect_list(struct(sample, x))), s -> s.x)").alias("samples"))
     )
     out = op.window_arrays(frames, 3)
     return out.select(

@@ -154,7 +154,7 @@ def _(spark, d):
 )
 def _(spark, d):
     per = px.events(spark, d).groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n_events"), F.min("client_ms").alias("first_ms"), F.array_sort(F.collect_set("kind")).alias("kinds")
+        F.count(F.lit(1)).alias("n_events"), F.min("client_ms").alias("first_ms"), F.sort_array(F.collect_set("kind")).alias("kinds")
     )
     return stores.reports(per)
 

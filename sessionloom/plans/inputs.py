@@ -198,8 +198,11 @@ SELECT session_id, idx, ch, session_id*1000000+idx*50 AS ts_ms FROM (
 
 
 def chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A row becomes one row per character: spread the compact texts first.
     return (
         table(spark, sf_dir, "documents")
+        .select("doc_id", "text")
+        .repartition("doc_id")
         .select("doc_id", F.posexplode(F.split("text", "")))
         .selectExpr("doc_id AS session_id", "bigint(pos) AS idx", "col AS ch", "doc_id * 1000000 + pos * 50 AS ts_ms")
     )
