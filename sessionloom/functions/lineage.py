@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+_LOCAL: dict[str, str] = {}  # temporary folder per local application
+
 
 def shared_dir(df: DataFrame) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
@@ -17,9 +19,9 @@ def shared_dir(df: DataFrame) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="sessionloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="sessionloom-")
+    return _LOCAL[sc.applicationId]
 
 
 def cut(df: DataFrame) -> DataFrame:

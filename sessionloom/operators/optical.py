@@ -75,7 +75,7 @@ def channels(spark: SparkSession) -> DataFrame:
 
 def valid_channels(dimension: DataFrame, modules: DataFrame) -> DataFrame:
     """Channels whose source and detector modules are both present (column ``mod``)."""
-    mods = F.broadcast(modules.select("mod").distinct())  # at most 48 rows after the inner semi-join
+    mods = F.broadcast(modules.where(F.col("mod").between(1, MODULES)).select("mod").distinct())  # at most 48 rows
     src = dimension.join(mods.withColumnRenamed("mod", "src_mod"), "src_mod", "left_semi")
     return src.join(mods.withColumnRenamed("mod", "det_mod"), "det_mod", "left_semi")
 
@@ -103,15 +103,15 @@ def distances(decoded: DataFrame, layout: DataFrame) -> DataFrame:
     ``layout`` has kind, mod, part, x, y, z: at most 48 modules with 3 sources
     and 6 detectors, so both position tables fit any broadcast.
     """
-    place = lambda kind, m, i, p: F.broadcast(
-        layout.where(F.col("kind") == kind).select(
-            F.col("mod").alias(m), F.col("part").alias(i), F.col("x").alias(f"{p}x"), F.col("y").alias(f"{p}y"), F.col("z").alias(f"{p}z")
-        )
-    )
+    def place(kind: str, most: int, m: str, i: str, p: str) -> DataFrame:
+        inside = (F.col("kind") == kind) & F.col("mod").between(1, MODULES) & F.col("part").between(1, most)
+        one = layout.where(inside).groupBy(F.col("mod").alias(m), F.col("part").alias(i))
+        return F.broadcast(one.agg(*[F.min(c).alias(p + c) for c in "xyz"]))  # at most 48 x 6 rows
+
     far = F.sqrt(sum(F.pow(F.col(f"s{c}") - F.col(f"d{c}"), F.lit(2.0)) for c in "xyz"))
     return (
-        decoded.join(place("source", "src_mod", "src_id", "s"), ["src_mod", "src_id"], "left")
-        .join(place("detector", "det_mod", "det_id", "d"), ["det_mod", "det_id"], "left")
+        decoded.join(place("source", SOURCES, "src_mod", "src_id", "s"), ["src_mod", "src_id"], "left")
+        .join(place("detector", DETECTORS, "det_mod", "det_id", "d"), ["det_mod", "det_id"], "left")
         .withColumn("distance", F.coalesce(far, F.lit(float("inf"))))
         .drop("sx", "sy", "sz", "dx", "dy", "dz")
     )
@@ -169,13 +169,18 @@ def same_module_distances(with_distance: DataFrame) -> DataFrame:
     )
 
 
+def _known(kept: DataFrame) -> DataFrame:
+    """Distinct channel numbers of the dimension, so at most 248,832 rows."""
+    return kept.where(F.col("channel").between(0, N_CHANNELS - 1)).select("channel").distinct()
+
+
 def prune(cells: DataFrame, kept: DataFrame) -> DataFrame:
     """Cells of the kept channels; all cells when no kept channel is in range.
 
-    ``kept`` is a subset of the channel dimension (at most 248,832 numbers).
+    ``kept`` is a subset of the channel dimension.
     """
     top = cells.agg(F.max("channel").alias("m")).scalar()
-    in_range = kept.select("channel").distinct().withColumn("__top", top).where("channel <= __top").drop("__top")
+    in_range = _known(kept).withColumn("__top", top).where("channel <= __top").drop("__top")
     n = in_range.agg(F.count(F.lit(1)).alias("n")).scalar()
     flagged = cells.join(F.broadcast(in_range.withColumn("__keep", F.lit(True))), "channel", "left").withColumn("__n", n)
     return flagged.where("__keep OR __n = 0").drop("__keep", "__n")
@@ -189,7 +194,7 @@ def validity(cells: DataFrame, kept: DataFrame, first_frames: int = 1000) -> Dat
     """Valid channels among the kept and the other ones, over the first frames."""
     ok = finite(F.col("value")).cast("int")
     per = cells.where(F.col("frame") < first_frames).groupBy("channel").agg(F.max(ok).alias("valid"))
-    inside = F.broadcast(kept.select("channel").distinct().withColumn("kept", F.lit(1)))
+    inside = F.broadcast(_known(kept).withColumn("kept", F.lit(1)))
     j = per.join(inside, "channel", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
     one = lambda k, v: F.count_if((F.col("kept") == k) & (F.col("valid") == v))
     return j.agg(

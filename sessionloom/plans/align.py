@@ -248,10 +248,12 @@ def _(spark, d):
  WHERE w.session_id IN (SELECT session_id FROM w GROUP BY 1 HAVING count(DISTINCT modality)=2) GROUP BY ALL""",
 )
 def _(spark, d):
+    # Both kinds of device in one recording: even channels are electrodes, odd ones optical.
     s = px.samples(spark, d).withColumn("session_id", F.col("label"))
+    s = s.withColumn("device", F.expr("CASE channel % 2 WHEN 0 THEN 'eeg' ELSE 'fnirs' END"))
     keys = ["session_id", "channel"]
-    eeg = op.slide(s.where("channel % 2 = 0"), keys, 16, 8)
-    optical = op.slide(s.where("channel % 2 = 1"), keys, 8, 4)
+    eeg = op.slide(s.where("device = 'eeg'").drop("device"), keys, 16, 8)
+    optical = op.slide(s.where("device = 'fnirs'").drop("device"), keys, 8, 4)
     both = op.common_windows([(eeg, "eeg"), (optical, "fnirs")])
     out = both.groupBy("session_id", "channel", "modality", "window").agg(F.avg("x").alias("mean"), F.count(F.lit(1)).alias("n"))
     return rounded(out).selectExpr("*", "window * 0.125D AS start_s", "window * 0.125D + 0.25D AS end_s")

@@ -68,19 +68,19 @@ def _(spark, d):
 
 @query(
     "g4_valid_indices",
-    f"SELECT channel, {NAME} AS name FROM px_channels WHERE src_mod IN (SELECT mod FROM {MODS}) AND det_mod IN (SELECT mod FROM {MODS})",
+    f"SELECT channel, {NAME} AS name FROM px_channels JOIN {USED} u USING (channel) WHERE src_mod IN (SELECT mod FROM {MODS}) AND det_mod IN (SELECT mod FROM {MODS})",
 )
 def _(spark, d):
-    return op.valid_channels(op.channels(spark), modules(spark, d)).select("channel", "name")
+    return op.with_name(op.valid_channels(op.decode(used(spark, d)), modules(spark, d))).select("channel", "name")
 
 
 @query(
     "g4_channels_by_category",
-    f"""SELECT coalesce(wave,-1) AS wave, coalesce(moment,-1) AS moment, CAST(count(*) AS BIGINT) AS n, min(channel) AS first_channel, max(channel) AS last_channel FROM px_channels
+    f"""SELECT coalesce(wave,-1) AS wave, coalesce(moment,-1) AS moment, CAST(count(*) AS BIGINT) AS n, min(channel) AS first_channel, max(channel) AS last_channel FROM px_channels JOIN {USED} u USING (channel)
  WHERE src_mod IN (SELECT mod FROM {MODS}) AND det_mod IN (SELECT mod FROM {MODS}) GROUP BY GROUPING SETS ((wave,moment),(wave),(moment))""",
 )
 def _(spark, d):
-    return op.by_category(op.valid_channels(op.channels(spark), modules(spark, d)))
+    return op.by_category(op.valid_channels(op.decode(used(spark, d)), modules(spark, d)))
 
 
 @query("g5_source_detector_distance", f"WITH {DIST} SELECT channel, {DOUT} FROM dist")

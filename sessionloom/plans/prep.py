@@ -98,7 +98,20 @@ def _(spark, d):
     return rows.groupBy("session_id", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k9_weighted_resample")
+def poisson_sql(src: str) -> str:
+    """Copies per row: how many steps of the Poisson distribution of its weight lie below its hash."""
+    return f"""v AS ({src}), wt AS (SELECT label, count(*) AS n, sum(count(*)) OVER ()/(count(*) OVER ()*count(*))::DOUBLE AS w, max(count(*)) OVER ()/min(count(*)) OVER ()::DOUBLE AS imb FROM v GROUP BY 1),
+ pr AS (SELECT label, imb, j, sum(exp(-w+j*ln(w)-lgamma(j+1.0::DOUBLE))) OVER (PARTITION BY label ORDER BY j) AS cdf FROM wt, range(0,90) r(j)),
+ cp AS (SELECT v.vec_id, v.label, CASE WHEN any_value(imb)>{{thr}} THEN count(*) FILTER (('0x'||substr(md5(vec_id||'-42'),1,15))::BIGINT/1152921504606846976::DOUBLE>=cdf) ELSE 1 END AS c FROM v JOIN pr USING (label) GROUP BY 1,2)"""
+
+
+UNEVEN = "SELECT vec_id, CASE WHEN label=0 THEN 0 ELSE 1 END AS label FROM embeddings"
+
+
+@query(
+    "k9_weighted_resample",
+    f"WITH {poisson_sql('SELECT vec_id, label FROM embeddings').format(thr=0)} SELECT label, CAST(sum(c) AS BIGINT) AS n, count(*) FILTER (c>0) AS n_distinct FROM cp GROUP BY 1",
+)
 def _(spark, d):
     v = vectors(spark, d)
     return op.resample(v, op.distribution(v), ["vec_id"]).groupBy("label").agg(
@@ -106,7 +119,7 @@ def _(spark, d):
     )
 
 
-@query("k10_auto_balance")
+@query("k10_auto_balance", f"WITH {poisson_sql(UNEVEN).format(thr=3)} SELECT label, CAST(sum(c) AS BIGINT) AS n FROM cp GROUP BY 1")
 def _(spark, d):
     skewed = vectors(spark, d).withColumn("label", F.expr("CASE WHEN label = 0 THEN 0 ELSE 1 END"))
     return op.auto_balance(skewed, ["vec_id"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..operators import align, quality
@@ -34,14 +36,37 @@ def wpsd(spark, d):
     return op.window_psd(px.signal(spark, d), 128.0, 1.0, 0.5)
 
 
-@query("e1_bandpass")
+def filter_sql(pad: int, gain: str, bands: str) -> str:
+    """The whole channel with reflected ends, transformed, weighted and transformed back.
+
+    ``bands`` lists (band, lo, hi); ``gain`` is an expression of w, lo and hi.
+    """
+    return f"""whole AS (SELECT session_id, channel, list(x ORDER BY sample) AS l, count(*) AS n, least({pad}, count(*)-1) AS p FROM px_signal GROUP BY 1,2),
+ ext AS (SELECT session_id, channel, n, p, n+2*p AS nn, q, CASE WHEN q<p THEN 2*l[1]-l[p-q+1] WHEN q<p+n THEN l[q-p+1] ELSE 2*l[n]-l[n-1-(q-p-n)] END AS y FROM (SELECT *, unnest(range(0,n+2*p)) AS q FROM whole)),
+ fw AS (SELECT session_id, channel, n, p, nn, k, sum(y*cos(2*pi()*((k*q)%nn)/nn::DOUBLE)) AS re, sum(y*sin(2*pi()*((k*q)%nn)/nn::DOUBLE)) AS im FROM (SELECT *, unnest(range(0,nn//2+1)) AS k FROM ext) GROUP BY ALL),
+ wt AS (SELECT *, 2*pi()*k/nn::DOUBLE AS w, CASE WHEN k=0 OR 2*k=nn THEN 1 ELSE 2 END AS c FROM fw, (VALUES {bands}) b(band,lo,hi)),
+ gn AS (SELECT *, CASE WHEN k=0 AND lo<hi THEN 0 ELSE {gain} END AS g FROM wt),
+ flt AS (SELECT session_id, channel, band, q-p AS sample, sum(c*g*(re*cos(2*pi()*((k*q)%nn)/nn::DOUBLE)+im*sin(2*pi()*((k*q)%nn)/nn::DOUBLE)))/any_value(nn) AS x
+   FROM (SELECT *, unnest(range(p,p+n)) AS q FROM gn) GROUP BY session_id, channel, band, q, p)"""
+
+
+_A, _B = (f"tan(pi()*{v}/64)" for v in ("lo", "hi"))
+BUTTER = f"1/(1+power((tan(w/2)*tan(w/2)-{_A}*{_B})/(({_B}-{_A})*tan(w/2)),8))"
+NOTCH = "power(cos(w)-cos(2*pi()*lo/64),2)/(power(cos(w)-cos(2*pi()*lo/64),2)+power(tan(2*pi()*lo/64/5/2)*sin(w),2))"
+BANDPASS = filter_sql(128, BUTTER, "('band',5.0,20.0)")
+NOTCHED = filter_sql(160, NOTCH, "('notch',20.0,20.0)")
+BANK = {"low": (4.0, 8.0), "mid": (8.0, 13.0), "high": (13.0, 30.0)}
+BANKED = filter_sql(160, BUTTER, ", ".join(f"('{b}',{lo},{hi})" for b, (lo, hi) in BANK.items()))
+
+
+@query("e1_bandpass", f"WITH {BANDPASS} SELECT session_id, channel, sample, round(x,6)+0.0 AS x FROM flt")
 def _(spark, d):
-    return rounded(op.bandpass(px.signal(spark, d), 5.0, 20.0, FS, block=256, halo=256))
+    return rounded(op.bandpass(px.signal(spark, d), 5.0, 20.0, FS))
 
 
-@query("e2_notch")
+@query("e2_notch", f"WITH {NOTCHED} SELECT session_id, channel, sample, round(x,6)+0.0 AS x FROM flt")
 def _(spark, d):
-    return rounded(op.notch(px.signal(spark, d), 20.0, FS, 5.0, block=256, halo=256))
+    return rounded(op.notch(px.signal(spark, d), 20.0, FS, 5.0))
 
 
 @query("e3_welch_psd", f"WITH {PSD} SELECT session_id, channel, bin, round(freq,6) AS freq, round(power,7) AS power FROM psd")
@@ -139,16 +164,31 @@ def _(spark, d):
     return rounded(op.band_summary(op.psd(s, FS, N, keys), keys, ["session_id", "segment"]), 5)
 
 
-@query("e10_filter_gain")
+def renamed(ctes: str, names: list[str], suffix: str) -> str:
+    """A second copy of a chain of CTEs under other names."""
+    for n in names:
+        ctes = re.sub(rf"\b{n}\b(?= AS \()|(?<=FROM ){n}\b", n + suffix, ctes)
+    return ctes
+
+
+BEFORE = renamed(PSD, ["len", "win", "sl", "tap", "det", "ft", "wp", "psd"], "0")
+GAIN = f"""{BANDPASS}, {BEFORE}, {PSD.replace('px_signal', 'flt')},
+ z AS (SELECT session_id, channel, CASE WHEN b.freq<5 THEN 'below' WHEN b.freq<=20 THEN 'inside' ELSE 'above' END AS zone, b.power AS b, a.power AS a FROM psd0 b JOIN psd a USING (session_id, channel, bin))"""
+
+
+@query("e10_filter_gain", f"WITH {GAIN} SELECT session_id, channel, zone, round(sum(b),5) AS before, round(sum(a),5) AS after, round(sum(a)/sum(b),5) AS gain FROM z GROUP BY 1,2,3")
 def _(spark, d):
     s = px.signal(spark, d)
-    after = op.bandpass(s, 5.0, 20.0, FS, block=256, halo=256)
+    after = op.bandpass(s, 5.0, 20.0, FS)
     return rounded(op.filter_gain(op.psd(s, FS, N), op.psd(after, FS, N), 5.0, 20.0), 5)
 
 
-@query("d19_filter_bank")
+@query(
+    "d19_filter_bank",
+    f"WITH {BANKED} SELECT session_id, channel, band, count(*) AS n, round(stddev_pop(x),6) AS std FROM flt GROUP BY 1,2,3",
+)
 def _(spark, d):
-    bank = op.filter_bank(px.signal(spark, d), {"low": (4.0, 8.0), "mid": (8.0, 13.0), "high": (13.0, 30.0)}, FS, block=512)
+    bank = op.filter_bank(px.signal(spark, d), BANK, FS)
     return rounded(bank.groupBy("session_id", "channel", "band").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("x").alias("std")))
 
 
