@@ -203,13 +203,13 @@ HOURS = f"""{CLEAN}, h AS (SELECT session_id, CASE WHEN clean_ms>0 THEN {CLASS.f
 
 @query(
     "b4_corpus_hours",
-    f"""WITH {HOURS} SELECT count(*) AS n_sessions, round(sum(minutes)/60,4) AS hours, round(coalesce(sum(clean_minutes) FILTER (class='both (fnirs+eeg)'),0),4) AS both_minutes,
- round(coalesce(sum(clean_minutes) FILTER (class<>'neither'),0),4) AS fnirs_minutes, round(coalesce(sum(clean_minutes) FILTER (class='both (fnirs+eeg)'),0),4) AS eeg_minutes FROM h WHERE minutes IS NOT NULL""",
+    f"""WITH {HOURS} SELECT count(*) AS n_sessions, round(sum(minutes)/60,7) AS hours, round(coalesce(sum(clean_minutes) FILTER (class='both (fnirs+eeg)'),0),7) AS both_minutes,
+ round(coalesce(sum(clean_minutes) FILTER (class<>'neither'),0),7) AS fnirs_minutes, round(coalesce(sum(clean_minutes) FILTER (class='both (fnirs+eeg)'),0),7) AS eeg_minutes FROM h WHERE minutes IS NOT NULL""",
 )
 def _(spark, d):
-    return rounded(curate.corpus_hours(curate.session_minutes(px.sessions(spark, d))), 4)
+    return rounded(curate.corpus_hours(curate.session_minutes(px.sessions(spark, d))), 7)
 
 
-@query("b4_class_counts", f"WITH {HOURS} SELECT class, count(*) AS n, round(sum(minutes),4) AS minutes FROM h WHERE minutes IS NOT NULL GROUP BY 1")
+@query("b4_class_counts", f"WITH {HOURS} SELECT class, count(*) AS n, round(sum(minutes),7) AS minutes FROM h WHERE minutes IS NOT NULL GROUP BY 1")
 def _(spark, d):
-    return rounded(curate.class_counts(curate.session_minutes(px.sessions(spark, d))), 4)
+    return rounded(curate.class_counts(curate.session_minutes(px.sessions(spark, d))), 7)
