@@ -253,6 +253,7 @@ def segments(events: DataFrame, kinds: dict[str, tuple[str, str]], width: float,
 
 def contain(segment_rows: DataFrame, element_rows: DataFrame, width: float) -> DataFrame:
     """The first element around each segment start and the start relative to it."""
+    segment_rows, element_rows = cut(segment_rows), cut(element_rows)
     found = first_containing(
         segment_rows,
         element_rows.select("session_id", "ordinal", "element_id", F.col("start_ms").alias("e_start"), F.col("end_ms").alias("e_end")),
