@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach
+from .lineage import cut
 
 
 def exact_quantiles(
@@ -39,8 +40,12 @@ def exact_positions(
         .agg(F.count(F.lit(1)).alias("__c"))
     )
     grid = [i / cells for i in range(1, cells)]
-    borders = counted.groupBy(*keys).agg(
-        F.percentile_approx("__x", grid, F.lit(cells * 8)).alias("__borders"), F.sum("__c").alias("__total")
+    # The sketch depends on the order in which partial results arrive, so it is
+    # written once: every later step must see the same cells.
+    borders = cut(
+        counted.groupBy(*keys).agg(
+            F.percentile_approx("__x", grid, F.lit(cells * 8)).alias("__borders"), F.sum("__c").alias("__total")
+        )
     )
     # binary search: number of borders below the value
     halves = ", ".join(str(2**b) for b in reversed(range(bits)))

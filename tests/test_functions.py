@@ -79,6 +79,17 @@ def test_exact_quantiles_with_hot_key_and_copies(spark):
             assert np.allclose([r[f"q{i}"] for i in range(6)], want)
 
 
+def test_exact_quantiles_of_many_partial_sketches(spark):
+    """Large enough that sketches compress and partial results arrive in any order."""
+    df = spark.range(0, 200_000, numPartitions=16).select((F.col("id") % 3).alias("k"), (F.sin(F.col("id")) * 1000).alias("x"))
+    df = df.repartition(16)
+    probs = [0.05, 0.25, 0.5, 0.75]
+    got = exact_quantiles(df, ["k"], "x", probs, ["a", "b", "c", "d"])
+    want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("x", probs).alias("p")).collect()}
+    for r in got.collect():
+        assert np.allclose([r[c] for c in "abcd"], want[r["k"]], rtol=0, atol=1e-9)
+
+
 def test_exact_positions(spark):
     df = spark.range(100).select(F.lit(1).alias("k"), (F.col("id") % 50).cast("double").alias("x"))
     got = exact_positions(df, ["k"], "x", [lambda n: F.floor(n * 0.05), lambda n: n - 1 - F.floor(n * 0.05)], ["a", "b"]).first()
