@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: dict[str, str] = {}  # temporary folder per local application
 
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables of this application.
 
-def shared_dir(df: DataFrame) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
-    spark = df.sparkSession
+    It lies below ``spark.checkpoint.dir``, which the cluster names.  Where that
+    is unset, as in tests, the warehouse folder takes its place, so the same
+    rule holds in every mode and all executors see the files.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if sc.applicationId not in _LOCAL:
-        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="sessionloom-")
-    return _LOCAL[sc.applicationId]
+    root = named or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate"
+    return f"{root.rstrip('/')}/{sc.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -31,6 +27,12 @@ def cut(df: DataFrame) -> DataFrame:
     written table keeps a chain of them linear instead of doubling at each
     step, survives lost executors, and still allows column pruning.
     """
-    path = f"{shared_dir(df)}/cut-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all tables that ``cut`` has written for this application."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

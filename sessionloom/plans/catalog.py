@@ -69,7 +69,6 @@ def _(spark, d):
     return op.in_every_store([e.where("kind = 'view' AND value > 150"), e.where("kind = 'click' AND value > 150"), e.where("kind = 'signup'")])
 
 
-LATEST = "lat AS (SELECT data_id, transform_id, arg_max(status,(ts_ms,seq)) AS status, max((ts_ms,seq)).ts_ms AS ts_ms, max((ts_ms,seq)).seq AS seq FROM (SELECT data_id, transform_id, status, ts_ms, seq FROM px_ledger {more}) GROUP BY 1,2)"
 LATEST = "lat AS (SELECT data_id, transform_id, status, ts_ms, seq FROM (SELECT *, row_number() OVER (PARTITION BY data_id, transform_id ORDER BY ts_ms DESC, seq DESC) AS r FROM (SELECT * FROM px_ledger {more})) WHERE r=1)"
 
 
@@ -120,7 +119,7 @@ def _(spark, d):
 @query("a12_result_store", EYE_GOOD + " SELECT CAST(session_id AS BIGINT) AS session_id, count(*) AS n_rows FROM res GROUP BY 1")
 def _(spark, d):
     out = eye_good(spark, d)
-    path = f"{shared_dir(out)}/result-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/result-{uuid.uuid4().hex}"
     stores.save_results(out, path)
     return stores.session_index(stores.load_results(spark, path)).select(F.col("session_id").cast("long").alias("session_id"), "n_rows")
 
@@ -133,7 +132,7 @@ def _(spark, d):
 @query("a13_nested_store", "SELECT session_id, element_id, start_ms AS times_start_ms, end_ms AS times_end_ms, task_type AS task_task_type FROM px_elements")
 def _(spark, d):
     e = px.elements(spark, d).select("session_id", "element_id", "start_ms", "end_ms", "task_type")
-    path = f"{shared_dir(e)}/tree-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tree-{uuid.uuid4().hex}"
     stores.save_tree(e, path, {"times": ["start_ms", "end_ms"], "task": ["task_type"]})
     return stores.flatten_tree(spark.read.parquet(path))
 

@@ -135,3 +135,16 @@ def test_points_in_intervals_equals_loop(spark):
         assert sorted((r["k"], r["t"], r["name"]) for r in got.collect()) == want
     semi = points_in_intervals(p, iv, ["k"], "t", "a", "b", 64, "left_semi")
     assert semi.count() == len({(k, t) for k, t in pts for kk, o, n, a, b in rows if kk == k and a <= t <= b})
+
+
+def test_cut_lies_in_the_shared_folder_and_is_released(spark):
+    import glob
+
+    from sessionloom.functions.lineage import cut, release, shared_dir
+
+    df = cut(hot_rows(spark, 50))
+    folder = shared_dir(spark).removeprefix("file:")
+    assert df.count() == 50
+    assert glob.glob(f"{folder}/cut-*")
+    release(spark)
+    assert not glob.glob(f"{folder}/*")
