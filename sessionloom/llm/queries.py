@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, secrets, warc
+from . import exact, secrets, simhash, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,11 @@ def _(spark, d):
 
     ddl = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     return map_columns(found, digest, ddl)
+
+
+@query("op7_simhash_ball")
+def _(spark, d):
+    """Components of all documents at three or fewer differing bits."""
+    groups = simhash.near_groups(table(spark, d, "documents"))
+    shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return groups.select("doc_id", shown.alias("fingerprint"), "component_id")
