@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, secrets, simhash, warc
+from . import exact, packing, secrets, simhash, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def _(spark, d):
     groups = simhash.near_groups(table(spark, d, "documents"))
     shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+@query("op8_cutting_stock_packing")
+def _(spark, d):
+    """All documents tokenized, cut and packed into sequences of 2048 tokens."""
+    return packing.pack(packing.pieces(table(spark, d, "documents")))
