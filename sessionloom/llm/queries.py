@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, packing, secrets, simhash, warc
+from . import exact, langid, packing, secrets, simhash, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,17 @@ def _(spark, d):
 def _(spark, d):
     """All documents tokenized, cut and packed into sequences of 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, d, "documents")))
+
+
+def remainder(n: int, id_col: str = "doc_id"):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col(id_col).cast("long").cast("string").cast("binary")) % n
+
+
+@query("op1_byte_cnn_language")
+def _(spark, d):
+    """Language of every document; every fourth is held out of training."""
+    docs = table(spark, d, "documents")
+    model = langid.train(docs, remainder(4, "id") != 2)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
