@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, langid, packing, secrets, simhash, warc
+from . import exact, langid, ngrams, packing, secrets, simhash, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,10 @@ def _(spark, d):
     model = langid.train(docs, remainder(4, "id") != 2)
     held_out = F.coalesce(remainder(4) == 2, F.lit(False))
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_elias_fano_lm")
+def _(spark, d):
+    """Scores of all documents under a model of six sevenths of them."""
+    scored = ngrams.score(table(spark, d, "documents"), remainder(7) == 2)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
