@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, langid, ngrams, packing, secrets, simhash, warc
+from . import exact, langid, mixing, neighbours, ngrams, packing, secrets, simhash, toxicity, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,22 @@ def _(spark, d):
     """Scores of all documents under a model of six sevenths of them."""
     scored = ngrams.score(table(spark, d, "documents"), remainder(7) == 2)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op3_projected_neighbours")
+def _(spark, d):
+    """The 20 nearest by inner product for every twentieth vector."""
+    return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_raked_mixture", mixing.oracle())
+def _(spark, d):
+    """Sampling probabilities of all documents for flattened margins of source, language and topic."""
+    return mixing.mixed(table(spark, d, "documents"))
+
+
+@query("op9_ordinal_toxicity")
+def _(spark, d):
+    """Expected severity of all documents."""
+    docs = table(spark, d, "documents")
+    return toxicity.predict(docs, toxicity.train(docs, table(spark, d, "labels")))

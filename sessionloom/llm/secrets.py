@@ -28,7 +28,7 @@ ALLOWED = re.compile(
     r"|(?:[a-z]+[/_=-]+)+[a-z]*"  # words joined by a sign
     r"|.*(?:example|sample|placeholder|changeme|abcdefgh|12345678).*"
 )
-TERMS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+TERMS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
 def class_of(s: str) -> str:
