@@ -3,19 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionloom.functions.lineage import cut
-from sessionloom.llm import exact
+from sessionloom.llm import exact, langid, mixing, nearcopies, packing
 from sessionloom.session import tune
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the byte network tells; texts without letters go."""
+    model = langid.train(docs, F.lit(True))
+    if model is None:  # nothing is labelled: only texts without letters can be rejected
+        model = langid.fit(["a"], ["unlabelled"], rounds=1)
+    return langid.identified(docs, model)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of texts that are equal but for blanks."""
     return exact.drop_exact(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group linked by 0.8 of their five-word shingles."""
+    return nearcopies.drop_near(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with gently flattened shares of sources, languages and forms of text."""
+    return mixing.drop_unsampled(docs, power=0.9)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and offset."""
+    return packing.pack(packing.pieces(docs))
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("exact dedup", drop_exact_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
+#: A network, shingle links and tokens cannot be said in SQL; tests hold run() against plain versions of the stages.
 ORACLE_SQL = None
 
 
