@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import first_containing, points_in_intervals, with_row
-from ..functions.ordered import over_slices
+from ..functions.ordered import first_k, over_slices
 
 # Label maps in match order, and the label of a map without 'unknown'.
 EYE_LABELS = {"close": 0, "open": 1, "intro": 2, "unknown": 3}
@@ -228,5 +228,5 @@ def inspect_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def sample_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` pairs in session, token, window order."""
-    return pairs.orderBy("session_id", "start_ms", "idx", "time_ms").limit(n)
+    """The first ``n`` pairs of each session in token, window order."""
+    return first_k(pairs, ["session_id"], ["start_ms", "idx", "time_ms"], n, "__rank").drop("__rank")

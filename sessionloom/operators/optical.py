@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import attach, with_row
+from ..functions.ordered import first_k
 from ..functions.quantiles import exact_quantiles
 
+FILE = ["file_id"]
+
 # Sizes of the mixed-radix channel index, slowest digit first.
 WAVELENGTHS, MOMENTS, MODULES, SOURCES, DETECTORS = 2, 3, 48, 3, 6
 N_CHANNELS = WAVELENGTHS * MOMENTS * MODULES * SOURCES * MODULES * DETECTORS
@@ -174,40 +177,48 @@ def _known(kept: DataFrame) -> DataFrame:
     return kept.where(F.col("channel").between(0, N_CHANNELS - 1)).select("channel").distinct()
 
 
-def prune(cells: DataFrame, kept: DataFrame) -> DataFrame:
-    """Cells of the kept channels; all cells when no kept channel is in range.
+def prune(cells: DataFrame, kept: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Cells of the kept channels; all cells of a file whose channels end before the first kept one.
 
     ``kept`` is a subset of the channel dimension.
     """
-    top = cells.agg(F.max("channel").alias("m")).scalar()
-    in_range = _known(kept).withColumn("__top", top).where("channel <= __top").drop("__top")
-    n = in_range.agg(F.count(F.lit(1)).alias("n")).scalar()
-    flagged = cells.join(F.broadcast(in_range.withColumn("__keep", F.lit(True))), "channel", "left").withColumn("__n", n)
-    return flagged.where("__keep OR __n = 0").drop("__keep", "__n")
+    known = _known(kept)
+    lowest = known.agg(F.min("channel").alias("m")).scalar()
+    top = cells.groupBy(*keys).agg(F.max("channel").alias("__top"))
+    flagged = cells.join(F.broadcast(known.withColumn("__keep", F.lit(True))), "channel", "left")
+    flagged = attach(flagged, top, keys).withColumn("__lowest", lowest)
+    return flagged.where("__keep OR __lowest IS NULL OR __lowest > __top").select(*cells.columns)
 
 
 def finite(c: Column) -> Column:
     return ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
-def validity(cells: DataFrame, kept: DataFrame, first_frames: int = 1000) -> DataFrame:
-    """Valid channels among the kept and the other ones, over the first frames."""
-    ok = finite(F.col("value")).cast("int")
-    per = cells.where(F.col("frame") < first_frames).groupBy("channel").agg(F.max(ok).alias("valid"))
-    inside = F.broadcast(_known(kept).withColumn("kept", F.lit(1)))
-    j = per.join(inside, "channel", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
-    one = lambda k, v: F.count_if((F.col("kept") == k) & (F.col("valid") == v))
-    return j.agg(
-        one(1, 1).alias("included_valid"),
-        one(1, 0).alias("included_invalid"),
-        one(0, 1).alias("excluded_valid"),
-        (one(1, 1) / F.nullif(F.count_if(F.col("kept") == 1), F.lit(0)) * 100.0).alias("valid_percent"),
+def validity(cells: DataFrame, kept: DataFrame, keys: list[str] = FILE, first_frames: int | None = None) -> DataFrame:
+    """Per file: valid channels among the kept and the other ones.
+
+    A kept channel without cells is not valid, but counts for the percent.
+    ``first_frames`` restricts the look to the first frames if it is given.
+    """
+    seen = cells if first_frames is None else cells.where(F.col("frame") < first_frames)
+    per = seen.groupBy(*keys, "channel").agg(F.max(finite(F.col("value")).cast("int")).alias("valid"))
+    inside = F.broadcast(_known(kept).withColumn("__kept", F.lit(1)))
+    n = F.lit(_known(kept).agg(F.count(F.lit(1)).alias("n")).scalar())
+    j = per.join(inside, "channel", "left")
+    return (
+        j.groupBy(*keys)
+        .agg(
+            F.count_if((F.col("__kept") == 1) & (F.col("valid") == 1)).alias("included_valid"),
+            F.count_if(F.col("__kept").isNull() & (F.col("valid") == 1)).alias("excluded_valid"),
+        )
+        .withColumn("included_invalid", n - F.col("included_valid"))
+        .withColumn("valid_percent", F.col("included_valid") / F.nullif(n, F.lit(0)) * 100.0)
     )
 
 
-def describe(decoded_cells: DataFrame) -> DataFrame:
-    """Statistics of the logarithm of positive values per moment and wavelength."""
-    keys = ["moment", "wave"]
+def describe(decoded_cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Per file: statistics of the logarithm of positive values per moment and wavelength."""
+    keys = [*keys, "moment", "wave"]
     v = F.col("value")
     # ln(inf) is infinite and left out like NaN; infinities count as data points
     logged = decoded_cells.select(*keys, F.when((v > 0) & finite(v), F.ln(v)).alias("x"))
@@ -228,33 +239,33 @@ def describe(decoded_cells: DataFrame) -> DataFrame:
     )
 
 
-def per_channel_flags(cells: DataFrame) -> DataFrame:
-    """Per channel: was a value other than -inf ever seen, was -inf ever seen."""
+def per_channel_flags(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Per channel of a file: was a value other than -inf ever seen, was -inf ever seen."""
     gone = F.col("value") == NEG_INF
-    return cells.groupBy("channel").agg(
+    return cells.groupBy(*keys, "channel").agg(
         F.max((~gone).cast("int")).alias("ever_valid"), F.max(gone.cast("int")).alias("ever_inf")
     )
 
 
-def ever_valid(cells: DataFrame) -> DataFrame:
-    """Counts of ever-valid and always -inf channels and valid source-detector pairs.
+def ever_valid(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Per file: ever-valid and always -inf channels and valid source-detector pairs.
 
     A channel of the dimension without any cell counts as always -inf.
     """
-    flags = per_channel_flags(cells).where("ever_valid = 1")
-    return flags.agg(
-        F.count(F.lit(1)).alias("ever_valid_channels"),
-        (F.lit(N_CHANNELS) - F.count(F.lit(1))).alias("always_inf_channels"),
-        F.count_distinct(F.col("channel") % PAIRS).alias("valid_pairs"),
+    seen = F.col("ever_valid") == 1
+    return per_channel_flags(cells, keys).groupBy(*keys).agg(
+        F.count_if(seen).alias("ever_valid_channels"),
+        (F.lit(N_CHANNELS) - F.count_if(seen)).alias("always_inf_channels"),
+        F.count_distinct(F.when(seen, F.col("channel") % PAIRS)).alias("valid_pairs"),
     )
 
 
-def module_pairs(cells: DataFrame) -> DataFrame:
-    """Ever-valid channels per (source module, detector module); sets hold ids 1..6."""
+def module_pairs(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Ever-valid channels per file, source module and detector module; sets hold ids 1..6."""
     ids = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     return (
-        decode(per_channel_flags(cells).where("ever_valid = 1"))
-        .groupBy("src_mod", "det_mod")
+        decode(per_channel_flags(cells, keys).where("ever_valid = 1"))
+        .groupBy(*keys, "src_mod", "det_mod")
         .agg(
             F.count(F.lit(1)).alias("n_channels"),
             ids("src_id").alias("source_ids"),
@@ -264,43 +275,43 @@ def module_pairs(cells: DataFrame) -> DataFrame:
     )
 
 
-def evenly_spaced(cells: DataFrame, n: int, frame: str = "frame") -> DataFrame:
-    """Cells of ``n`` evenly spaced frames out of 0..max, decided row by row."""
-    last = cells.agg(F.max(frame).cast("double").alias("m")).scalar()
+def evenly_spaced(cells: DataFrame, n: int, frame: str = "frame", keys: list[str] = FILE) -> DataFrame:
+    """Cells of ``n`` evenly spaced frames out of 0..last of their file, decided row by row."""
+    last = cells.groupBy(*keys).agg(F.max(frame).cast("double").alias("__last"))
     f = F.col(frame)
     # frame i*step (rounded down), i = 0..n-1; all frames when there are at most n
     step = F.greatest(F.lit(1.0), F.col("__last") / F.lit(float(max(n - 1, 1))))
     i = F.floor(f / step)
     hit = lambda k: (F.floor(k * step) == f) & (k <= n - 1)
     few = F.col("__last") + 1 <= n
-    return cells.withColumn("__last", last).where(few | hit(i) | hit(i + 1)).drop("__last")
+    return attach(cells, last, keys).where(few | hit(i) | hit(i + 1)).select(*cells.columns)
 
 
-def random_frames(cells: DataFrame, n: int, seed: int, frame: str = "frame") -> DataFrame:
-    """Frame numbers of a reproducible random sample."""
+def random_frames(cells: DataFrame, n: int, seed: int, frame: str = "frame", keys: list[str] = FILE) -> DataFrame:
+    """Frame numbers of a reproducible random sample of each file."""
     key = F.md5(F.concat_ws("-", F.col(frame).cast("string"), F.lit(str(seed))))
-    return cells.select(frame).distinct().orderBy(key, frame).limit(n)
+    return first_k(cells.select(*keys, frame).distinct(), keys, [key, frame], n, "__rank").drop("__rank")
 
 
-def transitions(cells: DataFrame, n_frames: int) -> DataFrame:
-    """Channels that are valid in some of the sampled frames and -inf in others.
+def transitions(cells: DataFrame, n_frames: int, keys: list[str] = FILE) -> DataFrame:
+    """Channels of a file that are valid in some of its sampled frames and -inf in others.
 
     The frame lists hold at most ``n_frames`` numbers.
     """
     gone = F.col("value") == NEG_INF
     frames = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("frame")))), ",")
-    per = evenly_spaced(cells, n_frames).groupBy("channel").agg(
+    per = evenly_spaced(cells, n_frames, keys=keys).groupBy(*keys, "channel").agg(
         frames(~gone).alias("valid_frames"), frames(gone).alias("inf_frames")
     )
     return with_name(decode(per.where("valid_frames <> '' AND inf_frames <> ''")))
 
 
-def transitioning_pairs(cells: DataFrame, n_frames: int) -> DataFrame:
-    """Source-detector pairs seen both valid and -inf in the sampled frames."""
+def transitioning_pairs(cells: DataFrame, n_frames: int, keys: list[str] = FILE) -> DataFrame:
+    """Source-detector pairs of a file seen both valid and -inf in its sampled frames."""
     gone = F.col("value") == NEG_INF
     return (
-        evenly_spaced(cells, n_frames)
-        .groupBy((F.col("channel") % PAIRS).alias("pair"))
+        evenly_spaced(cells, n_frames, keys=keys)
+        .groupBy(*keys, (F.col("channel") % PAIRS).alias("pair"))
         .agg(
             F.count_distinct(F.when(~gone, F.col("frame"))).alias("n_valid_frames"),
             F.count_distinct(F.when(gone, F.col("frame"))).alias("n_inf_frames"),
@@ -309,30 +320,36 @@ def transitioning_pairs(cells: DataFrame, n_frames: int) -> DataFrame:
     )
 
 
-def pair_consistency(cells: DataFrame) -> DataFrame:
-    """Pairs whose channels are all, partly or never valid."""
+def pair_consistency(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Per file: pairs whose six channels are all, partly or never valid.
+
+    Channels and pairs without cells count as -inf.
+    """
+    each = WAVELENGTHS * MOMENTS
     pairs = (
-        per_channel_flags(cells)
-        .groupBy((F.col("channel") % PAIRS).alias("pair"))
-        .agg(F.sum("ever_valid").alias("v"), F.count(F.lit(1)).alias("n"))
+        per_channel_flags(cells, keys)
+        .groupBy(*keys, (F.col("channel") % PAIRS).alias("pair"))
+        .agg(F.sum("ever_valid").alias("v"))
     )
-    return pairs.agg(
-        F.count_if(F.col("v") == F.col("n")).alias("fully_valid"),
-        F.count_if((F.col("v") > 0) & (F.col("v") < F.col("n"))).alias("partly_valid"),
-        F.count_if(F.col("v") == 0).alias("fully_invalid"),
+    return (
+        pairs.groupBy(*keys)
+        .agg(
+            F.count_if(F.col("v") == each).alias("fully_valid"),
+            F.count_if((F.col("v") > 0) & (F.col("v") < each)).alias("partly_valid"),
+        )
+        .withColumn("fully_invalid", F.lit(PAIRS) - F.col("fully_valid") - F.col("partly_valid"))
     )
 
 
-def mixed_pairs(cells: DataFrame, limit: int = 10) -> DataFrame:
-    """The first frames in which one pair has valid and -inf channels at once."""
+def mixed_pairs(cells: DataFrame, k: int = 10, keys: list[str] = FILE) -> DataFrame:
+    """The first ``k`` (frame, pair) of each file with valid and -inf channels at once."""
     gone = F.col("value") == NEG_INF
-    return (
-        cells.groupBy("frame", (F.col("channel") % PAIRS).alias("pair"))
+    mixed = (
+        cells.groupBy(*keys, "frame", (F.col("channel") % PAIRS).alias("pair"))
         .agg(F.count_if(~gone).alias("n_valid"), F.count_if(gone).alias("n_inf"))
         .where("n_valid > 0 AND n_inf > 0")
-        .orderBy("frame", "pair")
-        .limit(limit)
     )
+    return first_k(mixed, keys, ["frame", "pair"], k, "__rank").drop("__rank")
 
 
 def value_stats(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -404,26 +421,27 @@ def filter_channels(mapped: DataFrame, **allowed: list) -> DataFrame:
     return mapped
 
 
-def valid_above(cells: DataFrame, least: float = 0.0) -> DataFrame:
-    """Channels with a finite value above ``least``."""
+def valid_above(cells: DataFrame, least: float = 0.0, keys: list[str] = FILE) -> DataFrame:
+    """Channels of each file with a finite value above ``least``."""
     return (
-        cells.groupBy("channel")
+        cells.groupBy(*keys, "channel")
         .agg(F.max(F.when(finite(F.col("value")), F.col("value"))).alias("top"))
         .where(F.col("top") > least)
-        .select("channel")
+        .select(*keys, "channel")
     )
 
 
-def infinite_cells(cells: DataFrame, k: int = 20) -> DataFrame:
-    """The first infinite cells in (frame, channel) order."""
-    return cells.where(F.abs("value") == float("inf")).orderBy("frame", "channel", "file_id").limit(k)
+def infinite_cells(cells: DataFrame, k: int = 20, keys: list[str] = FILE) -> DataFrame:
+    """The first ``k`` infinite cells of each file in (frame, channel) order; smaller values first on ties."""
+    found = cells.where(F.abs("value") == float("inf"))
+    return first_k(found, keys, ["frame", "channel", "value"], k, "__rank").drop("__rank")
 
 
-def inf_by_frame_channel(cells: DataFrame) -> DataFrame:
-    """-inf cells per frame and channel, and whether all cells there are -inf."""
+def inf_by_frame_channel(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """-inf cells per file, frame and channel, and whether all cells there are -inf."""
     gone = F.col("value") == NEG_INF
     return (
-        cells.groupBy("frame", "channel")
+        cells.groupBy(*keys, "frame", "channel")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(gone).alias("n_inf"))
         .where("n_inf > 0")
         .withColumn("fully_inf", F.col("n") == F.col("n_inf"))
@@ -434,8 +452,8 @@ def inf_by_frame_channel(cells: DataFrame) -> DataFrame:
 LADDER = [0, 0.1, 1, 5, 10, 25, 50, 75, 90, 95, 99, 99.9, 100]
 
 
-def value_audit(cells: DataFrame) -> DataFrame:
-    """Counts of troublesome values, and channels with any and with only such values."""
+def value_audit(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Per file: counts of troublesome values, and channels with any and with only such values."""
     v = F.col("value")
     kinds = {
         "nan": F.isnan(v),
@@ -443,10 +461,10 @@ def value_audit(cells: DataFrame) -> DataFrame:
         "zero": v == 0,
         "negative": (v < 0) & (v != NEG_INF),
     }
-    per = cells.groupBy("channel").agg(
+    per = cells.groupBy(*keys, "channel").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in kinds.items()]
     )
-    return per.agg(
+    return per.groupBy(*keys).agg(
         F.sum("n").alias("total"),
         *[F.sum(k).alias(f"n_{k}") for k in kinds],
         *[F.count_if(F.col(k) > 0).alias(f"channels_with_{k}") for k in kinds],
@@ -454,13 +472,13 @@ def value_audit(cells: DataFrame) -> DataFrame:
     )
 
 
-def value_ladder(cells: DataFrame) -> DataFrame:
-    """Percentiles of the positive finite values."""
+def value_ladder(cells: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """Percentiles of the positive finite values of each file."""
     v = F.col("value")
     names = [f"p{i}" for i in range(len(LADDER))]
-    q = exact_quantiles(cells.where(finite(v) & (v > 0)), [], "value", [p / 100.0 for p in LADDER], names)
+    q = exact_quantiles(cells.where(finite(v) & (v > 0)), keys, "value", [p / 100.0 for p in LADDER], names)
     rows = [F.struct(F.lit(float(p)).alias("percentile"), F.col(n).alias("value")) for p, n in zip(LADDER, names)]
-    return q.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return q.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
 
 
 # --- sensor positions -----------------------------------------------------

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.joins import attach, with_row
-from ..functions.ordered import over_slices
+from ..functions.joins import attach
+from ..functions.ordered import first_k, over_slices
 from ..functions.quantiles import exact_median
 
 
@@ -54,41 +54,33 @@ def gap_stats(gaps: DataFrame, keys: list[str]) -> DataFrame:
     return stats.join(median, keys).withColumn("hz", F.try_divide(F.lit(1000.0), F.col("mean_gap")))
 
 
-def gap_outliers(gaps: DataFrame, keys: list[str], n_std: float = 3.0, top: int = 10) -> DataFrame:
-    """The gaps farthest from the median of their key, beyond ``n_std`` stds."""
+def gap_outliers(gaps: DataFrame, keys: list[str], order: list[str], n_std: float = 3.0, top: int = 10) -> DataFrame:
+    """The ``top`` gaps of each key farthest from its median, beyond ``n_std`` stds; ties by ``order``."""
     stats = gap_stats(gaps, keys).select(*keys, "median_gap", "std_gap")
     far = F.abs(F.col("gap") - F.col("median_gap"))
-    return (
-        attach(gaps, stats, keys)
-        .withColumn("deviation", far)
-        .where(F.col("deviation") > n_std * F.col("std_gap"))
-        .orderBy(F.col("deviation").desc(), *[c for c in gaps.columns if c not in ("gap",)])
-        .limit(top)
-    )
+    found = attach(gaps, stats, keys).withColumn("deviation", far).where(F.col("deviation") > n_std * F.col("std_gap"))
+    return first_k(found, keys, [F.col("deviation").desc(), *order], top, "__rank").drop("__rank")
 
 
-def common_gaps(gaps: DataFrame, digits: int = 2, top: int = 10) -> DataFrame:
-    """The most common rounded gaps with their percent."""
-    per = gaps.groupBy(F.bround("gap", digits).alias("gap")).agg(F.count(F.lit(1)).alias("n"))
-    total = per.agg(F.sum("n").alias("total"))
-    return (
-        with_row(per.orderBy(F.col("n").desc(), "gap").limit(top), total)
-        .withColumn("percent", F.col("n") * 100.0 / F.col("total"))
-        .drop("total")
-    )
+def common_gaps(gaps: DataFrame, keys: list[str], digits: int = 2, top: int = 10) -> DataFrame:
+    """The ``top`` most common rounded gaps of each key with their percent."""
+    per = gaps.groupBy(*keys, F.bround("gap", digits).alias("gap")).agg(F.count(F.lit(1)).alias("n"))
+    total = per.groupBy(*keys).agg(F.sum("n").alias("total"))
+    best = first_k(per, keys, [F.col("n").desc(), "gap"], top, "__rank").drop("__rank")
+    return best.join(total, keys).withColumn("percent", F.col("n") * 100.0 / F.col("total")).drop("total")
 
 
-def offsets(rows: DataFrame, modality: str, ts: str = "ts_ms", offset: str = "offset_ms") -> DataFrame:
-    """Offset statistics per modality and its start relative to the earliest one."""
-    per = rows.groupBy(modality).agg(
+def offsets(rows: DataFrame, modality: str, keys: list[str], ts: str = "ts_ms", offset: str = "offset_ms") -> DataFrame:
+    """Offset statistics per key and modality, and its start relative to the key's earliest one."""
+    per = rows.groupBy(*keys, modality).agg(
         F.min(offset).alias("min_offset"),
         F.max(offset).alias("max_offset"),
         F.avg(offset).alias("mean_offset"),
         F.stddev_pop(offset).alias("std_offset"),
         F.min(ts).alias("__start"),
     )
-    first = per.agg(F.min("__start").alias("__first"))
-    return with_row(per, first).withColumn("start_s", (F.col("__start") - F.col("__first")) / 1000.0).drop("__start", "__first")
+    first = per.groupBy(*keys).agg(F.min("__start").alias("__first"))
+    return per.join(first, keys).withColumn("start_s", (F.col("__start") - F.col("__first")) / 1000.0).drop("__start", "__first")
 
 
 def inventory(tables: dict[str, DataFrame], modalities: dict[str, list[str]] | None = None) -> DataFrame:

@@ -187,15 +187,22 @@ def bad_mask(
     )
 
 
-def channels_clipped(samples: DataFrame, least: float = 0.5, flat: float = 0.1, n_std: float = 5.0, first: int = 22) -> DataFrame:
-    """Active channels by the std after clipping; all first channels if none is active."""
+def _listed(samples: DataFrame, channels: DataFrame | None) -> DataFrame:
+    return samples if channels is None else samples.join(channels.select("channel").distinct(), "channel", "left_semi")
+
+
+def channels_clipped(samples: DataFrame, least: float = 0.5, flat: float = 0.1, n_std: float = 5.0, channels: DataFrame | None = None) -> DataFrame:
+    """Active channels by the std after clipping; all channels of a session if none is active.
+
+    ``channels`` (column channel) restricts which are looked at.
+    """
+    samples = _listed(samples, channels)
     m = samples.groupBy(*K).agg(F.avg("x").alias("__m"), F.stddev_pop("x").alias("__s"))
     lo, hi = F.col("__m") - n_std * F.col("__s"), F.col("__m") + n_std * F.col("__s")
     per = (
         attach(samples, m, K)
         .groupBy(*K)
         .agg(F.stddev_pop(F.least(F.greatest(F.col("x"), lo), hi)).alias("std"))
-        .where(F.col("channel") < first)
         .withColumn("active", (F.col("std") > least) & (F.col("std") >= flat))
     )
     any_active = per.groupBy(*S).agg(F.max("active").alias("__any"))
@@ -203,10 +210,11 @@ def channels_clipped(samples: DataFrame, least: float = 0.5, flat: float = 0.1,
 
 
 def channel_status(
-    samples: DataFrame, mask: DataFrame, least: float = 0.05, most: float = 1000.0, good_share: float = 0.3, first: int = 30
+    samples: DataFrame, mask: DataFrame, least: float = 0.05, most: float = 1000.0, good_share: float = 0.3,
+    channels: DataFrame | None = None,
 ) -> DataFrame:
-    """Status and reason per channel from its good samples."""
-    joined = samples.where(F.col("channel") < first).join(mask, [*S, "sample"])
+    """Status and reason per channel from its good samples; ``channels`` restricts which are looked at."""
+    joined = _listed(samples, channels).join(mask, [*S, "sample"])
     good = F.when(~F.col("bad"), F.col("x"))
     per = joined.groupBy(*K).agg(
         F.count(F.lit(1)).alias("n"), F.count(good).alias("n_good"), F.stddev_pop(good).alias("s"), F.avg(good).alias("mean")

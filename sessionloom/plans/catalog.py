@@ -62,11 +62,11 @@ def _(spark, d):
 
 @query(
     "a6_sessions_in_every_store",
-    "SELECT session_id FROM px_events WHERE kind='view' AND value>150 INTERSECT SELECT session_id FROM px_events WHERE kind='click' AND value>150 INTERSECT SELECT session_id FROM px_events WHERE kind='signup'",
+    "SELECT session_id FROM px_events WHERE kind='view' INTERSECT SELECT session_id FROM px_events WHERE kind='click' INTERSECT SELECT session_id FROM px_events WHERE kind='signup'",
 )
 def _(spark, d):
     e = px.events(spark, d)
-    return op.in_every_store([e.where("kind = 'view' AND value > 150"), e.where("kind = 'click' AND value > 150"), e.where("kind = 'signup'")])
+    return op.in_every_store([e.where("kind = 'view'"), e.where("kind = 'click'"), e.where("kind = 'signup'")])
 
 
 LATEST = "lat AS (SELECT data_id, transform_id, status, ts_ms, seq FROM (SELECT *, row_number() OVER (PARTITION BY data_id, transform_id ORDER BY ts_ms DESC, seq DESC) AS r FROM (SELECT * FROM px_ledger {more})) WHERE r=1)"

@@ -195,7 +195,7 @@ def _(spark, d):
 
 @query(
     "j19_sample_token_windows",
-    PAIRS + " SELECT session_id, idx, token, time_ms FROM pairs ORDER BY session_id, start_ms, idx, time_ms LIMIT 10",
+    PAIRS + " SELECT session_id, idx, token, time_ms FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY start_ms, idx, time_ms) AS r FROM pairs) WHERE r<=10",
 )
 def _(spark, d):
     return op.sample_pairs(pairs(spark, d)).select("session_id", "idx", "token", "time_ms")

@@ -13,9 +13,8 @@ FIN = "isfinite(value)"
 NEG = "value = CAST('-inf' AS DOUBLE)"
 USED = "(SELECT DISTINCT channel FROM px_cells)"
 MODS = "(SELECT DISTINCT CAST(s_nationkey+1 AS INT) AS mod FROM supplier)"
-# The device has 42 modules; positions of others are unknown.
 DIST = f"""dist AS (SELECT c.*, coalesce(sqrt((s.x-d.x)**2+(s.y-d.y)**2+(s.z-d.z)**2), CAST('inf' AS DOUBLE)) AS distance FROM px_channels c JOIN {USED} u USING (channel)
- LEFT JOIN (SELECT * FROM px_layout WHERE kind='source' AND mod<=42) s ON s.mod=c.src_mod AND s.part=c.src_id LEFT JOIN (SELECT * FROM px_layout WHERE kind='detector' AND mod<=42) d ON d.mod=c.det_mod AND d.part=c.det_id)"""
+ LEFT JOIN (SELECT * FROM px_layout WHERE kind='source') s ON s.mod=c.src_mod AND s.part=c.src_id LEFT JOIN (SELECT * FROM px_layout WHERE kind='detector') d ON d.mod=c.det_mod AND d.part=c.det_id)"""
 DOUT = "CASE WHEN isinf(distance) THEN -1 ELSE round(distance,4) END AS distance"
 
 
@@ -27,12 +26,8 @@ def used(spark, d):
     return px.cells(spark, d).select("channel").distinct()
 
 
-def device(spark, d):
-    return px.layout(spark, d).where("mod <= 42")
-
-
 def distances(spark, d):
-    return op.distances(op.decode(used(spark, d)), device(spark, d))
+    return op.distances(op.decode(used(spark, d)), px.layout(spark, d))
 
 
 def dist_out(df):
@@ -123,7 +118,8 @@ def _(spark, d):
 
 @query(
     "g8_prune_frames",
-    f"WITH {DIST} SELECT file_id, frame, channel, count(*) AS n FROM px_cells WHERE channel IN (SELECT channel FROM dist WHERE distance<=25) GROUP BY 1,2,3",
+    f"""WITH {DIST}, kept AS (SELECT channel FROM dist WHERE distance<=25), top AS (SELECT file_id, max(channel)<(SELECT min(channel) FROM kept) AS beyond FROM px_cells GROUP BY 1)
+ SELECT file_id, frame, channel, count(*) AS n FROM px_cells JOIN top USING (file_id) WHERE beyond OR channel IN (SELECT channel FROM kept) GROUP BY 1,2,3""",
 )
 def _(spark, d):
     out = op.prune(px.cells(spark, d), op.feasible(distances(spark, d), None, 25.0))
@@ -132,18 +128,19 @@ def _(spark, d):
 
 @query(
     "g8_prune_without_match",
-    "SELECT count(*) AS n, count(DISTINCT channel) AS n_channels FROM px_cells",
+    "SELECT file_id, count(*) AS n, count(DISTINCT channel) AS n_channels FROM px_cells GROUP BY 1",
 )
 def _(spark, d):
     none = op.feasible(distances(spark, d), None, -1.0)
-    return op.prune(px.cells(spark, d), none).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("channel").alias("n_channels"))
+    return op.prune(px.cells(spark, d), none).groupBy("file_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("channel").alias("n_channels"))
 
 
 @query(
     "g9_channel_validity",
-    f"""WITH {DIST}, v AS (SELECT channel, bool_or({FIN}) AS valid, channel IN (SELECT channel FROM dist WHERE distance<=25) AS kept FROM px_cells WHERE frame<1000 GROUP BY 1)
- SELECT count(*) FILTER (kept AND valid) AS included_valid, count(*) FILTER (kept AND NOT valid) AS included_invalid, count(*) FILTER (NOT kept AND valid) AS excluded_valid,
-  round(count(*) FILTER (kept AND valid)/nullif(count(*) FILTER (kept),0)::DOUBLE*100,6) AS valid_percent FROM v""",
+    f"""WITH {DIST}, kept AS (SELECT channel FROM dist WHERE distance<=25), nk AS (SELECT count(*) AS n FROM kept), v AS (SELECT file_id, channel, bool_or({FIN}) AS valid FROM px_cells GROUP BY 1,2),
+ k AS (SELECT f.file_id, count(v.channel) FILTER (v.valid) AS included_valid FROM (SELECT DISTINCT file_id FROM px_cells) f CROSS JOIN kept LEFT JOIN v ON v.file_id=f.file_id AND v.channel=kept.channel GROUP BY 1),
+ o AS (SELECT file_id, count(*) FILTER (valid AND channel NOT IN (SELECT channel FROM kept)) AS excluded_valid FROM v GROUP BY 1)
+ SELECT file_id, included_valid, n-included_valid AS included_invalid, excluded_valid, round(included_valid/n::DOUBLE*100,6) AS valid_percent FROM k JOIN o USING (file_id), nk""",
 )
 def _(spark, d):
     return rounded(op.validity(px.cells(spark, d), op.feasible(distances(spark, d), None, 25.0)))
@@ -151,21 +148,21 @@ def _(spark, d):
 
 @query(
     "g10_describe_moment_wavelength",
-    f"""WITH l AS (SELECT moment, wave, CASE WHEN value>0 AND {FIN} THEN ln(value) END AS x FROM px_cells JOIN px_channels USING (channel))
- SELECT moment, wave, count(*) AS n_points, count(x) AS n, count(*) FILTER (x<>0) AS n_nonzero, round(min(x),6) AS min, round(avg(x),6) AS mean, round(max(x),6) AS max, round(stddev_pop(x),6) AS std,
+    f"""WITH l AS (SELECT file_id, moment, wave, CASE WHEN value>0 AND {FIN} THEN ln(value) END AS x FROM px_cells JOIN px_channels USING (channel))
+ SELECT file_id, moment, wave, count(*) AS n_points, count(x) AS n, count(*) FILTER (x<>0) AS n_nonzero, round(min(x),6) AS min, round(avg(x),6) AS mean, round(max(x),6) AS max, round(stddev_pop(x),6) AS std,
   round(quantile_cont(x,0.25),6) AS q1, round(median(x),6) AS median, round(quantile_cont(x,0.75),6) AS q3, round(quantile_cont(x,0.75)-quantile_cont(x,0.25),6) AS iqr,
-  round(count(*) FILTER (x<>0)/count(*)::DOUBLE*100,6) AS finite_nonzero_percent FROM l GROUP BY 1,2""",
+  round(count(*) FILTER (x<>0)/count(*)::DOUBLE*100,6) AS finite_nonzero_percent FROM l GROUP BY 1,2,3""",
 )
 def _(spark, d):
     return rounded(op.describe(op.decode(px.cells(spark, d))))
 
 
-FLAGS = f"flags AS (SELECT channel, bool_or(NOT ({NEG})) AS ev, bool_or({NEG}) AS ei FROM px_cells GROUP BY 1)"
+FLAGS = f"flags AS (SELECT file_id, channel, bool_or(NOT ({NEG})) AS ev FROM px_cells GROUP BY 1,2)"
 
 
 @query(
     "g11_ever_valid",
-    f"WITH {FLAGS} SELECT count(*) AS ever_valid_channels, 248832-count(*) AS always_inf_channels, count(DISTINCT channel%41472) AS valid_pairs FROM flags WHERE ev",
+    f"WITH {FLAGS} SELECT file_id, count(*) FILTER (ev) AS ever_valid_channels, 248832-count(*) FILTER (ev) AS always_inf_channels, count(DISTINCT channel%41472) FILTER (ev) AS valid_pairs FROM flags GROUP BY 1",
 )
 def _(spark, d):
     return op.ever_valid(px.cells(spark, d))
@@ -173,53 +170,55 @@ def _(spark, d):
 
 @query(
     "g11_module_pairs",
-    f"""WITH {FLAGS} SELECT src_mod, det_mod, count(*) AS n_channels, array_to_string(list_sort(list_distinct(list(src_id))),',') AS source_ids, array_to_string(list_sort(list_distinct(list(det_id))),',') AS detector_ids,
- count(DISTINCT (src_id,det_id)) AS n_pairs FROM flags JOIN px_channels USING (channel) WHERE ev GROUP BY 1,2""",
+    f"""WITH {FLAGS} SELECT file_id, src_mod, det_mod, count(*) AS n_channels, array_to_string(list_sort(list_distinct(list(src_id))),',') AS source_ids, array_to_string(list_sort(list_distinct(list(det_id))),',') AS detector_ids,
+ count(DISTINCT (src_id,det_id)) AS n_pairs FROM flags JOIN px_channels USING (channel) WHERE ev GROUP BY 1,2,3""",
 )
 def _(spark, d):
     return op.module_pairs(px.cells(spark, d))
 
 
 def spaced_sql(n: int) -> str:
-    return f"""last AS (SELECT max(frame)::DOUBLE AS m FROM px_cells), pickf AS (SELECT DISTINCT CAST(floor(i*greatest(1.0::DOUBLE, m/{n - 1}::DOUBLE)) AS BIGINT) AS frame FROM last, range(0,{n}) r(i)),
- spaced AS (SELECT * FROM px_cells WHERE frame IN (SELECT frame FROM pickf))"""
+    """Frames as in numpy.linspace(0, last, n, dtype=int), of each file."""
+    return f"""last AS (SELECT file_id, max(frame)::DOUBLE AS m FROM px_cells GROUP BY 1), pickf AS (SELECT DISTINCT file_id, CAST(floor(i*greatest(1.0::DOUBLE, m/{n - 1}::DOUBLE)) AS BIGINT) AS frame FROM last, range(0,{n}) r(i)),
+ spaced AS (SELECT * FROM px_cells SEMI JOIN pickf USING (file_id, frame))"""
 
 
 @query(
     "g12_channel_transitions",
-    f"""WITH {spaced_sql(4000)}, t AS (SELECT channel, array_to_string(list_sort(list_distinct(list(frame) FILTER (NOT ({NEG})))),',') AS valid_frames, array_to_string(list_sort(list_distinct(list(frame) FILTER ({NEG}))),',') AS inf_frames FROM spaced GROUP BY 1)
- SELECT channel, {NAME} AS name, valid_frames, inf_frames FROM t JOIN px_channels USING (channel) WHERE coalesce(valid_frames,'')<>'' AND coalesce(inf_frames,'')<>''""",
+    f"""WITH {spaced_sql(4000)}, t AS (SELECT file_id, channel, array_to_string(list_sort(list_distinct(list(frame) FILTER (NOT ({NEG})))),',') AS valid_frames, array_to_string(list_sort(list_distinct(list(frame) FILTER ({NEG}))),',') AS inf_frames FROM spaced GROUP BY 1,2)
+ SELECT file_id, channel, {NAME} AS name, valid_frames, inf_frames FROM t JOIN px_channels USING (channel) WHERE coalesce(valid_frames,'')<>'' AND coalesce(inf_frames,'')<>''""",
 )
 def _(spark, d):
-    return op.transitions(px.cells(spark, d), 4000).select("channel", "name", "valid_frames", "inf_frames")
+    return op.transitions(px.cells(spark, d), 4000).select("file_id", "channel", "name", "valid_frames", "inf_frames")
 
 
 @query(
     "g12_transitioning_pairs",
-    f"""WITH {spaced_sql(4000)} SELECT channel%41472 AS pair, count(DISTINCT frame) FILTER (NOT ({NEG})) AS n_valid_frames, count(DISTINCT frame) FILTER ({NEG}) AS n_inf_frames FROM spaced GROUP BY 1
+    f"""WITH {spaced_sql(4000)} SELECT file_id, channel%41472 AS pair, count(DISTINCT frame) FILTER (NOT ({NEG})) AS n_valid_frames, count(DISTINCT frame) FILTER ({NEG}) AS n_inf_frames FROM spaced GROUP BY 1,2
  HAVING count(*) FILTER (NOT ({NEG}))>0 AND count(*) FILTER ({NEG})>0""",
 )
 def _(spark, d):
     return op.transitioning_pairs(px.cells(spark, d), 4000)
 
 
+# Each file has all 41,472 pairs of six channels; what has no cell is -inf.
 @query(
     "g13_pair_consistency",
-    f"""WITH {FLAGS}, p AS (SELECT channel%41472 AS pair, count(*) FILTER (ev) AS v, count(*) AS n FROM flags GROUP BY 1)
- SELECT count(*) FILTER (v=n) AS fully_valid, count(*) FILTER (v>0 AND v<n) AS partly_valid, count(*) FILTER (v=0) AS fully_invalid FROM p""",
+    f"""WITH {FLAGS}, p AS (SELECT file_id, channel%41472 AS pair, count(*) FILTER (ev) AS v FROM flags GROUP BY 1,2)
+ SELECT file_id, count(*) FILTER (v=6) AS fully_valid, count(*) FILTER (v BETWEEN 1 AND 5) AS partly_valid, 41472-count(*) FILTER (v>0) AS fully_invalid FROM p GROUP BY 1""",
 )
 def _(spark, d):
     return op.pair_consistency(px.cells(spark, d))
 
 
-# An order is one frame of its parts, so a pair is the part of an order here.
+# A hundred orders are one frame of their parts here, so that pairs meet.
 @query(
     "g13_mixed_pairs",
-    f"""SELECT frame//100 AS frame, channel%41472 AS pair, count(*) FILTER (NOT ({NEG})) AS n_valid, count(*) FILTER ({NEG}) AS n_inf FROM px_cells GROUP BY 1,2
- HAVING count(*) FILTER (NOT ({NEG}))>0 AND count(*) FILTER ({NEG})>0 ORDER BY 1,2 LIMIT 10""",
+    f"""SELECT file_id, frame, pair, n_valid, n_inf FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY frame, pair) AS r FROM
+ (SELECT file_id%7 AS file_id, frame//100 AS frame, channel%41472 AS pair, count(*) FILTER (NOT ({NEG})) AS n_valid, count(*) FILTER ({NEG}) AS n_inf FROM px_cells GROUP BY 1,2,3) WHERE n_valid>0 AND n_inf>0) WHERE r<=10""",
 )
 def _(spark, d):
-    return op.mixed_pairs(px.cells(spark, d).withColumn("frame", F.expr("frame div 100")))
+    return op.mixed_pairs(px.cells(spark, d).withColumn("frame", F.expr("frame div 100")).withColumn("file_id", F.expr("file_id % 7")))
 
 
 STATS = f"""count(*) AS n, round(count(*) FILTER ({NEG})/count(*)::DOUBLE*100,6) AS neg_inf_percent, round(count(*) FILTER (isinf(value) AND value>0)/count(*)::DOUBLE*100,6) AS pos_inf_percent,
@@ -255,14 +254,17 @@ def _(spark, d):
     return rounded(op.corpus_summary(op.file_coverage(px.cells(spark, d))))
 
 
-@query("g16_evenly_spaced_frames", f"WITH {spaced_sql(500)} SELECT frame, count(*) AS n FROM spaced GROUP BY 1")
+@query("g16_evenly_spaced_frames", f"WITH {spaced_sql(500)} SELECT file_id, frame, count(*) AS n FROM spaced GROUP BY 1,2")
 def _(spark, d):
-    return op.evenly_spaced(px.cells(spark, d), 500).groupBy("frame").agg(F.count(F.lit(1)).alias("n"))
+    return op.evenly_spaced(px.cells(spark, d), 500).groupBy("file_id", "frame").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("g16_random_frames", "SELECT frame FROM (SELECT DISTINCT frame FROM px_cells) ORDER BY md5(frame||'-7'), frame LIMIT 200")
+@query(
+    "g16_random_frames",
+    "SELECT file_id, frame FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY md5(frame||'-7'), frame) AS r FROM (SELECT DISTINCT file_id, frame FROM px_cells)) WHERE r<=20",
+)
 def _(spark, d):
-    return op.random_frames(px.cells(spark, d), 200, 7)
+    return op.random_frames(px.cells(spark, d), 20, 7)
 
 
 MAPPED = """mapped AS (SELECT m.file_id, m.data_type, m.channel, CASE wave WHEN 0 THEN 'Red' ELSE 'IR' END AS wavelength, CASE moment WHEN 0 THEN 'Zeroth' WHEN 1 THEN 'First' ELSE 'Second' END AS moment_name,
@@ -293,7 +295,7 @@ def _(spark, d):
     return m.select("file_id", "data_type", "channel", "wavelength", "moment_name")
 
 
-@query("g18_channels_above", f"SELECT channel FROM px_cells WHERE {FIN} GROUP BY 1 HAVING max(value)>40")
+@query("g18_channels_above", f"SELECT file_id, channel FROM px_cells WHERE {FIN} GROUP BY 1,2 HAVING max(value)>40")
 def _(spark, d):
     return op.valid_above(px.cells(spark, d), 40.0)
 
@@ -387,7 +389,7 @@ def _(spark, d):
 
 @query(
     "g25_first_infinite_cells",
-    "SELECT file_id, frame, channel, value>0 AS positive FROM px_cells WHERE isinf(value) ORDER BY frame, channel, file_id LIMIT 20",
+    "SELECT file_id, frame, channel, value>0 AS positive FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY frame, channel, value) AS r FROM px_cells WHERE isinf(value)) WHERE r<=20",
 )
 def _(spark, d):
     return op.infinite_cells(px.cells(spark, d)).selectExpr("file_id", "frame", "channel", "value > 0 AS positive")
@@ -395,7 +397,7 @@ def _(spark, d):
 
 @query(
     "g25_inf_by_frame_channel",
-    f"SELECT frame, channel, count(*) AS n, count(*) FILTER ({NEG}) AS n_inf, count(*)=count(*) FILTER ({NEG}) AS fully_inf FROM px_cells GROUP BY 1,2 HAVING count(*) FILTER ({NEG})>0",
+    f"SELECT file_id, frame, channel, count(*) AS n, count(*) FILTER ({NEG}) AS n_inf, count(*)=count(*) FILTER ({NEG}) AS fully_inf FROM px_cells GROUP BY 1,2,3 HAVING count(*) FILTER ({NEG})>0",
 )
 def _(spark, d):
     return op.inf_by_frame_channel(px.cells(spark, d))
@@ -407,7 +409,7 @@ def audit_sql() -> str:
     out = ", ".join(
         f"CAST(sum(k_{k}) AS BIGINT) AS n_{k}, count(*) FILTER (k_{k}>0) AS channels_with_{k}, count(*) FILTER (k_{k}=n) AS channels_all_{k}" for k in kinds
     )
-    return f"SELECT CAST(sum(n) AS BIGINT) AS total, {out} FROM (SELECT channel, count(*) AS n, {per} FROM px_cells GROUP BY 1)"
+    return f"SELECT file_id, CAST(sum(n) AS BIGINT) AS total, {out} FROM (SELECT file_id, channel, count(*) AS n, {per} FROM px_cells GROUP BY 1,2) GROUP BY 1"
 
 
 @query("g26_value_audit", audit_sql())
@@ -417,7 +419,7 @@ def _(spark, d):
 
 @query(
     "g26_value_ladder",
-    f"SELECT p AS percentile, round(v,6) AS value FROM (SELECT unnest([{','.join(str(float(p)) for p in op.LADDER)}]::DOUBLE[]) AS p, unnest(quantile_cont(value, [{','.join(repr(p / 100.0) for p in op.LADDER)}])) AS v FROM px_cells WHERE {FIN} AND value>0)",
+    f"SELECT file_id, p AS percentile, round(v,6) AS value FROM (SELECT file_id, unnest([{','.join(str(float(p)) for p in op.LADDER)}]::DOUBLE[]) AS p, unnest(quantile_cont(value, [{','.join(repr(p / 100.0) for p in op.LADDER)}])) AS v FROM px_cells WHERE {FIN} AND value>0 GROUP BY 1)",
 )
 def _(spark, d):
     return rounded(op.value_ladder(px.cells(spark, d)))

@@ -9,12 +9,13 @@ from . import inputs as px
 from .registry import query, rounded
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-GAPS = "gaps AS (SELECT * FROM (SELECT kind, event_id, client_ms AS ts_ms, CAST(client_ms-lag(client_ms) OVER (PARTITION BY kind ORDER BY client_ms, event_id) AS DOUBLE) AS gap FROM px_events) WHERE gap IS NOT NULL)"
+STREAM = ["session_id", "kind"]
+GAPS = "gaps AS (SELECT * FROM (SELECT session_id, kind, event_id, client_ms AS ts_ms, CAST(client_ms-lag(client_ms) OVER (PARTITION BY session_id, kind ORDER BY client_ms, event_id) AS DOUBLE) AS gap FROM px_events) WHERE gap IS NOT NULL)"
 
 
 def gaps(spark, d):
-    rows = px.events(spark, d).selectExpr("kind", "event_id", "client_ms AS ts_ms")
-    return op.frame_gaps(rows, ["kind"], ["ts_ms", "event_id"], px.DAY)
+    rows = px.events(spark, d).selectExpr("session_id", "kind", "event_id", "client_ms AS ts_ms")
+    return op.frame_gaps(rows, STREAM, ["ts_ms", "event_id"], 30 * px.DAY)
 
 
 @query(
@@ -37,37 +38,43 @@ def _(spark, d):
 
 @query(
     "l3_gap_stats",
-    f"WITH {GAPS} SELECT kind, count(*) AS n_gaps, min(gap) AS min_gap, max(gap) AS max_gap, round(avg(gap),3) AS mean_gap, round(stddev_pop(gap),3) AS std_gap, sum(gap) AS session_ms, round(median(gap),3) AS median_gap, round(1000/avg(gap),9) AS hz FROM gaps GROUP BY 1",
+    f"WITH {GAPS} SELECT session_id, kind, count(*) AS n_gaps, min(gap) AS min_gap, max(gap) AS max_gap, round(avg(gap),3) AS mean_gap, round(stddev_pop(gap),3) AS std_gap, sum(gap) AS session_ms, round(median(gap),3) AS median_gap, round(1000/avg(gap),9) AS hz FROM gaps GROUP BY 1,2",
 )
 def _(spark, d):
-    out = op.gap_stats(gaps(spark, d), ["kind"])
+    out = op.gap_stats(gaps(spark, d), STREAM)
     return rounded(rounded(out, 3, "mean_gap", "std_gap", "median_gap"), 9, "hz")
 
 
 @query(
     "l4_gap_outliers",
-    f"WITH {GAPS}, s AS (SELECT kind, median(gap) AS m, stddev_pop(gap) AS s FROM gaps GROUP BY 1) SELECT kind, event_id, gap, round(abs(gap-m),3) AS deviation FROM gaps JOIN s USING (kind) WHERE abs(gap-m)>3*s ORDER BY abs(gap-m) DESC, kind, event_id LIMIT 10",
+    f"""WITH {GAPS}, s AS (SELECT session_id, kind, median(gap) AS m, stddev_pop(gap) AS s FROM gaps GROUP BY 1,2),
+ o AS (SELECT session_id, kind, event_id, gap, abs(gap-m) AS deviation FROM gaps JOIN s USING (session_id, kind) WHERE abs(gap-m)>1.5*s)
+ SELECT session_id, kind, event_id, gap, round(deviation,3) AS deviation FROM (SELECT *, row_number() OVER (PARTITION BY session_id, kind ORDER BY deviation DESC, event_id) AS r FROM o) WHERE r<=2""",
 )
 def _(spark, d):
-    return rounded(op.gap_outliers(gaps(spark, d), ["kind"]).select("kind", "event_id", "gap", "deviation"), 3)
+    out = op.gap_outliers(gaps(spark, d), STREAM, ["event_id"], 1.5, 2)
+    return rounded(out.select("session_id", "kind", "event_id", "gap", "deviation"), 3)
 
 
 @query(
     "l5_common_gaps",
-    f"WITH {GAPS}, r AS (SELECT CAST(floor(gap/60000) AS DOUBLE) AS gap, count(*) AS n FROM gaps GROUP BY 1) SELECT gap, n, round(n*100.0::DOUBLE/(SELECT sum(n) FROM r),6) AS percent FROM r ORDER BY n DESC, gap LIMIT 10",
+    f"""WITH {GAPS}, r AS (SELECT session_id, round_even(gap/3600000, 2) AS gap, count(*) AS n FROM gaps GROUP BY 1,2),
+ k AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY n DESC, gap) AS r, sum(n) OVER (PARTITION BY session_id) AS total FROM r)
+ SELECT session_id, gap, n, round(n*100.0::DOUBLE/total,6) AS percent FROM k WHERE r<=10""",
 )
 def _(spark, d):
-    minutes = gaps(spark, d).withColumn("gap", F.floor(F.col("gap") / 60000).cast("double"))
-    return rounded(op.common_gaps(minutes))
+    hours = gaps(spark, d).withColumn("gap", F.col("gap") / 3600000)
+    return rounded(op.common_gaps(hours, ["session_id"]))
 
 
 @query(
     "l6_clock_offsets",
-    "SELECT kind, round(min(value),6) AS min_offset, round(max(value),6) AS max_offset, round(avg(value),6) AS mean_offset, round(stddev_pop(value),6) AS std_offset, (min(client_ms)-(SELECT min(client_ms) FROM px_events))/1000.0::DOUBLE AS start_s FROM px_events GROUP BY 1",
+    """SELECT session_id, kind, round(min(value),6) AS min_offset, round(max(value),6) AS max_offset, round(avg(value),6) AS mean_offset, round(stddev_pop(value),6) AS std_offset,
+ (min(client_ms)-first_ms)/1000.0::DOUBLE AS start_s FROM px_events JOIN (SELECT session_id, min(client_ms) AS first_ms FROM px_events GROUP BY 1) USING (session_id) GROUP BY session_id, kind, first_ms""",
 )
 def _(spark, d):
     rows = px.events(spark, d)
-    return rounded(op.offsets(rows, "kind", "client_ms", "value"), 6, "min_offset", "max_offset", "mean_offset", "std_offset")
+    return rounded(op.offsets(rows, "kind", ["session_id"], "client_ms", "value"), 6, "min_offset", "max_offset", "mean_offset", "std_offset")
 
 
 INV = " UNION ALL ".join(

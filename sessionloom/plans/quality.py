@@ -108,21 +108,21 @@ def _(spark, d):
 
 @query(
     "f9_active_channels",
-    """WITH m AS (SELECT session_id, channel, avg(x) AS m, stddev_pop(x) AS s FROM px_signal GROUP BY 1,2), p AS (SELECT session_id, channel, stddev_pop(least(greatest(x,m-2*s),m+2*s)) AS std FROM px_signal JOIN m USING (session_id, channel) WHERE channel<12 GROUP BY 1,2),
+    """WITH m AS (SELECT session_id, channel, avg(x) AS m, stddev_pop(x) AS s FROM px_signal GROUP BY 1,2), p AS (SELECT session_id, channel, stddev_pop(least(greatest(x,m-2*s),m+2*s)) AS std FROM px_signal JOIN m USING (session_id, channel) GROUP BY 1,2),
  a AS (SELECT *, std>0.12::DOUBLE AND std>=0.1::DOUBLE AS act FROM p) SELECT session_id, channel, round(std,6) AS std, act OR NOT bool_or(act) OVER (PARTITION BY session_id) AS chosen FROM a""",
 )
 def _(spark, d):
-    return rounded(op.channels_clipped(px.signal(spark, d), 0.12, 0.1, 2.0, 12))
+    return rounded(op.channels_clipped(px.signal(spark, d), 0.12, 0.1, 2.0))
 
 
 @query(
     "f10_channel_status",
-    f"""WITH {MASK}, p AS (SELECT session_id, channel, count(*) AS n, count(*) FILTER (NOT bad) AS g, stddev_pop(x) FILTER (NOT bad) AS s FROM px_signal JOIN mask USING (session_id, sample) WHERE channel<14 GROUP BY 1,2)
+    f"""WITH {MASK}, p AS (SELECT session_id, channel, count(*) AS n, count(*) FILTER (NOT bad) AS g, stddev_pop(x) FILTER (NOT bad) AS s FROM px_signal JOIN mask USING (session_id, sample) GROUP BY 1,2)
  SELECT session_id, channel, round(CASE WHEN g>=n*0.3::DOUBLE THEN s END,6) AS std, CASE WHEN g>=n*0.3::DOUBLE AND s>=0.115 AND s<=0.125 THEN 'good' ELSE 'bad' END AS status,
   CASE WHEN g<n*0.3::DOUBLE THEN 'too many artifacts' WHEN s<0.115 THEN 'flat signal' WHEN s>0.125 THEN 'extreme artifacts' ELSE '' END AS reason FROM p""",
 )
 def _(spark, d):
-    return rounded(op.channel_status(px.signal(spark, d), mask(spark, d), 0.115, 0.125, 0.3, 14))
+    return rounded(op.channel_status(px.signal(spark, d), mask(spark, d), 0.115, 0.125, 0.3))
 
 
 CORR = """corrs AS (SELECT a.session_id, a.channel AS a, b.channel AS b, corr(a.x,b.x) AS corr FROM px_signal a JOIN px_signal b ON a.session_id=b.session_id AND a.sample=b.sample AND a.channel<b.channel GROUP BY 1,2,3)"""

@@ -464,3 +464,27 @@ def test_logistic_baseline_learns(spark):
     pdf["a"] = pdf["label"] * 3 + rng.normal(size=200)
     out = prep.lr_baseline(spark.createDataFrame(pdf), ["a"])
     assert prep.accuracy(out.where("split = 'test'"), "label", "p").first()["balanced_accuracy"] > 0.8
+
+
+def test_files_do_not_speak_for_each_other(spark):
+    """Channel 5 is dead in file 1 and alive in file 2; file 2 is longer."""
+    rows = [(1, f, 5, -INF) for f in range(3)] + [(1, 0, 6, 1.0)] + [(2, f, 5, 2.0) for f in range(9)] + [(2, 8, 6, -INF)]
+    cells = frame(spark, rows, "file_id long, frame long, channel long, value double")
+    kept = frame(spark, [(5,), (6,), (7,), (8,)], "channel long")
+    by_file = lambda df: {r["file_id"]: r.asDict() for r in df.collect()}
+    v = by_file(optical.validity(cells, kept))
+    assert [(v[i]["included_valid"], v[i]["included_invalid"], v[i]["valid_percent"]) for i in (1, 2)] == [(1, 3, 25.0), (1, 3, 25.0)]
+    e = by_file(optical.ever_valid(cells))
+    assert e[1]["always_inf_channels"] == e[2]["always_inf_channels"] == optical.N_CHANNELS - 1
+    p = by_file(optical.pair_consistency(cells))
+    assert p[1]["fully_valid"] == 0 and p[1]["partly_valid"] == 1 and p[1]["fully_invalid"] == optical.PAIRS - 1
+    full = frame(spark, [(3, 0, m * optical.PAIRS, 1.0) for m in range(6)], "file_id long, frame long, channel long, value double")
+    assert by_file(optical.pair_consistency(full))[3]["fully_valid"] == 1
+    f = {(r["file_id"], r["frame"]) for r in optical.evenly_spaced(cells, 3).select("file_id", "frame").collect()}
+    assert f == {(1, 0), (1, 1), (1, 2), (2, 0), (2, 4), (2, 8)}
+    assert {r["file_id"]: r["channel"] for r in optical.valid_above(cells).collect()} == {1: 6, 2: 5}
+    assert {(r["file_id"], r["frame"]) for r in optical.infinite_cells(cells, 2).collect()} == {(1, 0), (1, 1), (2, 8)}
+    assert optical.random_frames(cells, 2, 1).count() == 4
+    late = frame(spark, [(7,)], "channel long")
+    assert optical.prune(cells, late).count() == len(rows)  # beyond both files: nothing is taken away
+    assert optical.prune(cells, frame(spark, [(6,)], "channel long")).count() == 2
