@@ -103,13 +103,15 @@ def gap_fill(frames: DataFrame, t: Timing) -> DataFrame:
     """Fill gaps of one stream with zero placeholders at the ideal period.
 
     A gap of n periods (rounded half to even) gets n-1 placeholders.  Adds
-    ``is_actual`` and ``idx``, the dense number after filling.
+    ``is_actual`` and ``idx``, the dense number after filling.  A time of zero is
+    unknown: no gap begins or ends there.
     """
     nxt = over_slices(frames, S, ["ts_ms", "frame"], t.slice_ms, leads={"__next": "ts_ms"})
-    steps = F.rint((F.col("__next") - F.col("ts_ms")) / F.lit(float(t.period))).cast("long")
+    both = (F.col("ts_ms") > 0) & (F.col("__next") > 0)
+    steps = F.when(both, F.rint((F.col("__next") - F.col("ts_ms")) / F.lit(float(t.period))).cast("long"))
     n = F.greatest(F.lit(1).cast("long"), F.coalesce(steps, F.lit(1).cast("long")))
     filled = (
-        nxt.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+        expand(nxt, n, "k")
         .select(
             *S,
             "frame",
@@ -225,17 +227,32 @@ def clock_range(frames: DataFrame, t: Timing) -> DataFrame:
     last = F.col("ts_ms") + F.when(F.col("stream") == "eeg", F.lit(t.period / t.eeg_per_window)).otherwise(F.lit(float(t.period)))
     return (
         frames.groupBy(*S)
-        .agg(F.min("ts_ms").cast("double").alias("t0"), F.max(last).alias("t1"))
+        .agg(F.min(F.when(F.col("ts_ms") > 0, F.col("ts_ms"))).cast("double").alias("t0"), F.max(last).alias("t1"))
         .select(*S, "t0", F.ceil((F.col("t1") - F.col("t0")) / F.lit(float(t.period))).cast("long").alias("n_slots"))
         .where("n_slots > 0")
     )
 
 
+EXPAND = 10_000  # rows that one row may become at a time
+
+
+def expand(df: DataFrame, n: Column, name: str) -> DataFrame:
+    """Repeat each row with the numbers 0 to n - 1: first blocks of numbers, dealt to tasks, then the numbers."""
+    zero = F.lit(0).cast("long")
+    blocks = df.withColumn("__n", n).withColumn("__block", F.explode(F.sequence(zero, F.floor((F.col("__n") - 1) / EXPAND).cast("long"))))
+    long = F.col("__n") > EXPAND
+    # a stated number of partitions, as adaptive execution would merge these few small rows
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.where(~long).unionByName(blocks.where(long).repartition(tasks, "__block", "session_id"))
+    first = F.col("__block") * EXPAND
+    last = F.least(first + EXPAND, F.col("__n")) - 1
+    return spread.withColumn(name, F.explode(F.sequence(first, last))).drop("__n", "__block")
+
+
 def clock(frames: DataFrame, t: Timing) -> DataFrame:
     """One row per session and slot of the master clock."""
     return (
-        clock_range(frames, t)
-        .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1)))
+        expand(clock_range(frames, t), F.col("n_slots"), "slot")
         .select(*S, "slot", (F.col("t0") + F.col("slot") * F.lit(float(t.period))).alias("time_ms"))
     )
 

@@ -48,9 +48,14 @@ def pair_by_key(starts: DataFrame, ends: DataFrame, keys: list[str], ordinal: st
     return s.join(e, keys)
 
 
-def pair_events(
-    starts: DataFrame,
-    ends: DataFrame,
+def sided(events: DataFrame, start: str, end: str) -> DataFrame:
+    """Start and end events with a column ``side``, from one look at the events; one kind may be both."""
+    side = F.array_compact(F.array(F.when(F.col("kind") == start, F.lit("start")), F.when(F.col("kind") == end, F.lit("end"))))
+    return events.where(F.col("kind").isin(start, end)).withColumn("side", F.explode(side))
+
+
+def pair_sides(
+    rows: DataFrame,
     keys: list[str],
     ts: str,
     ordinal: str,
@@ -59,31 +64,38 @@ def pair_events(
     ordinal_width: float,
     mode: str = "auto",
 ) -> DataFrame:
-    """Pair the n-th start with the n-th end of a session.
+    """Pair the n-th start with the n-th end of a key; ``side`` tells which a row is.
 
-    Where a session has as many starts as ends, n counts in source order and
-    every pair stays; otherwise n counts by time and an end before its start
-    drops the pair.  ``mode`` 'positional' or 'ranked' keeps only the sessions
-    of that case.
+    Where a key has as many starts as ends, n counts in source order and every
+    pair stays; otherwise n counts by time and an end before its start drops
+    the pair.  ``mode`` 'positional' or 'ranked' keeps only the keys of that
+    case.  Starts and ends are counted, numbered and joined as one table.
     """
-    counts = (
-        starts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__s"))
-        .join(ends.groupBy(*keys).agg(F.count(F.lit(1)).alias("__e")), keys)
-        .select(*keys, (F.col("__s") == F.col("__e")).alias("positional"))
-    )
+    rows = cut(rows.select(*keys, "side", ordinal, *[c for c in cols if c != ordinal]))
+    starts, ends = F.count_if(F.col("side") == "start"), F.count_if(F.col("side") == "end")
+    counts = rows.groupBy(*keys).agg(starts.alias("__s"), ends.alias("__e")).where("__s > 0 AND __e > 0")
+    counts = counts.select(*keys, (F.col("__s") == F.col("__e")).alias("positional"))
     if mode != "auto":
         counts = counts.where(F.col("positional") == F.lit(mode == "positional"))
+    by = F.when(F.col("positional"), F.col(ordinal) * F.lit(float(width) / ordinal_width)).otherwise(F.col(ts))
+    ranked = over_slices(
+        attach(rows, counts, keys).withColumn("__by", by.cast("double")), [*keys, "side"], ["__by", ordinal], width, rank="n"
+    )
+    of = lambda side: [F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}") for c in cols]
+    both = [F.count_if(F.col("side") == side).alias(f"__{side}") for side in ("start", "end")]
+    pairs = ranked.groupBy(*keys, "n", "positional").agg(*of("start"), *of("end"), *both).where("__start = 1 AND __end = 1")
+    kept = F.col("positional") | (F.col(f"end_{ts}") >= F.col(f"start_{ts}"))
+    return pairs.where(kept).drop("__start", "__end")
 
-    def numbered(df: DataFrame, side: str) -> DataFrame:
-        by = F.when(F.col("positional"), F.col(ordinal) * F.lit(float(width) / ordinal_width)).otherwise(F.col(ts))
-        rows = attach(df.select(*keys, ordinal, *cols), counts, keys).withColumn("__by", by.cast("double"))
-        ranked = over_slices(rows, keys, ["__by", ordinal], width, rank="n")
-        keep = ["positional"] if side == "start" else []
-        return ranked.select(*keys, "n", *keep, *[F.col(c).alias(f"{side}_{c}") for c in cols])
 
-    pairs = numbered(starts, "start").join(numbered(ends, "end"), [*keys, "n"])
-    return pairs.where(F.col("positional") | (F.col(f"end_{ts}") >= F.col(f"start_{ts}")))
+def pair_events(
+    starts: DataFrame, ends: DataFrame, keys: list[str], ts: str, ordinal: str, cols: list[str], width: float, ordinal_width: float,
+    mode: str = "auto",
+) -> DataFrame:
+    """``pair_sides`` of two tables."""
+    need = [*keys, *dict.fromkeys([ordinal, *cols])]
+    rows = starts.select(*need, F.lit("start").alias("side")).unionByName(ends.select(*need, F.lit("end").alias("side")))
+    return pair_sides(rows, keys, ts, ordinal, cols, width, ordinal_width, mode)
 
 
 def tasks(pairs: DataFrame) -> DataFrame:
@@ -225,30 +237,23 @@ def with_element_count(task_rows: DataFrame, element_rows: DataFrame) -> DataFra
 
 def segments(events: DataFrame, kinds: dict[str, tuple[str, str]], width: float, ordinal_width: float) -> DataFrame:
     """One table of recording, thinking and pause segments; ``kinds`` maps type to (start, stop) kinds."""
-    parts = None
-    for name, (start, stop) in kinds.items():
-        pairs = pair_events(
-            events_of(events, start),
-            events_of(events, stop),
-            ["session_id"],
-            "client_ms",
-            "event_id",
-            ["event_id", "client_ms"],
-            width,
-            ordinal_width,
-        )
-        part = pairs.select(
-            "session_id",
-            F.col("start_event_id").alias("segment_id"),
-            F.lit(name).alias("segment_type"),
-            F.col("n").alias("type_index"),
-            F.col("start_client_ms").alias("start_ms"),
-            F.col("end_client_ms").alias("end_ms"),
-            (F.col("end_client_ms") - F.col("start_client_ms")).alias("duration_ms"),
-            F.col("end_event_id").alias("end_event_id"),
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    roles = F.lit(None)
+    for kind in sorted({k for pair in kinds.values() for k in pair}):
+        mine = [(name, side) for name, pair in kinds.items() for side, k in zip(("start", "end"), pair) if k == kind]
+        these = F.array(*[F.struct(F.lit(n).alias("segment_type"), F.lit(side).alias("side")) for n, side in mine])
+        roles = F.when(F.col("kind") == kind, these).otherwise(roles)
+    rows = events.withColumn("__role", F.explode(roles)).select("*", "__role.segment_type", "__role.side")
+    pairs = pair_sides(rows, ["session_id", "segment_type"], "client_ms", "event_id", ["event_id", "client_ms"], width, ordinal_width)
+    return pairs.select(
+        "session_id",
+        F.col("start_event_id").alias("segment_id"),
+        "segment_type",
+        F.col("n").alias("type_index"),
+        F.col("start_client_ms").alias("start_ms"),
+        F.col("end_client_ms").alias("end_ms"),
+        (F.col("end_client_ms") - F.col("start_client_ms")).alias("duration_ms"),
+        F.col("end_event_id").alias("end_event_id"),
+    )
 
 
 def contain(segment_rows: DataFrame, element_rows: DataFrame, width: float) -> DataFrame:

@@ -371,12 +371,16 @@ def element_summary(units: DataFrame) -> DataFrame:
     )
 
 
-def element_text(units: DataFrame, sep: str = " ", units_per_piece: int = 1000) -> DataFrame:
-    """Text of each element in start order, in pieces of units."""
+def element_text(units: DataFrame, sep: str = " ", width: float = 86_400_000, units_per_piece: int = 1000) -> DataFrame:
+    """Text of each element in pieces of units, all in (start, idx) order.
+
+    The place of a unit is counted in slices of ``width`` of the start time, so
+    pieces follow each other in time even where idx does not.
+    """
+    placed = over_slices(units.select("element_id", "start_ms", "idx", "word"), ["element_id"], ["start_ms", "idx"], width, rank="__n")
+    piece = F.floor((F.col("__n") - 1) / units_per_piece).cast("long").alias("piece")
     rows = F.sort_array(F.collect_list(F.struct("start_ms", "idx", "word")))
-    return units.groupBy("element_id", F.floor(F.col("idx") / units_per_piece).cast("long").alias("piece")).agg(
-        F.array_join(F.transform(rows, lambda u: u["word"]), sep).alias("text")
-    )
+    return placed.groupBy("element_id", piece).agg(F.array_join(F.transform(rows, lambda u: u["word"]), sep).alias("text"))
 
 
 def split_modes(words: DataFrame) -> tuple[DataFrame, DataFrame]:

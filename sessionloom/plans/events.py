@@ -15,8 +15,7 @@ SEGMENT_KINDS = {"recording": ("click", "error"), "thinking": ("signup", "view")
 
 
 def pairs(log, start, end, cols, mode="auto"):
-    s, e = op.events_of(log, start), op.events_of(log, end)
-    return op.pair_events(s, e, ["session_id"], "client_ms", "event_id", cols, SLICE, IDS_PER_SLICE, mode)
+    return op.pair_sides(op.sided(log, start, end), ["session_id"], "client_ms", "event_id", cols, SLICE, IDS_PER_SLICE, mode)
 
 
 def pair_sql(start: str, end: str, mode: str = "auto") -> str:

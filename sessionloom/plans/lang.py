@@ -14,7 +14,7 @@ PIECE = 200_000  # 4,000 characters at 50 ms each
 TOK = """tk0 AS (SELECT *, regexp_matches(ch,'^[\\p{L}\\p{N}_'']$') AS wd, ch IN (' ',chr(10),chr(9),chr(13)) AS sp FROM px_chars),
  tk1 AS (SELECT *, NOT sp AND (NOT wd OR NOT coalesce(lag(wd) OVER (PARTITION BY session_id ORDER BY idx),false)) AS st FROM tk0),
  tk2 AS (SELECT *, sum(CAST(st AS INT)) OVER (PARTITION BY session_id ORDER BY idx) AS tok FROM tk1),
- toks AS (SELECT session_id, CAST(tok-1 AS BIGINT) AS token_idx, string_agg(ch,'' ORDER BY idx) AS token, min(idx) AS "start", max(idx)+1 AS "end", min(ts_ms) AS start_ms, max(ts_ms) AS end_ms FROM tk2 WHERE NOT sp GROUP BY 1,2)"""
+ toks AS MATERIALIZED (SELECT session_id, CAST(tok-1 AS BIGINT) AS token_idx, string_agg(ch,'' ORDER BY idx) AS token, min(idx) AS "start", max(idx)+1 AS "end", min(ts_ms) AS start_ms, max(ts_ms) AS end_ms FROM tk2 WHERE NOT sp GROUP BY 1,2)"""
 
 
 def tokens(spark, d):
@@ -105,12 +105,12 @@ _overlap("h6_token_word_times_strict", 'w.text_start<t."end" AND w.text_end>t."s
 
 
 # Known words occur at least eight times.
-KNOWN = f"{TOK}, lw AS (SELECT lower(token) AS word, count(*) AS n FROM toks WHERE regexp_matches(token,'^[\\p{{L}}\\p{{N}}_'']+$') GROUP BY 1), known AS (SELECT * FROM lw WHERE n>=8)"
-FIX = f"""{KNOWN}, ws AS (SELECT DISTINCT token, lower(token) AS word FROM toks WHERE regexp_matches(token,'^[\\p{{L}}\\p{{N}}_'']+$') AND regexp_matches(token,'\\p{{L}}') AND length(token)>1 AND NOT (token=upper(token) AND token<>lower(token))),
- ow AS (SELECT DISTINCT word FROM ws WHERE word NOT IN (SELECT word FROM known)),
- km AS (SELECT word, n, substring(word,1,i-1)||chr(1)||substring(word,i+1) AS m, substring(word,1,i-1)||substring(word,i+1) AS s FROM (SELECT *, unnest(range(1,length(word)+1)) AS i FROM known)),
- om AS (SELECT word, substring(word,1,i-1)||chr(1)||substring(word,i+1) AS m, substring(word,1,i-1)||substring(word,i+1) AS s FROM (SELECT *, unnest(range(1,length(word)+1)) AS i FROM ow)),
- cand AS (SELECT om.word, km.word AS c, km.n FROM om JOIN km ON om.m=km.m UNION SELECT ow.word, km.word, km.n FROM ow JOIN km ON ow.word=km.s UNION SELECT om.word, known.word, known.n FROM om JOIN known ON om.s=known.word),
+KNOWN = f"{TOK}, lw AS (SELECT lower(token) AS word, count(*) AS n FROM toks WHERE regexp_matches(token,'^[\\p{{L}}\\p{{N}}_'']+$') GROUP BY 1), known AS MATERIALIZED (SELECT * FROM lw WHERE n>=8)"
+FIX = f"""{KNOWN}, ws AS MATERIALIZED (SELECT DISTINCT token, lower(token) AS word FROM toks WHERE regexp_matches(token,'^[\\p{{L}}\\p{{N}}_'']+$') AND regexp_matches(token,'\\p{{L}}') AND length(token)>1 AND NOT (token=upper(token) AND token<>lower(token))),
+ ow AS MATERIALIZED (SELECT DISTINCT word FROM ws ANTI JOIN known USING (word)),
+ km AS MATERIALIZED (SELECT word, n, substring(word,1,i-1)||chr(1)||substring(word,i+1) AS m, substring(word,1,i-1)||substring(word,i+1) AS s FROM (SELECT *, unnest(range(1,length(word)+1)) AS i FROM known)),
+ om AS MATERIALIZED (SELECT word, substring(word,1,i-1)||chr(1)||substring(word,i+1) AS m, substring(word,1,i-1)||substring(word,i+1) AS s FROM (SELECT *, unnest(range(1,length(word)+1)) AS i FROM ow)),
+ cand AS MATERIALIZED (SELECT om.word, km.word AS c, km.n FROM om JOIN km ON om.m=km.m UNION SELECT ow.word, km.word, km.n FROM ow JOIN km ON ow.word=km.s UNION SELECT om.word, known.word, known.n FROM om JOIN known ON om.s=known.word),
  best AS (SELECT word, arg_min(c,(-n,c)) AS c FROM cand GROUP BY 1),
  fix AS (SELECT token, CASE WHEN substring(token,1,1)<>lower(substring(token,1,1)) THEN upper(substring(c,1,1))||substring(c,2) ELSE c END AS corrected FROM ws JOIN best USING (word))"""
 ALIGNED = f"""{FIX}, co AS (SELECT t.*, coalesce(f.corrected,t.token) AS corrected, CASE WHEN coalesce(f.corrected,t.token)<>t.token THEN 1 ELSE 0 END AS ch FROM toks t LEFT JOIN fix f USING (token)),
@@ -177,7 +177,7 @@ def _(spark, d):
     return rounded(op.element_summary(px.units(spark, d)), 3)
 
 
-@query("h11_element_text", "SELECT element_id, idx//1000 AS piece, string_agg(word,' ' ORDER BY start_ms, idx) AS text FROM px_units GROUP BY 1,2")
+@query("h11_element_text", "SELECT element_id, (r-1)//1000 AS piece, string_agg(word,' ' ORDER BY r) AS text FROM (SELECT *, row_number() OVER (PARTITION BY element_id ORDER BY start_ms, idx) AS r FROM px_units) GROUP BY 1,2")
 def _(spark, d):
     return op.element_text(px.units(spark, d))
 

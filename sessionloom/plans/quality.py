@@ -186,7 +186,21 @@ def _(spark, d):
     return rounded(op.pick_channels(op.channel_stats(px.signal(spark, d)), 6))
 
 
-@query("f17_normal_quantiles")
+def _horner(coefficients: list[float], x: str) -> str:
+    out = f"{coefficients[0]!r}::DOUBLE"
+    for c in coefficients[1:]:
+        out = f"({out}*{x}+({c!r}::DOUBLE))"
+    return out
+
+
+@query(
+    "f17_normal_quantiles",
+    f"""WITH r AS (SELECT session_id, channel, x, row_number() OVER (PARTITION BY session_id, channel ORDER BY x, sample) AS rank, count(*) OVER (PARTITION BY session_id, channel) AS n FROM px_signal),
+ p AS (SELECT *, CASE WHEN rank=1 THEN 1-pow(0.5::DOUBLE,1.0::DOUBLE/n) WHEN rank=n THEN pow(0.5::DOUBLE,1.0::DOUBLE/n) ELSE (rank-0.3175::DOUBLE)/(n+0.365::DOUBLE) END AS p FROM r),
+ q AS (SELECT *, p-0.5::DOUBLE AS q, (p-0.5::DOUBLE)*(p-0.5::DOUBLE) AS q2, sqrt(-2*ln(least(p,1-p))) AS t FROM p)
+ SELECT session_id, channel, rank, round(x,6) AS x, round(CASE WHEN least(p,1-p)>={op.TAIL_BELOW}::DOUBLE THEN {_horner(op.MIDDLE[0], 'q2')}*q/{_horner(op.MIDDLE[1], 'q2')}
+  ELSE {_horner(op.TAIL[0], 't')}/{_horner(op.TAIL[1], 't')}*CASE WHEN p<0.5 THEN 1 ELSE -1 END END,6) AS normal FROM q""",
+)
 def _(spark, d):
     return rounded(op.normal_quantiles(px.signal(spark, d), 0.05))
 

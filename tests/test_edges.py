@@ -488,3 +488,34 @@ def test_files_do_not_speak_for_each_other(spark):
     late = frame(spark, [(7,)], "channel long")
     assert optical.prune(cells, late).count() == len(rows)  # beyond both files: nothing is taken away
     assert optical.prune(cells, frame(spark, [(6,)], "channel long")).count() == 2
+
+
+def test_element_text_with_crossed_order(spark):
+    units = frame(spark, [("e", 0, 3000.0, "w0"), ("e", 1, 1000.0, "w1"), ("e", 2, 2000.0, "w2")], "element_id string, idx long, start_ms double, word string")
+    got = sorted((r["piece"], r["text"]) for r in lang.element_text(units, width=500, units_per_piece=2).collect())
+    assert got == [(0, "w1 w2"), (1, "w0")]
+
+
+def test_a_gap_of_many_periods_spreads_and_zero_times_are_unknown(spark):
+    t = align.Timing()
+    rows = [("s", "fnirs", i, ts, 1.0) for i, ts in enumerate([0.0, 0.0, 1.7e12, 1.7e12 + 1e7 * t.period])]
+    frames = frame(spark, rows, "session_id string, stream string, frame long, ts_ms double, value double")
+    n = frames.selectExpr("session_id", "10000000L AS n")
+    wide = align.expand(n, F.col("n"), "k")
+    assert wide.agg(F.count_distinct("k")).first()[0] == 10_000_000
+    parts = wide.groupBy(F.spark_partition_id()).count().count()
+    assert parts > 1
+    filled = align.gap_fill(frames.where("frame < 3"), t)
+    assert filled.count() == 3  # nothing is filled in between 0 and an epoch time
+    assert align.clock(frames.where("frame < 3"), t).count() == 1
+
+
+def test_normal_quantiles_of_ties(spark):
+    from statistics import NormalDist
+
+    x = [0.0] * 40 + [1.0, -1.0, 2.5]
+    rows = [("s", 0, i, v) for i, v in enumerate(x)]
+    got = sorted((r["rank"], r["x"], r["normal"]) for r in quality.normal_quantiles(frame(spark, rows, "session_id string, channel int, sample long, x double"), 0.7).collect())
+    assert [g[:2] for g in got] == list(enumerate(sorted(x), 1))
+    assert abs(got[9][2] - NormalDist().inv_cdf((10 - 0.3175) / 43.365)) < 1e-8
+    assert abs(got[0][2] - NormalDist().inv_cdf(1 - 0.5 ** (1 / 43))) < 1e-8
