@@ -6,21 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 16
 
-
-def attach(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def attach(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner", salts: int = 1) -> DataFrame:
     """Join a table that has at most one row per key to a large table.
 
-    A hot key of ``df`` is spread over ``salts`` partitions; the small side is
-    copied once per salt.  The salt comes from the row itself, so a retried
-    task places its rows as before.
+    Adaptive execution measures the partitions and splits those of a hot key of
+    ``df``, so nothing is copied where no key is hot.  With ``salts`` a known
+    hot key is spread by hand: the small side is copied once per salt, and the
+    salt comes from the row itself, so a retried task places its rows as before.
     """
     if not keys:
         return with_row(df, per_key)
     nested = (T.ArrayType, T.MapType, T.StructType)
     spread = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, nested)]
-    if not spread:
+    if salts < 2 or not spread:
         return df.join(per_key, keys, how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     copies = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

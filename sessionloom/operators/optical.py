@@ -7,8 +7,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -602,30 +600,21 @@ AXIS_CONVENTIONS = [
 def axis_costs(sensors: DataFrame, layout: DataFrame) -> DataFrame:
     """Total distance to the nearest layout position under each axis convention.
 
-    A layout has at most 48 x 9 positions; this is checked before it is sent
-    to the tasks, where sensors are compared with it in batches.
+    The layout is one array value (a scalar subquery) that every sensor is
+    compared with; it describes one device and does not grow with the sensors.
     """
-    most = MODULES * (SOURCES + DETECTORS)
-    rows = layout.select("x", "y", "z").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"a layout has at most {most} positions")
-    places = np.array([tuple(r) for r in rows], dtype=float)
-    axes = [["xyz".index(c) for c in order] for _, order, _ in AXIS_CONVENTIONS]
-    signs = [s for _, _, s in AXIS_CONVENTIONS]
-
-    @F.pandas_udf("array<double>")
-    def nearest(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
-        p = np.stack([x, y, z], axis=1)
-        best = np.empty((len(p), len(axes)))
-        for i, (a, s) in enumerate(zip(axes, signs)):
-            for lo in range(0, len(p), 1024):
-                d = (p[lo : lo + 1024, a] * s)[:, None, :] - places[None, :, :]
-                best[lo : lo + 1024, i] = np.sqrt((d * d).sum(axis=2).min(axis=1))
-        return pd.Series(list(best))
+    places = layout.agg(F.collect_list(F.struct("x", "y", "z")).alias("p")).scalar()
 
+    def nearest(order: str, signs: tuple[int, ...]) -> Column:
+        turned = [F.col(c) * F.lit(float(s)) for c, s in zip(order, signs)]
+        far = lambda p: F.sqrt(sum(F.pow(t - p[c], F.lit(2.0)) for t, c in zip(turned, "xyz")))
+        return F.array_min(F.transform("__places", far))
+
+    costs = F.array(*[nearest(order, signs) for _, order, signs in AXIS_CONVENTIONS])
     names = F.array(*[F.lit(n) for n, _, _ in AXIS_CONVENTIONS])
     return (
-        sensors.select(F.posexplode(nearest("x", "y", "z")).alias("ord", "d"))
+        sensors.withColumn("__places", places)
+        .select(F.posexplode(costs).alias("ord", "d"))
         .groupBy("ord", F.get(names, F.col("ord")).alias("name"))
         .agg(F.sum("d").alias("cost"))
     )
