@@ -210,12 +210,21 @@ def breakdown(labelled: DataFrame, examples: int = 5) -> DataFrame:
     )
 
 
-def sanity(windows: DataFrame, modalities: list[str]) -> DataFrame:
-    """Sessions, windows and modality presence of a result, in one row."""
-    flags = [F.count_if(F.col(m).isNotNull()).alias(f"with_{m}") for m in modalities]
-    return windows.agg(
-        F.count_distinct("session_id").alias("n_sessions"), F.count(F.lit(1)).alias("n_windows"), *flags
-    )
+def sanity(windows: DataFrame, modalities: list[str], label: str = "label") -> DataFrame:
+    """A result in one row: sessions, windows, share of the commonest label, and per modality windows, sessions and shapes.
+
+    The shapes of an array column are its distinct lengths; a plain column has none.
+    """
+    out = [F.count_distinct("session_id").alias("n_sessions"), F.count(F.lit(1)).alias("n_windows")]
+    arrays = {f.name for f in windows.schema.fields if f.dataType.typeName() == "array"}
+    for m in modalities:
+        there = F.col(m).isNotNull()
+        out += [F.count_if(there).alias(f"with_{m}"), F.count_distinct(F.when(there, F.col("session_id"))).alias(f"sessions_{m}")]
+        if m in arrays:
+            out.append(F.array_join(F.sort_array(F.collect_set(F.when(there, F.size(m)))), ",").alias(f"shapes_{m}"))
+    most = windows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("top"), F.sum("n").alias("all"))
+    share = most.select((F.col("top") * 100.0 / F.col("all")).alias("p")).scalar()
+    return windows.agg(*out).withColumn("top_label_percent", share)
 
 
 def inspect_pairs(pairs: DataFrame) -> DataFrame:

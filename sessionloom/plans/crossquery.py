@@ -179,10 +179,11 @@ def _(spark, d):
 
 @query(
     "j18_result_sanity",
-    EYE_GOOD + " SELECT count(DISTINCT session_id) AS n_sessions, count(*) AS n_windows, count(value) AS with_value, count(label) AS with_label FROM res",
+    EYE_GOOD + """ SELECT count(DISTINCT session_id) AS n_sessions, count(*) AS n_windows, count(value) AS with_value, count(label) AS with_label, count(DISTINCT session_id) FILTER (value IS NOT NULL) AS sessions_value,
+ count(DISTINCT session_id) FILTER (label IS NOT NULL) AS sessions_label, (SELECT round(max(n)*100.0::DOUBLE/sum(n),6) FROM (SELECT count(*) AS n FROM res GROUP BY label)) AS top_label_percent FROM res""",
 )
 def _(spark, d):
-    return op.sanity(eye_good(spark, d), ["value", "label"])
+    return rounded(op.sanity(eye_good(spark, d), ["value", "label"]))
 
 
 @query(
