@@ -170,18 +170,50 @@ def _(spark, d):
     return rounded(op.accuracy(px.predictions(spark, d)))
 
 
-@query("k15_logistic_baseline")
-def _(spark, d):
+def band_features(spark, d):
     v = op.keep_labels(vectors(spark, d))
     split = op.split_rows(v, ["vec_id"], 0.7, 0.15)
     x = px.samples(spark, d).withColumn("session_id", F.lit(0)).join(v.select(F.col("vec_id").alias("channel")), "channel", "left_semi")
     power = spectral.band_power(spectral.psd(x, 64.0, 64), ["channel"], closed=True, mean=True)
-    bands = list(spectral.BANDS)
-    wide = power.groupBy(F.col("channel").alias("vec_id")).agg(*[F.sum(F.when(F.col("band") == b, F.col("power"))).alias(b) for b in bands])
-    out = op.lr_baseline(split.join(wide, "vec_id"), bands)
+    wide = power.groupBy(F.col("channel").alias("vec_id")).agg(*[F.sum(F.when(F.col("band") == b, F.col("power"))).alias(b) for b in spectral.BANDS])
+    return split.join(wide, "vec_id")
+
+
+@query("k15_logistic_baseline")
+def _(spark, d):
+    out = op.lr_baseline(band_features(spark, d), list(spectral.BANDS))
     return rounded(out.select("vec_id", "label", "split", "p", "p1"), 4)
 
 
+# At the best fit the weighted gradient of every coefficient is zero.
+@query(
+    "k15_logistic_optimum",
+    f"""WITH rs AS (SELECT vec_id, label, CASE WHEN r<=floor(n*0.7::DOUBLE) THEN 'train' WHEN r<=floor(n*0.7::DOUBLE)+floor(n*0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM
+ (SELECT *, row_number() OVER (ORDER BY substr(md5(vec_id||'-42'),1,15), vec_id) AS r, count(*) OVER () AS n FROM embeddings WHERE label IN (0,1)))
+ SELECT b.band, 0.0::DOUBLE AS gradient, count(*) FILTER (split='train' AND label=0) AS train_0, count(*) FILTER (split='train' AND label=1) AS train_1, count(*) FILTER (split<>'train') AS others
+ FROM rs, (SELECT unnest([{','.join(repr(b) for b in spectral.BANDS)}]) AS band) b GROUP BY 1""",
+)
+def _(spark, d):
+    out = op.lr_baseline(band_features(spark, d), list(spectral.BANDS))
+    train = F.col("split") == "train"
+    sizes = out.where(train).groupBy("label").agg(F.count(F.lit(1)).alias("__n"))
+    w = 1.0 / F.col("__n")
+    rows = out.join(sizes, "label", "left").select(
+        "label", "split", w.alias("w"), (F.col("p1") - F.col("label")).alias("e"),
+        F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.col(b).alias("x")) for b in spectral.BANDS])).alias("f"),
+    )
+    slope = F.sum(F.when(train, F.col("w") * F.col("e") * F.col("f.x"))) / F.sum(F.when(train, F.col("w") * F.abs("f.x")))
+    return rounded(
+        rows.groupBy("f.band").agg(
+            slope.alias("gradient"),
+            F.count_if(train & (F.col("label") == 0)).alias("train_0"),
+            F.count_if(train & (F.col("label") == 1)).alias("train_1"),
+            F.count_if(~train).alias("others"),
+        ),
+        2,
+    )
+
+
 @query("k16_split_label_counts", f"WITH {RSPLIT} SELECT split, label, count(*) AS n FROM rs GROUP BY 1,2")
 def _(spark, d):
     return op.split_counts(op.split_rows(vectors(spark, d), ["vec_id"], 0.7, 0.15))
