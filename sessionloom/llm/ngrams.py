@@ -91,13 +91,19 @@ class EliasFano:
         return {"low": low, "words": words, "zeros": zeros, "ones": ones}, bits, n
 
     def _select(self, counts: np.ndarray, k: np.ndarray, bit: int) -> np.ndarray:
-        """Place of the k-th (from 0) bit of a kind."""
+        """Place of the k-th (from 0) bit of a kind: its word by search, then halves of the word by their counts."""
         w = np.searchsorted(counts, k, side="right")
-        before = np.where(w > 0, counts[np.maximum(w - 1, 0)], 0)
-        word = np.ascontiguousarray(self.words[w]).view(np.uint8).reshape(-1, 8)
-        bits = np.unpackbits(word, axis=1, bitorder="little") == bit
-        inside = (np.cumsum(bits, axis=1, dtype=np.int16) > (k - before)[:, None]).argmax(axis=1)
-        return w * 64 + inside
+        left = k - np.where(w > 0, counts[np.maximum(w - 1, 0)], 0)
+        word = self.words[w]
+        if not bit:
+            word = ~word
+        inside = np.zeros(len(k), np.uint64)
+        for half in (32, 16, 8, 4, 2, 1):
+            low = np.bitwise_count(word >> inside & np.uint64((1 << half) - 1)).astype(np.int64)
+            up = left >= low
+            left -= np.where(up, low, 0)
+            inside += np.where(up, np.uint64(half), np.uint64(0))
+        return w * 64 + inside.astype(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at places."""
@@ -165,17 +171,23 @@ class Level:
         self.contexts, self.pointers, self.words, self.successors, self.sums = ef
         self.codes = flat[-1]
 
+    @staticmethod
+    def _among(known: EliasFano, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, is it there) of each value."""
+        different, back = np.unique(values, return_inverse=True)
+        place = np.minimum(known.successor(different), known.n - 1)
+        return place[back], (known.get(place) == different)[back]
+
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place or -1, count, code) of n-grams."""
         place = np.full(len(context), -1, np.int64)
         count, code = np.zeros(len(context), np.int64), np.zeros(len(context), np.int64)
         if not self.contexts.n or not len(context):
             return place, count, code
-        k = self.contexts.successor(context - START)
-        r = self.words.successor(word)
-        k_in, r_in = np.minimum(k, self.contexts.n - 1), np.minimum(r, self.words.n - 1)
-        known = (self.contexts.get(k_in) == context - START) & (self.words.get(r_in) == word)
-        at = np.flatnonzero(known)
+        # contexts and words repeat: each is looked up once
+        k_in, in_contexts = self._among(self.contexts, context - START)
+        r_in, in_words = self._among(self.words, word)
+        at = np.flatnonzero(in_contexts & in_words)
         begin, end = self.pointers.get(k_in[at]), self.pointers.get(k_in[at] + 1)
         want = k_in[at] * self.base + r_in[at]
         s = self.successors.successor(want)
@@ -330,11 +342,11 @@ class Walk:
         node, total = np.full(len(self.p), -1, np.int64), np.zeros(len(self.p), np.int64)
         if answers:
             rows = sorted(answers, key=lambda r: r["shard"])
-            places = np.concatenate([unpacked(r["a"]) - 1 | r["shard"] << 32 for r in rows])
-            counts, codes = (np.concatenate([unpacked(r[k]) for r in rows]) for k in ("b", "c"))
-            n = counts[back]
-            node[ok], total[ok] = places[back], n
-            f = np.where(n > 0, frequency(codes[back]), 0.0)
+            codes = np.concatenate([unpacked(r["c"]) for r in rows])[back]
+            if rows[0]["a"] is not None:
+                node[ok] = np.concatenate([unpacked(r["a"]) - 1 | r["shard"] << 32 for r in rows])[back]
+                total[ok] = np.concatenate([unpacked(r["b"]) for r in rows])[back]
+            f = np.where(codes > 0, frequency(codes - 1), 0.0)
             context = questions[2][back]
             self.p[ok] = (context * f + PRIOR * self.p[ok]) / (context + PRIOR)
         # words that were not asked have no count here; a known context still takes its share
@@ -404,8 +416,8 @@ def _questions(blocks: DataFrame, answers: DataFrame, args: tuple, level: int) -
     return left.cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def _answers(questions: DataFrame) -> DataFrame:
-    """Build the shard's level from the training counts and look every question up in it."""
+def _answers(questions: DataFrame, last: bool) -> DataFrame:
+    """Build the shard's level from the training counts and look every different question up in it."""
     schema = schema_of(BLOCKS)
     arrow = to_arrow_schema(schema)
 
@@ -420,19 +432,25 @@ def _answers(questions: DataFrame) -> DataFrame:
             total.append(t[np.flatnonzero(heads)][np.cumsum(heads) - 1])
             n.append(unpacked(r["d"]))
         c, w, t, k = (np.concatenate(x) for x in (context, word, total, n))
-        seen = k > 0
-        c, w, t, k = c[seen], w[seen], t[seen], k[seen]
         order = np.lexsort((w, c))
         c, w, t, k = c[order], w[order], t[order], k[order]
         fresh = np.ones(len(c), bool)
         fresh[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
+        back = np.empty(len(c), np.int64)
+        back[order] = np.cumsum(fresh) - 1
         at = np.flatnonzero(fresh)
-        sums = np.add.reduceat(k, at) if len(at) else k
-        level = Level(c[at], w[at], sums, t[at])
-        out = []
-        for r, ci, wi in zip(rows, context, word, strict=True):
-            place, count, code = level.find(ci, wi)
-            out.append((r["kind"], r["shard"], r["block"], packed(place + 1), packed(count), packed(code), None))
+        c, w, t, k = c[at], w[at], t[at], np.add.reduceat(k, at) if len(at) else k
+        seen = k > 0
+        place, count, code = Level(c[seen], w[seen], k[seen], t[seen]).find(c, w)
+        # a context of the next order needs its name and count, at the last order the code is enough
+        name = np.where(count >= LEAST_CONTEXT, place + 1, 0)
+        code = np.where(count > 0, code + 1, 0)
+        out, begin = [], 0
+        for r, x in zip(rows, context, strict=True):
+            mine = back[begin : begin + len(x)]
+            begin += len(x)
+            names, counts = (None, None) if last else (packed(name[mine]), packed(count[mine]))
+            out.append((r["kind"], r["shard"], r["block"], names, counts, packed(code[mine]), None))
         return table_of(arrow, out)
 
     return questions.groupBy("shard").applyInArrow(run, schema)
@@ -488,7 +506,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, id_col: str = "
     args = (totals[0], totals[1], shards)
     answers = words.where("kind = 1")
     for level in range(2, order + 1):
-        answers = answers.unionByName(cut(_answers(_questions(blocks, answers, args, level))))
+        answers = answers.unionByName(cut(_answers(_questions(blocks, answers, args, level), level == order)))
     out = _scores(blocks, answers, args, order)
     return out.withColumn("train_tokens", F.lit(totals[0]).cast("long"))
 
