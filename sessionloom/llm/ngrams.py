@@ -304,6 +304,8 @@ class Walk:
         gid = np.concatenate([unpacked(r["a"]) | r["shard"] << 32 for r in words])
         count = np.concatenate([unpacked(r["b"]) for r in words])
         self.word, self.count = gid[self.local], count[self.local]
+        self.rank = np.empty(len(gid), np.int64)
+        self.rank[np.argsort(gid)] = np.arange(len(gid))
         self.p = (self.count + 1.0) / (train_tokens + train_words + 1.0)
         self.base = self.p.copy()
         # before the first word stands the start, as often as the end of a document
@@ -324,17 +326,18 @@ class Walk:
         least = 1 if self.level == 2 else LEAST_CONTEXT
         ok = np.flatnonzero((self.total >= least) & (self.count > 0) & (self.place >= self.level - 2))
         c, w = self.node[ok], self.word[ok]
-        shard = (mix(c, w) % np.uint64(self.shards)).astype(np.int64)
-        order = np.lexsort((w, c, shard))
-        c, w, shard = c[order], w[order], shard[order]
-        fresh = np.ones(len(c), bool)
-        fresh[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
-        number = np.cumsum(fresh) - 1
-        back = np.empty(len(ok), np.int64)
-        back[order] = number
-        at = np.flatnonzero(fresh)
-        n_train = np.bincount(number, weights=self.train[ok][order], minlength=len(at)).astype(np.int64)
-        return ok, [c[at], w[at], self.total[ok][order][at], n_train], back, shard[at]
+        # one number per n-gram: rank of the context, then rank of the word (ranks follow the global numbers)
+        contexts, k = np.unique(c, return_inverse=True)
+        key = k * len(self.rank) + self.rank[self.local[ok]]
+        different, first, back = np.unique(key, return_index=True, return_inverse=True)
+        n_train = np.bincount(back[self.train[ok]], minlength=len(different))
+        c, w = contexts[different // max(1, len(self.rank))], w[first]
+        shard = (mix(c, w) % np.uint64(self.shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        moved = np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        questions = [c[order], w[order], self.total[ok][first][order], n_train[order]]
+        return ok, questions, moved[back], shard[order]
 
     def take(self, answers: list[dict]) -> None:
         """Use the answers of the next level."""
@@ -444,12 +447,13 @@ def _answers(questions: DataFrame, last: bool) -> DataFrame:
         place, count, code = Level(c[seen], w[seen], k[seen], t[seen]).find(c, w)
         # a context of the next order needs its name and count, at the last order the code is enough
         name = np.where(count >= LEAST_CONTEXT, place + 1, 0)
+        kept = np.where(name > 0, count, 0)
         code = np.where(count > 0, code + 1, 0)
         out, begin = [], 0
         for r, x in zip(rows, context, strict=True):
             mine = back[begin : begin + len(x)]
             begin += len(x)
-            names, counts = (None, None) if last else (packed(name[mine]), packed(count[mine]))
+            names, counts = (None, None) if last else (packed(name[mine]), packed(kept[mine]))
             out.append((r["kind"], r["shard"], r["block"], names, counts, packed(code[mine]), None))
         return table_of(arrow, out)
 
