@@ -105,11 +105,13 @@ def search_cell(
     low = np.array([data[r].min(axis=0) for r in rows])
     high = np.array([data[r].max(axis=0) for r in rows])
     scale = top / np.sqrt((q * q).sum(axis=1))
+    lengths = (data * data).sum(axis=1)
     out = []
     for j in range(len(q)):
         far = gaps(query[j : j + 1], low, high)[0]
         order = np.argsort(far, kind="stable")
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
+        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
+        own = float(query[j] @ query[j])
         seen, step = 0, 2
         while seen < len(order):
             kth = max(float(bounds[j]), float(best[k - 1]) if len(best) >= k else -np.inf)
@@ -120,13 +122,13 @@ def search_cell(
             near = np.concatenate([rows[i] for i in order[seen : seen + step]])
             seen, step = seen + step, step * 2
             if np.isfinite(reach):
-                d = data[near] - query[j]
-                near = near[(d * d).sum(axis=1) <= reach]
-            score = (x[near] * q[j]).sum(axis=1)
-            best_ids, best = np.concatenate((best_ids, ids[near])), np.concatenate((best, score))
-            keep = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[keep], best[keep]
-        out.append((best_ids, best))
+                near = near[lengths[near] - 2 * (data[near] @ query[j]) + own <= reach]
+            score = x[near] @ q[j]
+            best_rows, best = np.concatenate((best_rows, near)), np.concatenate((best, score))
+            keep = np.lexsort((ids[best_rows], -best))[:k]
+            best_rows, best = best_rows[keep], best[keep]
+        # what is returned is added up in one order, whatever kernel has compared
+        out.append((ids[best_rows], (x[best_rows] * q[j]).sum(axis=1)))
     return out
 
 
