@@ -69,6 +69,30 @@ def test_finds_nearly_all_near_copies(spark):
     assert all(i in want for i in got)
 
 
+@pytest.mark.parametrize("kind", ["substituted", "appended", "truncated", "merged"])
+def test_finds_copies_of_every_form_near_the_limit(spark, kind):
+    """Pairs at 0.80-0.85, by the brute-force similarity."""
+    rng = random.Random(kind)
+    rows = []
+    while len(rows) < 400:
+        n = rng.randint(60, 900)
+        w = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        k = rng.randint(n * 14 // 100, n * 22 // 100)
+        extra = [f"v{rng.randrange(5000)}" for _ in range(k)]
+        if kind == "substituted":
+            v = list(w)
+            for i in rng.sample(range(n), max(1, k // 9)):
+                v[i] = f"x{rng.randrange(10**6)}"
+        else:
+            v = {"appended": w + extra, "truncated": w[: n - k], "merged": w[k // 2 :] + extra[: k // 3]}[kind]
+        a, b = grams(" ".join(w)), grams(" ".join(v))
+        if 0.8 <= len(a & b) / len(a | b) < 0.85:
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(v))]
+    got = dict(nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sum(got.get(i + 1) == i for i in range(0, len(rows), 2)) >= 0.99 * len(rows) / 2
+    assert all(r in (i, i - 1) and r % 2 == 0 for i, r in got.items())
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs, out = spark.read.parquet(f"{SF_DIR}/documents.parquet"), []
