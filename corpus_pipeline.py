@@ -11,8 +11,8 @@ from sessionloom.session import tune
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the byte network tells; texts without letters go."""
-    model = langid.train(docs, F.lit(True))
+    """Documents whose language the byte network tells; texts without letters and what its junk class rejects go."""
+    model = langid.train(docs, F.lit(True), junk=langid.JUNK)
     if model is None:  # nothing is labelled: only texts without letters can be rejected
         model = langid.fit(["a"], ["unlabelled"], rounds=1)
     return langid.identified(docs, model)

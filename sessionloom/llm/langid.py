@@ -6,10 +6,16 @@ the languages.  The network is trained in numpy on a bounded sample of labelled
 text, inside one task.  For prediction the byte embedding and the filters are
 multiplied out into tables over bytes and byte pairs, so that a window costs
 table look-ups only.
+
+To reject what is no language, the network can be trained with one more class,
+``und``, of junk: shuffled bytes, symbols, keys, and letters of scripts that the
+sample does not hold.  A text is rejected where the class gets at least a bound
+calibrated on the labelled rows (see ``bound_of``).
 """
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -31,6 +37,9 @@ SAMPLE = 6000
 SAMPLE_CHARS = 600
 ROUNDS = 700
 BATCH = 64
+JUNK = 0.25  # junk texts for each labelled one, where the network has a class for them
+LEAST_BOUND = 0.8  # a junk class below this never rejects
+SCRIPTS = (0x370, 0x410, 0x531, 0x5D0, 0x620, 0x905, 0xE01, 0x10D0, 0x30A1, 0x4E00, 0xAC00)
 
 
 def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7) -> dict:
@@ -88,11 +97,60 @@ def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7
     return {"names": names, "embed": e, "out": out, "bias": bias, "filters": filters}
 
 
+def junk_of(texts: list[str], n: int, seed: int = 5) -> list[str]:
+    """Texts in no language with the lengths of given ones, and letters in them.
+
+    Shuffled characters of texts that are nearly all ASCII (of others, shuffled
+    characters can be the same script's words), bytes as characters, symbols
+    with a few letters, random keys, and letters of scripts not in the texts.
+    """
+    rng = random.Random(seed)
+    used = {ord(c) >> 8 for t in texts for c in t if c > "\u02ff"}
+    foreign = [s for s in SCRIPTS if s >> 8 not in used]
+    ascii_texts = [t for t in texts if sum(c < "\x80" for c in t) >= 0.9 * len(t)]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    symbols = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ 0123456789"
+    out = []
+    for i in range(n):
+        size = max(40, len(rng.choice(texts)))
+        kind = i % 5
+        if kind == 0 and ascii_texts:
+            chars = list(rng.choice(ascii_texts).ljust(40, "x"))
+            rng.shuffle(chars)
+            out.append("".join(chars))
+        elif kind == 4 and foreign:
+            start = rng.choice(foreign)
+            line = [" " if rng.random() < 0.17 else chr(start + rng.randrange(26)) for _ in range(size)]
+            out.append("".join(line))
+        elif kind == 1:
+            out.append("".join(chr(rng.randrange(256)) for _ in range(size)))
+        elif kind == 2:
+            out.append("".join(rng.choice(letters if rng.random() < 0.06 else symbols) for _ in range(size)))
+        else:
+            out.append("".join(rng.choice(letters + "0123456789+/") for _ in range(size)))
+    return out
+
+
+def bound_of(model: dict, texts: list[str], seed: int = 9) -> float:
+    """What the junk class must reach for a rejection: above all that labelled texts reach, whole or cut short.
+
+    Halfway from the highest share of a labelled text to 1, LEAST_BOUND at
+    least: no text of the sample is rejected, however short its cut.
+    """
+    rng = random.Random(seed)
+    at = model["names"].index(UNKNOWN)
+    cuts = [t[k : k + rng.randint(2, 80)] for t in texts for k in (0, rng.randrange(max(1, len(t) - 40)))]
+    given = [t for t in texts + cuts if LETTER.search(t)]
+    top = Predictor(model).texts(given)[:, at].max()
+    return max(LEAST_BOUND, (1 + float(top)) / 2)
+
+
 class Predictor:
     """The network as tables: pairs of bytes for the widths 2, 3 and 4."""
 
     def __init__(self, model: dict) -> None:
         self.names, self.out, self.bias = model["names"], model["out"], model["bias"]
+        self.bound = model.get("bound")  # of the junk class, if the network has one
         one = {w: [model["embed"] @ f[j * EMBED : (j + 1) * EMBED] for j in range(w)] for w, f in model["filters"].items()}
 
         def pair(a, b):
@@ -142,18 +200,26 @@ def predict_batch(predictor: Predictor | None, texts: list[str | None]) -> tuple
     if predictor is None or not known:
         return names, scores
     p = predictor.texts([texts[i] for i in known])
+    if predictor.bound is not None:
+        at = predictor.names.index(UNKNOWN)
+        junk = p[:, at] >= predictor.bound
+        known = [i for i, j in zip(known, junk.tolist(), strict=True) if not j]
+        p = p[~junk]
+        p[:, at] = 0
     for i, k, s in zip(known, p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), strict=True):
         names[i], scores[i] = predictor.names[k], min(1.0, s)
     return names, scores
 
 
 def train(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          sample: int = SAMPLE, chars: int = SAMPLE_CHARS, rounds: int = ROUNDS) -> dict | None:
+          sample: int = SAMPLE, chars: int = SAMPLE_CHARS, rounds: int = ROUNDS, junk: float = 0.0) -> dict | None:
     """Fit on about ``sample`` rows where ``use`` holds and the label is not null; None if there are none.
 
     The rows are chosen by a hash of the id, each gives one stretch of
     ``chars`` characters from a place the hash chooses.  The sample bounds the
-    training in every respect, so it runs in a single task.
+    training in every respect, so it runs in a single task.  ``junk`` above 0
+    adds so many texts of no language for each row, as the class ``und``, and
+    the bound from which it rejects a text.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
@@ -176,7 +242,12 @@ def train(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str =
         kept = [(t, x) for t, x in zip(texts, labels, strict=True) if LETTER.search(t)]
         if kept:
             kept.sort()  # the order of arrival must not matter
-            model = fit([t for t, _ in kept], [x for _, x in kept], rounds)
+            texts, labels = [t for t, _ in kept], [x for _, x in kept]
+            clean = [t for t, x in kept if x != UNKNOWN]
+            more = junk_of(clean, max(50, int(junk * len(clean)))) if junk and clean else []
+            model = fit(texts + more, labels + [UNKNOWN] * len(more), rounds)
+            if more:
+                model["bound"] = bound_of(model, clean)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], schema=to_arrow_schema(schema))
 
     rows = some.repartition(1).mapInArrow(run, schema).collect()
@@ -191,7 +262,7 @@ def predict(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_co
     """doc_id, lang_pred, score (0 to 1) of every whole text.
 
     A text that is null or has no letter gets ``und`` and score 0, as does any
-    text without a model.  Equal texts get equal results; every row gives one.
+    text without a model and any that a model with a junk class rejects.  Equal texts get equal results; every row gives one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 

@@ -102,6 +102,19 @@ def stages(spark):
     return [*out, docs]
 
 
+def test_language_stage_rejects_junk_with_letters(spark):
+    rng = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    junk = ["".join(chr(rng.randrange(256)) for _ in range(300)) + "a" for _ in range(20)]
+    junk += ["a" + "".join(rng.choice("#$%&()*+<=>?@[]^{|}~0123456789") for _ in range(200)) for _ in range(20)]
+    junk += ["".join(chr(rng.randrange(0x410, 0x430)) for _ in range(200)) for _ in range(20)]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(more), SF_DIR).select("doc_id").collect()
+    kept = {r.doc_id for r in kept}
+    assert sum(i < 0 for i in kept) <= 3
+    assert {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")} <= kept
+
+
 def test_stages_keep_the_columns_and_clean_documents(spark, stages):
     for df in stages[1:-1]:
         assert df.columns == stages[0].columns
