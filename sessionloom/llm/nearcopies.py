@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -34,7 +34,7 @@ SYMBOLS = 6
 WORDS = 5
 SIMILARITY = 0.8
 PAIRWISE = 24  # up to this many documents on a point all pairs are tried
-LEADERS = 8  # of more, so many are tried against all; then four times as many, where links are still open
+LEADERS = 8  # of more, about so many are tried against all
 
 
 def table_prints(text: str) -> list[int]:
@@ -57,9 +57,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_points(text: str, words: int = WORDS, at_once: int = 2048) -> list[int]:
+def gram_hashes(text: str, words: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the different shingles; a text without words gives one of its own."""
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(s) for s in shingles(text, words)] or [0], np.uint64))
+
+
+def points_of(grams: np.ndarray, at_once: int = 2048) -> list[int]:
     """All points of the balls of SHINGLE_TABLES prints of SYMBOLS smallest hashes of the shingles."""
-    grams = np.array([xxhash.xxh3_64_intdigest(s) for s in shingles(text, words)] or [0], np.uint64)
     least = np.full(SHINGLE_TABLES * SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(grams), at_once):
         hashes = (grams[None, i : i + at_once] ^ _SEEDS[0][:, None]) * (_SEEDS[1] | np.uint64(1))[:, None]
@@ -74,13 +78,19 @@ def shingle_set(text: str, words: int) -> list[int]:
     return sorted({xxhash.xxh3_64_intdigest(s) >> 33 for s in shingles(text, words)})
 
 
-def _points(texts: DataFrame, words: int) -> DataFrame:
-    """doc_id and the points of all its balls, told apart by table."""
+def _prints(texts: DataFrame, words: int) -> DataFrame:
+    """doc_id, digest of the set of shingles, fingerprints of the words and points of the shingle prints."""
 
     def run(ids, t):
-        return {"doc_id": ids, "prints": [table_prints(x) for x in t], "others": [shingle_points(x, words) for x in t]}
+        grams = [gram_hashes(x, words) for x in t]
+        digests = [xxhash.xxh3_128_digest(g.tobytes()) for g in grams]
+        return {"doc_id": ids, "digest": digests, "prints": [table_prints(x) for x in t], "others": [points_of(g) for g in grams]}
+
+    return cut(map_columns(texts, run, "doc_id long, digest binary, prints array<long>, others array<long>"))
+
 
-    prints = cut(map_columns(texts, run, "doc_id long, prints array<long>, others array<long>"))
+def _points(prints: DataFrame) -> DataFrame:
+    """The points of all balls, told apart by table, and doc_id."""
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(BITS)])
     each = prints.select("doc_id", F.posexplode("prints").alias("table", "print"))
     tagged = F.col("print").bitwiseOR(F.shiftleft(F.col("table").cast("long"), BITS))
@@ -157,54 +167,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return both.mapInArrow(run, schema)
 
 
+def _pairs_of_open(open_docs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """All pairs u < v of different ``root`` that can have the similarity.
+
+    Of two such sets, in any common order, the first ``size - similarity * size
+    + 1`` shingles share one, and from the first they share on enough is left in
+    both.  The order is rare first, so what all texts of a crowd hold comes last
+    and its pairs are not made.
+    """
+
+    def run(ids, roots, t):
+        return {"doc_id": ids, "root": roots, "grams": [shingle_set(x, words) for x in t]}
+
+    named = texts.join(open_docs, "doc_id").select("doc_id", "root", "text")
+    sets = cut(map_columns(named, run, "doc_id long, root long, grams array<int>").withColumn("key", F.xxhash64("doc_id", "grams")))
+    each = sets.select("doc_id", "root", "key", F.explode("grams").alias("gram"))
+    often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    of_doc = each.join(often, "gram").groupBy("doc_id", "root", "key").agg(F.sort_array(F.collect_set(F.struct("n", "gram"))).alias("order"))
+    first = F.size("order") - F.ceil(F.size("order") * F.lit(similarity) - 1e-9).cast("int") + 1
+    heads = of_doc.select("doc_id", "root", F.size("order").alias("size"), F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x"))
+    heads = cut(heads.where("x.n > 1").select("doc_id", "root", "size", (F.col("size") - F.col("at")).alias("left"), F.col("x.gram").alias("gram")))
+    a, b = heads.alias("a"), heads.alias("b")
+    enough = (F.col("a.size") + F.col("b.size")) * F.lit(similarity / (1 + similarity)) - 1e-9
+    may = (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.root") != F.col("b.root")) & (F.least("a.left", "b.left") >= enough)
+    return a.join(b, (F.col("a.gram") == F.col("b.gram")) & may).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """node, root (smallest id of the group) for all documents linked to another one.
 
-    Links are pairs that meet in a SimHash table and share ``similarity`` of
-    their shingles.  On crowded points a few leaders are tried against all
-    first.  Points whose documents are then in one group are done; on the
-    others more and more leaders are tried, in the end all, so no link between
-    groups is lost and a crowd of copies costs few pairs.
+    Links are pairs that meet on a point and share ``similarity`` of their
+    shingles.  Documents with the same shingles are one node.  On crowded points
+    a few leaders are tried against all first.  Points whose documents are then
+    in one group are done; between the groups of the others all pairs that can
+    have the similarity are found by their rarest shingles, so no link is lost
+    and neither a crowd of copies nor a crowd of groups costs all its pairs.
 
     Rows with a null id are never linked; rows that repeat an id are one
     document; null and empty texts have no shingles and link to each other.
     """
     texts = id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    met = cut(_meetings(_points(texts, words)))
+    prints = _prints(texts, words)
+    nodes = cut(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("prints").alias("prints"), F.first("others").alias("others")))
+    same = prints.select("digest", F.col("doc_id").alias("u")).join(nodes.select("digest", F.col("doc_id").alias("v")), "digest").select("u", "v")
+    same = cut(same.where("u <> v").distinct())
+    met = cut(_meetings(_points(nodes)))
     crowds = met.where("kind = 1").select(F.col("a").alias("point"), F.col("b").alias("doc_id")).distinct()
+    pairs = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
     if crowded := not crowds.isEmpty():
-        # a fixed order in each crowd decides who leads when; equal crowds (one for each flip) count once
-        order = Window.partitionBy("point").orderBy(F.xxhash64("doc_id"), "doc_id")
+        # equal crowds (one for each flip) count once; a hash against the size of the crowd decides who leads
         marks = crowds.groupBy("point").agg(F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.count(F.lit(1)).alias("n"))
         once = marks.groupBy("mark", "n").agg(F.min("point").alias("point"))
-        crowds = cut(crowds.join(once.select("point", "n"), "point").withColumn("place", F.row_number().over(order)))
-    pairs = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    links, roots, tried = None, None, 0
-    while True:
-        if crowded:
-            now = crowds
-            if roots is None:
-                now = now.withColumn("root", F.col("doc_id"))
-            else:
-                now = now.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-                split = now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-                now = cut(now.join(split.select("point"), "point", "left_semi").where(F.col("n") > tried))
-                crowded = not now.isEmpty()
-                if not crowded:
-                    break
-            upto = LEADERS if not tried else tried * 4
-            lead = now.where((F.col("place") > tried) & (F.col("place") <= upto))
-            lead = lead.select("point", F.col("doc_id").alias("l"), F.col("root").alias("lr"))
-            more = now.join(lead, "point").where("root <> lr").select(F.least("doc_id", "l").alias("u"), F.greatest("doc_id", "l").alias("v"))
-            pairs = more if pairs is None else pairs.unionByName(more)
-            tried = upto
-        if pairs is None:
-            break
-        new = _verified(pairs, texts, words, similarity)
-        links = new if links is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(new)
-        roots = cut(components(links))
-        pairs = None
-    return roots
+        crowds = cut(crowds.join(once.select("point", "n"), "point"))
+        share = F.pmod(F.xxhash64("doc_id", F.lit("lead")), F.lit(1 << 31)) / F.lit(float(1 << 31))
+        lead = crowds.where(share * F.col("n") < LEADERS).select("point", F.col("doc_id").alias("l"))
+        led = crowds.join(lead, "point").where("doc_id <> l").select(F.least("doc_id", "l").alias("u"), F.greatest("doc_id", "l").alias("v"))
+        pairs = pairs.unionByName(led)
+    links = same.unionByName(_verified(pairs, texts, words, similarity))
+    roots = cut(components(links))
+    if not crowded:
+        return roots
+    now = crowds.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    now = cut(now.select("point", "doc_id", "root"))
+    split = now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    open_docs = cut(now.join(split.select("point"), "point", "left_semi").select("doc_id", "root").distinct())
+    if open_docs.isEmpty():
+        return roots
+    new = _verified(_pairs_of_open(open_docs, texts, words, similarity), texts, words, similarity)
+    return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(new)))
 
 
 def drop_near(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

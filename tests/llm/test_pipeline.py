@@ -69,6 +69,29 @@ def test_finds_nearly_all_near_copies(spark):
     assert all(i in want for i in got)
 
 
+def test_crowd_of_several_groups_does_not_cost_all_pairs(spark, monkeypatch):
+    """Three groups that share a long passage meet on the same points, but are no copies of each other."""
+    rng = random.Random(4)
+    rows = []
+    for g in range(3):
+        base = [f"w{i}" for i in range(300)] + [f"g{g}_{i}" for i in range(45)]
+        for _ in range(60):
+            w = list(base)
+            w[rng.randrange(300)] = f"x{len(rows)}"
+            rows.append((len(rows), " ".join(w)))
+    tried = []
+    verified = nearcopies._verified
+
+    def counted(pairs, *rest):
+        tried.append(pairs.where("u <> v").distinct().where(F.floor(F.col("u") / 60) != F.floor(F.col("v") / 60)).count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(nearcopies, "_verified", counted)
+    got = dict(nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {i: i // 60 * 60 for i, _ in rows}
+    assert sum(tried) < 10_800 * 0.7  # of all pairs of different groups
+
+
 @pytest.mark.parametrize("kind", ["substituted", "appended", "truncated", "merged"])
 def test_finds_copies_of_every_form_near_the_limit(spark, kind):
     """Pairs at 0.80-0.85, by the brute-force similarity."""
