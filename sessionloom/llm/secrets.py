@@ -21,13 +21,18 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 # Bits per character that a window of WINDOW characters needs, by the class of its candidate.
-LIMITS = {"digits": 9.9, "hex": 3.0, "letters": 4.2, "alnum": 3.6, "base64": 3.8}
+# Digits need none: 16 and more are a base span already.
+LIMITS = {"digits": 9.9, "hex": 3.0, "letters": 3.3, "mixed": 3.6, "alnum": 3.6, "base64": 3.8}
 # What looks random but is not secret.
 ALLOWED = re.compile(
     r"(?ai)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"  # UUID
     r"|(?:[a-z]+[/_=-]+)+[a-z]*"  # words joined by a sign
-    r"|.*(?:example|sample|placeholder|changeme|abcdefgh|12345678).*"
 )
+# Marks of a dense part that is none; where one is a name of its own between signs, what stands around it is looked at alone.
+SHAM = re.compile(r"(?ai)example|sample|placeholder|changeme|abcdefgh|12345678")
+SHAM_NAME = re.compile(r"(?ai)(?:(?<=[/_=-])|^)(?:examples?|samples?|placeholders?|changeme)(?=[/_=-])")
+CASES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+CLUSTERS = re.compile(r"sch|ch|ck|th|ng|sh|ph|ts|st")  # count as one consonant
 TERMS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
@@ -37,10 +42,28 @@ def class_of(s: str) -> str:
     if not re.search(r"[^0-9a-fA-F]", s) and re.search(r"[0-9]", s):
         return "hex"
     if s.isalpha():
-        return "letters"
+        return "letters" if s.islower() or s.isupper() or s[1:].islower() else "mixed"
     return "alnum" if s.isalnum() else "base64"
 
 
+def pieces_of(s: str) -> list[tuple[int, int]]:
+    """The stretches between names such as ``samples`` in a path; all of it where there are none."""
+    cuts = [m.span() for m in SHAM_NAME.finditer(s)]
+    return list(zip([0] + [b for _, b in cuts], [a for a, _ in cuts] + [len(s)], strict=True))
+
+
+def harmless(part: str) -> bool:
+    """Placeholders, long words and compounds of words."""
+    if SHAM.search(part):
+        return True
+    if not part.isalpha():
+        return False
+    words = CASES.findall(part)
+    low = CLUSTERS.sub("h", part.lower())
+    vowels = sum(c in "aeiouy" for c in low)
+    return len(part) >= 4 * len(words) and 4 * len(low) <= 20 * vowels <= 13 * len(low) and not re.search(r"[^aeiouy]{5}", low)
+
+
 def dense_parts(s: str, limit: float, window: int = WINDOW) -> list[tuple[int, int]]:
     """Stretches covered by windows with at least ``limit`` bits per character.
 
@@ -82,10 +105,15 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
         s = m[0]
         if ALLOWED.fullmatch(s):
             continue
-        for a, b in dense_parts(s, LIMITS[class_of(s)]):
-            a, b = a + m.start(), b + m.start()
-            if not any(a < e and s0 < b for s0, _, e in base):
-                found.append((a, 3, b))
+        for p, q in pieces_of(s):
+            if q - p < WINDOW:
+                continue
+            for a, b in dense_parts(s[p:q], LIMITS[class_of(s[p:q])]):
+                if harmless(s[p + a : p + b]):
+                    continue
+                a, b = a + p + m.start(), b + p + m.start()
+                if not any(a < e and s0 < b for s0, _, e in base):
+                    found.append((a, 3, b))
     return sorted(found)
 
 

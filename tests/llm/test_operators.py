@@ -224,6 +224,23 @@ def test_chi_square():
     assert neighbours.quantile(0.95) == pytest.approx(15.507, abs=1e-3)
 
 
+def test_every_class_of_random_key_is_found():
+    import random
+    import string
+
+    rng = random.Random(1)
+    kinds = {"digits": string.digits, "mixed": string.ascii_letters, "upper": string.ascii_uppercase, "lower": string.ascii_lowercase}
+    for kind, alphabet in kinds.items():
+        for size, least in ((20, 0.6 if kind in ("upper", "lower") else 0.9), (40, 0.8)):
+            keys = ["".join(rng.choices(alphabet, k=size)) for _ in range(300)]
+            assert sum(bool(secrets.spans_of(f"see {k} .")) for k in keys) >= least * len(keys), (kind, size)
+    key = "q7Rk2VbX9sLm4TzW8cYd3NfH6pJg"
+    assert secrets.spans_of(f"downloads/samples/{key}")
+    for calm in ("internationalization", "getUserAccountInformationService", "Donaudampfschifffahrtsgesellschaft", "INTERNATIONALIZATION",
+                 "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert not secrets.spans_of(calm), calm
+
+
 # --- mixing -----------------------------------------------------------------
 
 
