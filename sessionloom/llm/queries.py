@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact, langid, mixing, neighbours, ngrams, packing, secrets, simhash, toxicity, warc
+from . import exact, hardneg, langid, mixing, neighbours, ngrams, packing, ranked, secrets, simhash, templates, toxicity, warc
 from .arrow import map_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,54 @@ def _(spark, d):
     """Expected severity of all documents."""
     docs = table(spark, d, "documents")
     return toxicity.predict(docs, toxicity.train(docs, table(spark, d, "labels")))
+
+
+@query("op11_template_main_text")
+def _(spark, d):
+    """Main text of all pages by the templates of their hosts."""
+    return templates.main_text(table(spark, d, "pages"))
+
+
+HARD_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+
+@query("op12_bond_hard_negatives", HARD_SQL)
+def _(spark, d):
+    """Hard negatives of every hundredth vector, with the labels of every seventh moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+RANKED_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents WHERE doc_id IS NOT NULL),
+r AS (SELECT row_number() OVER () AS r, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM r),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+w AS (SELECT r, term FROM (SELECT r, unnest(ts) AS term FROM r) WHERE term IN (SELECT term FROM q)),
+t AS (SELECT r, term, count(*) AS tf FROM w GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, a GROUP BY term),
+s AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+      FROM q JOIN t USING (term) JOIN f USING (term) JOIN r USING (r), a GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s JOIN r USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50"""
+
+
+@query("op13_rmq_ranked_search", RANKED_SQL)
+def _(spark, d):
+    """The 50 best documents for every benchmark item."""
+    return ranked.ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
