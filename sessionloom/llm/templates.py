@@ -342,7 +342,8 @@ def _classes(vectors: DataFrame) -> DataFrame:
 
     A host's row has at most 1 / FREQUENT times the tokens of an average page.
     """
-    hosts = vectors.where("kind = 2").groupBy("host").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("different"))
+    # written first, so that its size is known and a few hosts do not gather all tokens by host
+    hosts = cut(vectors.where("kind = 2").groupBy("host").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("different")))
     often = vectors.where("kind < 2").join(hosts, "host").where((F.col("different") > 1) & (F.col("n") >= F.col("pages") * FREQUENT))
     constant = (F.col("n") == F.col("pages")) & (F.col("different") >= FEWEST)
     same = often.groupBy("host", "n", "low", "high").agg(
