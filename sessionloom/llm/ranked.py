@@ -185,7 +185,8 @@ def _answers(postings: DataFrame, asked: list[tuple[int, list[int]]], weight: np
         if held:
             yield from search(held)
 
-    return postings.where(F.size("terms") > 0).mapInArrow(run, schema)
+    # the written lists are much smaller than the texts: dealt out so that about one shard falls to a task
+    return postings.where(F.size("terms") > 0).repartition(-(-n // docs)).mapInArrow(run, schema)
 
 
 def ranked_search(
