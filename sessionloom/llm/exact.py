@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
-from .arrow import id_and_text, map_columns
+from .arrow import among, id_and_text, map_columns
 
 BLANKS = b" \t\n\x0b\x0c\r"
 PREFIX = 256
@@ -64,18 +64,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.max(outline).alias("o"), F.count(F.lit(1)).alias("copies"))
         .select("doc_id", "o.*", "copies")
     )
-    lengths = first.groupBy("length").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("length")
-    prefixes = (
-        first.join(lengths, "length", "left_semi")
-        .groupBy("length", "prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("length", "prefix")
-    )
-    open_ids = cut(first.join(prefixes, ["length", "prefix"], "left_semi").select("doc_id", "points", "length"))
-
-    same = texts["doc_id"].eqNullSafe(open_ids["doc_id"])
-    candidates = texts.join(open_ids.select("doc_id"), same, "left_semi")
+    # copies are counted before lengths meet, so a group of many copies is one row
+    counted = first.groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    lengths = counted.groupBy("length").agg(F.sum("n").alias("all")).where("all > 1").select("length")
+    prefixes = counted.where("n > 1").join(lengths, "length", "left_semi").select("length", "prefix")
+    open_ids = cut(first.join(prefixes, ["length", "prefix"], "left_semi").select("doc_id"))
+    candidates = among(texts, open_ids)
 
     def full(ids, texts):
         keys = [normalised(t) for t in texts]
@@ -108,12 +102,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; repeated rows of an id become one."""
-    kept = cut(exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), "copies"))
-    same = docs[id_col].cast("long").eqNullSafe(kept["__id"])
-    once = docs.join(kept.where("copies = 1"), same, "left_semi")
-    if kept.where("copies > 1").isEmpty():
+    """The documents that stay, with all their columns; repeated rows of an id become one.
+
+    Null and empty texts are equal, null is an id like any other, an empty table
+    gives none, and other columns may have any name.
+    """
+    groups = cut(exact_groups(docs, id_col, text_col).where("NOT kept OR copies > 1").select("doc_id", "kept", "copies"))
+    once = among(docs, groups.select("doc_id"), id_col, without=True)
+    repeated = groups.where("kept AND copies > 1").select("doc_id")
+    if repeated.isEmpty():
         return once
     longest = F.struct(F.length(F.coalesce(F.col(text_col), F.lit(""))), *[F.col(c) for c in docs.columns])
-    again = docs.join(kept.where("copies > 1"), same, "left_semi").groupBy(id_col).agg(F.max(longest).alias("__row"))
+    again = among(docs, repeated, id_col).groupBy(F.col(id_col).alias("__key")).agg(F.max(longest).alias("__row"))
     return once.unionByName(again.select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
