@@ -27,7 +27,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .arrow import schema_of
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+_MARK = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; digits of other kinds (½, ², ①) are none."""
+    return any(m[0].isalpha() for m in _MARK.finditer(text))
+
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
@@ -140,7 +146,7 @@ def bound_of(model: dict, texts: list[str], seed: int = 9) -> float:
     rng = random.Random(seed)
     at = model["names"].index(UNKNOWN)
     cuts = [t[k : k + rng.randint(2, 80)] for t in texts for k in (0, rng.randrange(max(1, len(t) - 40)))]
-    given = [t for t in texts + cuts if LETTER.search(t)]
+    given = [t for t in texts + cuts if has_letter(t)]
     top = Predictor(model).texts(given)[:, at].max()
     return max(LEAST_BOUND, (1 + float(top)) / 2)
 
@@ -196,7 +202,7 @@ class Predictor:
 
 def predict_batch(predictor: Predictor | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    known = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
+    known = [i for i, t in enumerate(texts) if t is not None and has_letter(t)]
     if predictor is None or not known:
         return names, scores
     p = predictor.texts([texts[i] for i in known])
@@ -239,7 +245,7 @@ def train(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str =
         for b in batches:
             labels += b.column(0).to_pylist()
             texts += b.column(1).to_pylist()
-        kept = [(t, x) for t, x in zip(texts, labels, strict=True) if LETTER.search(t)]
+        kept = [(t, x) for t, x in zip(texts, labels, strict=True) if has_letter(t)]
         if kept:
             kept.sort()  # the order of arrival must not matter
             texts, labels = [t for t, _ in kept], [x for _, x in kept]
@@ -262,7 +268,10 @@ def predict(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_co
     """doc_id, lang_pred, score (0 to 1) of every whole text.
 
     A text that is null or has no letter gets ``und`` and score 0, as does any
-    text without a model and any that a model with a junk class rejects.  Equal texts get equal results; every row gives one.
+    text without a model and any that a model with a junk class rejects.  Equal
+    texts get equal results; every row gives one, also with a null or repeated
+    id.  Only the two named columns are read, so others may have any name.  An
+    empty table gives none.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -279,7 +288,11 @@ def predict(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_co
 
 
 def identified(docs: DataFrame, model: dict | None, least: float = 0.0, text_col: str = "text") -> DataFrame:
-    """The rows whose language is known with at least ``least``, with all their columns."""
+    """The rows whose language is known with at least ``least``, with all their columns.
+
+    Null texts and texts without letters go.  Each row is decided by its own
+    text, so ids may be null or repeated; other columns may have any name.
+    """
     schema = docs.schema
     at = docs.columns.index(text_col)
     text_is = F.col(text_col).cast("string")
