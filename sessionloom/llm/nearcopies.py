@@ -15,6 +15,8 @@ print and 1 - 0.345 ** 8 = 0.9998 for all.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.lineage import cut
-from .arrow import id_and_text, map_columns, schema_of
+from .arrow import MOST_IDS, among, id_and_text, map_columns, schema_of
 from .components import components
 from .simhash import shingles, whole_runs
 
@@ -33,8 +35,8 @@ SHINGLE_TABLES = 8
 SYMBOLS = 6
 WORDS = 5
 SIMILARITY = 0.8
-PAIRWISE = 24  # up to this many documents on a point all pairs are tried
-LEADERS = 8  # of more, about so many are tried against all
+ROUNDS = 1  # more leaders for documents whose points hold several groups
+AT_ONCE = 1024  # documents whose points are compared before the shuffle
 
 
 def table_prints(text: str) -> list[int]:
@@ -46,7 +48,9 @@ def table_prints(text: str) -> list[int]:
     return (ones * (1 << np.arange(BITS, dtype=np.int64))).sum(axis=1).tolist()
 
 
-_SEEDS = np.random.default_rng(11).integers(0, 1 << 63, (3, SHINGLE_TABLES * SYMBOLS), dtype=np.uint64)
+SKETCH = 64  # smallest hashes that give one bit each
+MISSED = 5e-5  # chance that a pair at the similarity has too few equal bits
+_SEEDS = np.random.default_rng(11).integers(0, 1 << 63, (3, SKETCH), dtype=np.uint64)
 _TAGS = np.random.default_rng(12).integers(0, 1 << 63, (SHINGLE_TABLES, SYMBOLS), dtype=np.uint64)
 
 
@@ -62,15 +66,31 @@ def gram_hashes(text: str, words: int) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh3_64_intdigest(s) for s in shingles(text, words)] or [0], np.uint64))
 
 
-def points_of(grams: np.ndarray, at_once: int = 2048) -> list[int]:
-    """All points of the balls of SHINGLE_TABLES prints of SYMBOLS smallest hashes of the shingles."""
-    least = np.full(SHINGLE_TABLES * SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
+def points_of(grams: np.ndarray, at_once: int = 2048) -> tuple[list[int], int]:
+    """All points of the balls of SHINGLE_TABLES prints of SYMBOLS smallest hashes of the shingles, and the sketch.
+
+    The sketch has a bit for each of SKETCH smallest hashes.  Two are equal in a
+    bit with a chance of (1 + similarity) / 2.
+    """
+    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(grams), at_once):
         hashes = (grams[None, i : i + at_once] ^ _SEEDS[0][:, None]) * (_SEEDS[1] | np.uint64(1))[:, None]
         least = np.minimum(least, hashes.min(axis=1))
-    symbols = _mixed(least + _SEEDS[2]).reshape(SHINGLE_TABLES, SYMBOLS)
+    mixed = _mixed(least + _SEEDS[2])
+    symbols = mixed[: SHINGLE_TABLES * SYMBOLS].reshape(SHINGLE_TABLES, SYMBOLS)
     points = _mixed(symbols.sum(axis=1, keepdims=True) - symbols + _TAGS)
-    return points.view(np.int64).ravel().tolist()
+    sketch = np.packbits((mixed >> np.uint64(63)).astype(np.uint8)).view(np.int64)[0]
+    return points.view(np.int64).ravel().tolist(), int(sketch)
+
+
+def equal_bits(similarity: float) -> int:
+    """So many equal bits of two sketches a pair at the similarity has, but for a chance of MISSED."""
+    p, total = (1 + similarity) / 2, 0.0
+    for k in range(SKETCH + 1):
+        total += math.comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if total > MISSED:
+            return k
+    return SKETCH
 
 
 def shingle_set(text: str, words: int) -> list[int]:
@@ -79,57 +99,85 @@ def shingle_set(text: str, words: int) -> list[int]:
 
 
 def _prints(texts: DataFrame, words: int) -> DataFrame:
-    """doc_id, digest of the set of shingles, fingerprints of the words and points of the shingle prints."""
+    """doc_id, digest and sketch of the set of shingles, fingerprints of the words and points of the shingle prints."""
 
     def run(ids, t):
         grams = [gram_hashes(x, words) for x in t]
-        digests = [xxhash.xxh3_128_digest(g.tobytes()) for g in grams]
-        return {"doc_id": ids, "digest": digests, "prints": [table_prints(x) for x in t], "others": [points_of(g) for g in grams]}
+        digests, found = [xxhash.xxh3_128_digest(g.tobytes()) for g in grams], [points_of(g) for g in grams]
+        return {"doc_id": ids, "digest": digests, "prints": [table_prints(x) for x in t], "others": [p for p, _ in found], "sketch": [x for _, x in found]}
 
-    return cut(map_columns(texts, run, "doc_id long, digest binary, prints array<long>, others array<long>"))
+    return cut(map_columns(texts, run, "doc_id long, digest binary, sketch long, prints array<long>, others array<long>"))
 
 
-def _points(prints: DataFrame) -> DataFrame:
-    """The points of all balls, told apart by table, and doc_id."""
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(BITS)])
-    each = prints.select("doc_id", F.posexplode("prints").alias("table", "print"))
-    tagged = F.col("print").bitwiseOR(F.shiftleft(F.col("table").cast("long"), BITS))
-    balls = each.select("doc_id", tagged.alias("print"), F.explode(flips).alias("flip")).select(
-        F.col("print").bitwiseXOR(F.col("flip")).alias("point"), "doc_id"
-    )
-    return balls.unionByName(prints.select(F.explode("others").alias("point"), "doc_id"))
+def _mixed_ids(ids: np.ndarray) -> np.ndarray:
+    return _mixed(ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
-def _meetings(points: DataFrame, rows: int = 200_000) -> DataFrame:
-    """kind 0: pairs a < b of documents on a thinly settled point; kind 1: (point, document) of the others."""
-    schema = schema_of("kind int, a long, b long")
-    arrow = to_arrow_schema(schema)
+def _led(point: np.ndarray, doc: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted points, their documents and sketches, and for each row the place of its point's leader: the least hash of a document."""
+    by = np.lexsort((_mixed_ids(doc), point))
+    point, doc, sketch = point[by], doc[by], sketch[by]
+    first = np.flatnonzero(np.concatenate(([True], point[1:] != point[:-1])))
+    return point, doc, sketch, np.repeat(first, np.diff(np.concatenate((first, [len(point)]))))
 
-    def run(batches):
-        for point, doc in whole_runs(batches, rows):
-            starts = np.flatnonzero(np.concatenate(([True], point[1:] != point[:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(point)])))
-            size, run_of = np.repeat(sizes, sizes), np.repeat(np.arange(len(starts)), sizes)
-            doc = doc.view(np.int64)
-            short = (size > 1) & (size <= PAIRWISE)
-            d, r = doc[short], run_of[short]
-            found = [np.zeros((0, 2), np.int64)]
-            for step in range(1, PAIRWISE):
-                same = np.flatnonzero(r[step:] == r[:-step])
-                if not len(same):
-                    break
-                x, y = d[same], d[same + step]
-                found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            crowd = size > PAIRWISE
-            a = np.concatenate((pairs[:, 0], point[crowd].view(np.int64)))
-            b = np.concatenate((pairs[:, 1], doc[crowd]))
-            kind = np.repeat(np.array([0, 1], np.int32), [len(pairs), int(crowd.sum())])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a), pa.array(b)], schema=arrow)
-
-    sorted_points = points.repartition("point").sortWithinPartitions("point")
-    return sorted_points.mapInArrow(run, schema)
+
+_MET = "a long, kind long, b long, sketch long"  # kind 0: document, its leader; 1: document, a point it shares; 2: point, a document
+
+
+def _rows_of(parts: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    kinds = np.concatenate([np.full(len(p[1]), p[0], np.int64) for p in parts])
+    a, b, sketch = (np.concatenate([p[i].view(np.int64) for p in parts]) for i in (1, 2, 3))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, kinds, b, sketch)], schema=schema)
+
+
+def _star(point: np.ndarray, doc: np.ndarray, sketch: np.ndarray, leader: np.ndarray, similarity: float) -> list[tuple]:
+    """Every other document of a point meets its leader, once, if their sketches allow a link; all are known to share the point."""
+    alone = np.ones(len(point), bool)
+    same = point[1:] == point[:-1]
+    alone[1:] &= ~same
+    alone[:-1] &= ~same
+    other = np.bitwise_count((sketch ^ sketch[leader]).view(np.uint64))
+    may = (doc != doc[leader]) & (other <= SKETCH - equal_bits(similarity))
+    pairs = np.stack((doc[may], doc[leader[may]]), axis=1)
+    pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
+    return [(0, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64)), (1, doc[~alone], point[~alone], sketch[~alone])]
+
+
+def _meetings(nodes: DataFrame, similarity: float, rows: int = 200_000) -> DataFrame:
+    """Rows of kind 0 and 1 for all points that several documents share.
+
+    Points of AT_ONCE documents are compared where they arise; of each only the
+    leader goes on.  So a point that very many documents share is one row for
+    every AT_ONCE of them, in the shuffle as in the task it lands in.
+    """
+    schema = schema_of(_MET)
+    arrow = to_arrow_schema(schema)
+    flips = np.concatenate(([0], 1 << np.arange(BITS, dtype=np.int64)))
+    tags = np.arange(TABLES, dtype=np.int64) << BITS
+
+    def near(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(i, AT_ONCE)
+                ids, sketches = part.column(0).to_numpy(), part.column(1).to_numpy()
+                prints = part.column(2).flatten().to_numpy().reshape(len(ids), TABLES)
+                balls = (prints + tags)[:, :, None] ^ flips
+                points = np.concatenate((balls.reshape(len(ids), -1), part.column(3).flatten().to_numpy().reshape(len(ids), -1)), axis=1)
+                each = points.shape[1]
+                point, doc, sketch, leader = _led(points.ravel(), np.repeat(ids, each), np.repeat(sketches, each))
+                once = np.concatenate(([True], point[1:] != point[:-1]))
+                yield _rows_of([*_star(point, doc, sketch, leader, similarity), (2, point[once], doc[once], sketch[once])], arrow)
+
+    def far(batches):
+        for a, kind, b, sketch in whole_runs(batches, rows):
+            a, b, sketch = a.view(np.int64), b.view(np.int64), sketch.view(np.int64)
+            known = kind < 2
+            found = _star(*_led(a[~known], b[~known], sketch[~known]), similarity) if not known.all() else []
+            if known.any() or found:
+                yield _rows_of([*[(k, a[kind == k], b[kind == k], sketch[kind == k]) for k in (0, 1)], *found], arrow)
+
+    local = nodes.select("doc_id", "sketch", "prints", "others").mapInArrow(near, schema)
+    return cut(local.repartition("a").sortWithinPartitions("a").mapInArrow(far, schema))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -137,7 +185,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     pairs = cut(pairs.where("u <> v").distinct())
     named = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     sets = map_columns(
-        texts.join(named, "doc_id", "left_semi"),
+        among(texts, cut(named)),
         lambda ids, t: {"doc_id": ids, "grams": [shingle_set(x, words) for x in t]},
         "doc_id long, grams array<int>",
     )
@@ -176,69 +224,97 @@ def _pairs_of_open(open_docs: DataFrame, texts: DataFrame, words: int, similarit
     and its pairs are not made.
     """
 
-    def run(ids, roots, t):
-        return {"doc_id": ids, "root": roots, "grams": [shingle_set(x, words) for x in t]}
+    def run(ids, t):
+        return {"doc_id": ids, "grams": [shingle_set(x, words) for x in t]}
 
-    named = texts.join(open_docs, "doc_id").select("doc_id", "root", "text")
-    sets = cut(map_columns(named, run, "doc_id long, root long, grams array<int>").withColumn("key", F.xxhash64("doc_id", "grams")))
-    each = sets.select("doc_id", "root", "key", F.explode("grams").alias("gram"))
+    sets = map_columns(among(texts, open_docs.select("doc_id")), run, "doc_id long, grams array<int>").join(open_docs, "doc_id")
+    sets = cut(sets.withColumn("key", F.xxhash64("doc_id", "grams")))
+    each = sets.select("doc_id", "root", "sketch", "key", F.explode("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    of_doc = each.join(often, "gram").groupBy("doc_id", "root", "key").agg(F.sort_array(F.collect_set(F.struct("n", "gram"))).alias("order"))
+    of_doc = each.join(often, "gram").groupBy("doc_id", "root", "sketch", "key").agg(F.sort_array(F.collect_set(F.struct("n", "gram"))).alias("order"))
     first = F.size("order") - F.ceil(F.size("order") * F.lit(similarity) - 1e-9).cast("int") + 1
-    heads = of_doc.select("doc_id", "root", F.size("order").alias("size"), F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x"))
-    heads = cut(heads.where("x.n > 1").select("doc_id", "root", "size", (F.col("size") - F.col("at")).alias("left"), F.col("x.gram").alias("gram")))
+    heads = of_doc.select("doc_id", "root", "sketch", F.size("order").alias("size"), F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x"))
+    heads = cut(heads.where("x.n > 1").select("doc_id", "root", "sketch", "size", (F.col("size") - F.col("at")).alias("left"), F.col("x.gram").alias("gram")))
     a, b = heads.alias("a"), heads.alias("b")
     enough = (F.col("a.size") + F.col("b.size")) * F.lit(similarity / (1 + similarity)) - 1e-9
     may = (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.root") != F.col("b.root")) & (F.least("a.left", "b.left") >= enough)
+    may &= F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= SKETCH - equal_bits(similarity)
     return a.join(b, (F.col("a.gram") == F.col("b.gram")) & may).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
 
 
+def _sent(small: DataFrame) -> DataFrame:
+    """A written table for a join: sent to the executors where its size is bounded."""
+    return F.broadcast(small) if small.count() <= MOST_IDS else small
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (point, doc_id, sketch, root) of points whose documents are in several groups; of equal crowds one is enough."""
+    known = _sent(roots.withColumnRenamed("node", "doc_id"))
+    now = members.join(known, "doc_id", "left").select("point", "doc_id", "sketch", F.coalesce("root", "doc_id").alias("root"))
+    split = cut(now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("point"))
+    now = cut(now.join(_sent(split), "point", "left_semi").distinct())
+    marks = now.groupBy("point").agg(F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.count(F.lit(1)).alias("n"))
+    once = cut(marks.groupBy("mark", "n").agg(F.min("point").alias("point")).select("point"))
+    return cut(now.join(_sent(once), "point", "left_semi"))
+
+
+def _more_leaders(members: DataFrame, similarity: float, k: int) -> DataFrame:
+    """Pairs of each document of an open point with another leader of the point, if it is in another group and of a like sketch."""
+    lead = cut(members.groupBy("point").agg(F.min_by(F.struct("doc_id", "sketch", "root"), F.xxhash64("doc_id", F.lit(k))).alias("l")))
+    alike = F.bit_count(F.col("m.sketch").bitwiseXOR(F.col("l.sketch"))) <= SKETCH - equal_bits(similarity)
+    m, one = members.alias("m"), _sent(lead).select("point", "l.*").alias("l")
+    led = m.join(one, (F.col("m.point") == F.col("l.point")) & (F.col("m.root") != F.col("l.root")) & alike)
+    return led.select(F.least("m.doc_id", "l.doc_id").alias("u"), F.greatest("m.doc_id", "l.doc_id").alias("v"))
+
+
+def _links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """node, root (smallest id of the group) for all documents linked to another one.
 
     Links are pairs that meet on a point and share ``similarity`` of their
-    shingles.  Documents with the same shingles are one node.  On crowded points
-    a few leaders are tried against all first.  Points whose documents are then
-    in one group are done; between the groups of the others all pairs that can
-    have the similarity are found by their rarest shingles, so no link is lost
+    shingles.  Documents with the same shingles are one node.  On every point
+    all are first tried against one leader, the same for most points of a group;
+    points whose documents are then in one group are done.  Where groups stay
+    apart ROUNDS more leaders are tried; then all pairs between groups that can
+    have the similarity are found by their rarest shingles.  So no link is lost
     and neither a crowd of copies nor a crowd of groups costs all its pairs.
 
     Rows with a null id are never linked; rows that repeat an id are one
     document; null and empty texts have no shingles and link to each other.
+    An empty table gives none.  Only the two named columns are read.
     """
     texts = id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     prints = _prints(texts, words)
-    nodes = cut(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("prints").alias("prints"), F.first("others").alias("others")))
+    nodes = cut(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("prints").alias("prints"), F.first("others").alias("others")))
     same = prints.select("digest", F.col("doc_id").alias("u")).join(nodes.select("digest", F.col("doc_id").alias("v")), "digest").select("u", "v")
     same = cut(same.where("u <> v").distinct())
-    met = cut(_meetings(_points(nodes)))
-    crowds = met.where("kind = 1").select(F.col("a").alias("point"), F.col("b").alias("doc_id")).distinct()
-    pairs = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if crowded := not crowds.isEmpty():
-        # equal crowds (one for each flip) count once; a hash against the size of the crowd decides who leads
-        marks = crowds.groupBy("point").agg(F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.count(F.lit(1)).alias("n"))
-        once = marks.groupBy("mark", "n").agg(F.min("point").alias("point"))
-        crowds = cut(crowds.join(once.select("point", "n"), "point"))
-        share = F.pmod(F.xxhash64("doc_id", F.lit("lead")), F.lit(1 << 31)) / F.lit(float(1 << 31))
-        lead = crowds.where(share * F.col("n") < LEADERS).select("point", F.col("doc_id").alias("l"))
-        led = crowds.join(lead, "point").where("doc_id <> l").select(F.least("doc_id", "l").alias("u"), F.greatest("doc_id", "l").alias("v"))
-        pairs = pairs.unionByName(led)
-    links = same.unionByName(_verified(pairs, texts, words, similarity))
-    roots = cut(components(links))
-    if not crowded:
-        return roots
-    now = crowds.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    now = cut(now.select("point", "doc_id", "root"))
-    split = now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    open_docs = cut(now.join(split.select("point"), "point", "left_semi").select("doc_id", "root").distinct())
+    met = _meetings(nodes, similarity)
+    led = met.where("kind = 0").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+
+    def joined(known: DataFrame, pairs: DataFrame) -> DataFrame:
+        return cut(components(known.unionByName(_verified(pairs, texts, words, similarity))))
+
+    roots = joined(same, led)
+    members = _open(met.where("kind = 1").select(F.col("b").alias("point"), F.col("a").alias("doc_id"), "sketch"), roots)
+    for k in range(ROUNDS):
+        if members.isEmpty():
+            return roots
+        roots = joined(_links(roots), _more_leaders(members, similarity, k))
+        members = _open(members.select("point", "doc_id", "sketch"), roots)
+    open_docs = cut(members.select("doc_id", "root", "sketch").distinct())
     if open_docs.isEmpty():
         return roots
-    new = _verified(_pairs_of_open(open_docs, texts, words, similarity), texts, words, similarity)
-    return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(new)))
+    return joined(_links(roots), _pairs_of_open(open_docs, texts, words, similarity))
 
 
 def drop_near(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns."""
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Nulls, repeated rows and an empty table are treated as in ``near_copies``;
+    other columns may have any name.
+    """
     groups = near_copies(docs, words, similarity, id_col, text_col)
-    dropped = cut(groups.where("node <> root").select(F.col("node").alias("__id")))
-    return docs.join(dropped, docs[id_col].cast("long") == F.col("__id"), "left_anti")
+    return among(docs, cut(groups.where("node <> root").select("node")), id_col, without=True)
