@@ -153,3 +153,39 @@ def test_stages_keep_the_columns_and_clean_documents(spark, stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert corpus_pipeline.run(spark, SF_DIR).count() == stages[-1].count()
+
+
+def test_stages_with_clashing_names_nulls_repeats_and_empty_tables(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "en", "a"), (2, text + " end", "en", None), (3, None, None, "a"), (4, "", "en", "a"), (5, "x " * 50, None, None), (5, "x " * 50, None, None)]
+    rows += [(None, text, "en", "a"), (6, " ".join(reversed(text.split())), "de", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for name in ("__id", "__cell", "__rate", "__row", "__key", "topic", "tokens", "keep_id", "copies"):
+        docs = docs.withColumn(name, F.col("doc_id") * 2)
+    docs = docs.withColumnRenamed("copies", "__ID_")
+    exact_out = corpus_pipeline.drop_exact_copies(spark, docs, SF_DIR)
+    near_out = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR)
+    mixed_out = corpus_pipeline.mix_sources(spark, docs, SF_DIR)
+    for out in (exact_out, near_out, mixed_out):
+        assert out.columns == docs.columns
+        assert all(r["__id"] == (None if r.doc_id is None else 2 * r.doc_id) for r in out.collect())
+    assert sorted((r.doc_id for r in exact_out.collect()), key=str) == [1, 2, 3, 5, 6]  # null ids lose against numbers
+    assert sorted((r.doc_id for r in near_out.collect()), key=str) == [1, 3, 5, 5, 6, None]
+    kept = [r.doc_id for r in mixed_out.collect()]
+    assert kept.count(5) in (0, 2)
+    packed = corpus_pipeline.pack_sequences(spark, docs, SF_DIR).collect()
+    assert {r.doc_id for r in packed} == {1, 2, 3, 4, 5, 6, None}
+    empty = docs.limit(0)
+    for stage in (corpus_pipeline.drop_exact_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.mix_sources, corpus_pipeline.pack_sequences):
+        assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_sketches_keep_pairs_at_the_similarity():
+    rng = random.Random(9)
+    kept = 0
+    for _ in range(200):
+        base = [rng.getrandbits(64) for _ in range(900)]
+        a, b = base[:500], base[56:556]  # 444 of 556 are common: 0.799
+        x, y = (nearcopies.points_of(nearcopies.np.unique(nearcopies.np.array(s, nearcopies.np.uint64)))[1] for s in (a, b))
+        kept += 64 - bin((x ^ y) & (1 << 64) - 1).count("1") >= nearcopies.equal_bits(0.8)
+    assert kept >= 199
