@@ -99,16 +99,17 @@ def repair_zero_times(frames: DataFrame, t: Timing) -> DataFrame:
     return known.withColumn("ts_ms", fixed).drop("__real", "__rf", "__p", "__pf", "__n", "__nf")
 
 
-def gap_fill(frames: DataFrame, t: Timing) -> DataFrame:
+def gap_fill(frames: DataFrame, t: Timing, zero_unknown: bool = False) -> DataFrame:
     """Fill gaps of one stream with zero placeholders at the ideal period.
 
     A gap of n periods (rounded half to even) gets n-1 placeholders.  Adds
-    ``is_actual`` and ``idx``, the dense number after filling.  A time of zero is
-    unknown: no gap begins or ends there.
+    ``is_actual`` and ``idx``, the dense number after filling.  Times may be
+    relative and begin at 0; with ``zero_unknown``, for times since the epoch, 0
+    is a missing time and no gap begins or ends there.
     """
     nxt = over_slices(frames, S, ["ts_ms", "frame"], t.slice_ms, leads={"__next": "ts_ms"})
-    both = (F.col("ts_ms") > 0) & (F.col("__next") > 0)
-    steps = F.when(both, F.rint((F.col("__next") - F.col("ts_ms")) / F.lit(float(t.period))).cast("long"))
+    known = (F.col("ts_ms") > 0) & (F.col("__next") > 0) if zero_unknown else F.lit(True)
+    steps = F.when(known, F.rint((F.col("__next") - F.col("ts_ms")) / F.lit(float(t.period))).cast("long"))
     n = F.greatest(F.lit(1).cast("long"), F.coalesce(steps, F.lit(1).cast("long")))
     filled = (
         expand(nxt, n, "k")
@@ -304,7 +305,7 @@ def masked(slots: DataFrame) -> DataFrame:
 def processed_fnirs(frames: DataFrame, t: Timing) -> DataFrame:
     """Optical frames inside the overlap, gap-filled and truncated."""
     inside = attach(of(frames, "fnirs"), overlap(frames), S).where("ts_ms BETWEEN from_ms AND to_ms").drop("from_ms", "to_ms")
-    return truncate(cut(gap_fill(inside, t)), t)
+    return truncate(cut(gap_fill(inside, t, zero_unknown=True)), t)
 
 
 def two_stream_windows(frames: DataFrame, t: Timing) -> DataFrame:
@@ -333,7 +334,7 @@ def eeg_only_windows(frames: DataFrame, t: Timing) -> DataFrame:
 def fnirs_only_windows(frames: DataFrame, t: Timing) -> DataFrame:
     """Master-clock slots from optical frames alone, after repair and filling."""
     optical = cut(repair_zero_times(of(frames, "fnirs"), t))
-    processed = cut(truncate(cut(gap_fill(optical, t)), t))
+    processed = cut(truncate(cut(gap_fill(optical, t, zero_unknown=True)), t))
     offsets = drift(processed, t).select(*S, "start_ms")
     windows = attach(
         processed.select(*S, F.col("idx").alias("window_idx"), F.col("ts_ms").alias("fnirs_ms"), "is_actual", F.col("value").alias("fnirs_value")),

@@ -119,6 +119,10 @@ def test_gap_fill_truncate_drift_equal_loop(spark):
 def test_half_period_rounds_to_even(spark):
     df = frame(spark, [(1, "f", 0, 0, 1.0), (1, "f", 1, 150, 1.0), (1, "f", 2, 400, 1.0)], "session_id long, stream string, frame long, ts_ms long, value double")
     assert align.gap_fill(df, T).count() == 5  # 1.5 and 2.5 periods: one placeholder each
+    later = align.gap_fill(df.withColumn("ts_ms", df.ts_ms + 1000), T)
+    both = [[(r.idx, r.ts_ms - base, r.is_actual) for r in f.orderBy("idx").collect()] for f, base in ((align.gap_fill(df, T), 0), (later, 1000))]
+    assert both[0] == both[1]  # times may begin at 0
+    assert align.gap_fill(df, T, zero_unknown=True).count() == 4
 
 
 def loop_repair(ts, period):
@@ -506,7 +510,7 @@ def test_a_gap_of_many_periods_spreads_and_zero_times_are_unknown(spark):
     assert wide.agg(F.count_distinct("k")).first()[0] == 10_000_000
     parts = wide.groupBy(F.spark_partition_id()).count().count()
     assert parts > 1
-    filled = align.gap_fill(frames.where("frame < 3"), t)
+    filled = align.gap_fill(frames.where("frame < 3"), t, zero_unknown=True)
     assert filled.count() == 3  # nothing is filled in between 0 and an epoch time
     assert align.clock(frames.where("frame < 3"), t).count() == 1
 
