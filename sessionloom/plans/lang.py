@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import crossquery
+from ..functions.ordered import over_slices
+from ..operators import crossquery, editscript
 from ..operators import lang as op
 from . import inputs as px
 from .registry import query, rounded
@@ -42,35 +43,24 @@ def _(spark, d):
     return ids.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("token_id").alias("id_sum"), F.max("token_id").alias("max_id"))
 
 
-@query(
-    "h3_token_times",
-    f"WITH {TOK} SELECT session_id, count(*) AS n, CAST(sum(start_ms) AS BIGINT) AS start_sum, CAST(sum(end_ms) AS BIGINT) AS end_sum, min(start_ms) AS first_ms, max(end_ms) AS last_ms FROM toks GROUP BY 1",
-)
+@query("h3_token_times", f"WITH {TOK} SELECT session_id, token_idx, token, CAST(start_ms AS BIGINT) AS start_ms, CAST(end_ms AS BIGINT) AS end_ms FROM toks")
 def _(spark, d):
-    c = px.chars(spark, d)
     t = op.cut(tokens(spark, d).select("session_id", "token_idx", "token", "start", "end"))
-    out = op.align_chars(t, c)
-    return out.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("start_ms").alias("start_sum"), F.sum("end_ms").alias("end_sum"), F.min("start_ms").alias("first_ms"), F.max("end_ms").alias("last_ms")
-    )
+    return op.align_chars(t, px.chars(spark, d)).selectExpr("session_id", "token_idx", "token", "bigint(start_ms) AS start_ms", "bigint(end_ms) AS end_ms")
 
 
 @query(
     "h4_typed_token_keys",
-    f"""WITH {TOK}, k AS (SELECT session_id, CAST(tok-1 AS BIGINT) AS token_idx, '['||string_agg(CAST(idx AS VARCHAR),',' ORDER BY idx)||']' AS ci, '['||string_agg('"k'||idx%7||'"',',' ORDER BY idx)||']' AS ke,
-   '['||coalesce(string_agg(CASE WHEN idx%3=0 THEN '"t'||idx%3||'"' END,',' ORDER BY idx),'')||']' AS tr FROM tk2 WHERE NOT sp GROUP BY 1,2)
- SELECT session_id, count(*) AS n, max(ci) AS last_indices, CAST(sum(length(ci)) AS BIGINT) AS index_chars, max(ke) AS last_keys, CAST(sum(length(ke)) AS BIGINT) AS key_chars, max(tr) AS last_triggers, CAST(sum(length(tr)) AS BIGINT) AS trigger_chars FROM k GROUP BY 1""",
+    f"""WITH {TOK} SELECT session_id, CAST(tok-1 AS BIGINT) AS token_idx, '['||string_agg(CAST(idx AS VARCHAR),',' ORDER BY idx)||']' AS char_indices, '['||string_agg('"k'||idx%7||'"',',' ORDER BY idx)||']' AS keystroke_events,
+   '['||coalesce(string_agg(CASE WHEN idx%3=0 THEN '"t'||idx%3||'"' END,',' ORDER BY idx),'')||']' AS trigger_keystrokes FROM tk2 WHERE NOT sp GROUP BY 1,2""",
 )
 def _(spark, d):
     c = px.chars(spark, d).withColumn("keystrokes", F.expr("array(concat('k', idx % 7))")).withColumn(
         "trigger_keystroke", F.expr("CASE WHEN idx % 3 = 0 THEN concat('t', idx % 3) END")
     )
     t = op.cut(tokens(spark, d).select("session_id", "token_idx", "token", "start", "end"))
-    out = op.align_keys(t, c).withColumn("ci", F.to_json("char_indices"))
-    last = lambda c, n: [F.max(c).alias(f"last_{n[0]}"), F.sum(F.length(c)).alias(f"{n[1]}_chars")]
-    return out.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n"), *last("ci", ("indices", "index")), *last("keystroke_events", ("keys", "key")), *last("trigger_keystrokes", ("triggers", "trigger"))
-    )
+    out = op.align_keys(t, c).withColumn("char_indices", F.to_json("char_indices"))
+    return out.select("session_id", "token_idx", "char_indices", "keystroke_events", "trigger_keystrokes")
 
 
 PLACED = "placed AS (SELECT *, CAST(sum(length(word)+1) OVER w AS BIGINT)-length(word)-1 AS text_start, CAST(sum(length(word)+1) OVER w AS BIGINT)-1 AS text_end FROM px_words WINDOW w AS (PARTITION BY session_id ORDER BY idx))"
@@ -129,32 +119,57 @@ def aligned(spark, d):
     return op.align_corrected(op.cut(op.correct(t, known(t))))
 
 
-@query("h7_word_corrections", f"WITH {FIX} SELECT token, corrected FROM fix WHERE corrected<>token")
+# Corrections need the different tokens and their counts only, not one row for each character.
+BARE = """toks AS MATERIALIZED (SELECT unnest(regexp_extract_all(text,'[\\p{L}\\p{N}_'']+|[^\\p{L}\\p{N}_'' \\t\\n\\r]')) AS token FROM documents)"""
+
+
+@query("h7_word_corrections", f"WITH {FIX.replace(TOK, BARE)} SELECT token, corrected FROM fix WHERE corrected<>token")
 def _(spark, d):
     t = op.cut(tokens(spark, d).select("token"))
     return op.corrections(t, known(t)).where("corrected <> token")
 
 
-@query(
-    "h8_align_corrected_tokens",
-    f"""WITH {ALIGNED} SELECT session_id, count(*) AS n, count(*) FILTER (unchanged) AS n_unchanged, CAST(sum(start_ms) AS BIGINT) AS start_sum, CAST(sum(end_ms) AS BIGINT) AS end_sum,
- CAST(sum(first_original) AS BIGINT) AS first_sum, CAST(sum(last_original) AS BIGINT) AS last_sum, max(last_original-first_original) AS longest_run FROM al GROUP BY 1""",
-)
+@query("h8_align_corrected_tokens", f"WITH {ALIGNED} SELECT session_id, token_idx, token, corrected, CAST(start_ms AS BIGINT) AS start_ms, CAST(end_ms AS BIGINT) AS end_ms, first_original, last_original, unchanged FROM al")
 def _(spark, d):
-    return aligned(spark, d).groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("unchanged").alias("n_unchanged"),
-        F.sum("start_ms").alias("start_sum"),
-        F.sum("end_ms").alias("end_sum"),
-        F.sum("first_original").alias("first_sum"),
-        F.sum("last_original").alias("last_sum"),
-        F.max(F.col("last_original") - F.col("first_original")).alias("longest_run"),
+    return aligned(spark, d).withColumns({c: F.col(c).cast("long") for c in ("start_ms", "end_ms", "first_original", "last_original")})
+
+
+def rewritten(fixed):
+    """Another text: corrected words, repeated words once, words of twelve and more characters in two parts."""
+    near = over_slices(fixed, op.S, ["token_idx"], 100_000, lags={"before": "token"})
+    half = F.expr("CAST(length(corrected) / 2 AS INT)")
+    parts = F.when(F.length("corrected") >= 12, F.array(F.substring("corrected", F.lit(1), half), F.expr("substring(corrected, CAST(length(corrected) / 2 AS INT) + 1)")))
+    repeated = F.coalesce(F.lower("token") == F.lower("before"), F.lit(False))
+    parts = F.when(repeated, F.array().cast("array<string>")).otherwise(F.coalesce(parts, F.array("corrected")))
+    each = near.select(*op.S, "token_idx", parts.alias("parts")).withColumn("n", F.size("parts").cast("long"))
+    placed = op.cut(over_slices(each, op.S, ["token_idx"], 100_000, sums={"so_far": "n"}))
+    return placed.select(*op.S, (F.col("so_far") - F.col("n")).alias("first"), F.posexplode("parts").alias("at", "token")).select(
+        *op.S, (F.col("first") + F.col("at")).alias("token_idx"), "token"
     )
 
 
+def edits(spark, d):
+    t = op.cut(tokens(spark, d).select(*op.S, "token_idx", "token", "start_ms", "end_ms"))
+    return editscript.align_edited(t, rewritten(op.cut(op.correct(t, known(t)))))
+
+
+@query("h8_align_edited_tokens")
+def _(spark, d):
+    """Tokens of a text with other words, fewer words and more words, aligned to the original."""
+    return edits(spark, d)
+
+
+@query("h9_edit_score")
+def _(spark, d):
+    return rounded(editscript.edit_score(edits(spark, d)))
+
+
 @query("h9_correctness_score", f"WITH {ALIGNED} SELECT session_id, count(*) AS n_mapped, count(*) FILTER (unchanged) AS n_unchanged, round(count(*) FILTER (unchanged)/count(*)::DOUBLE,6) AS score FROM al GROUP BY 1")
 def _(spark, d):
-    return rounded(op.score(aligned(spark, d)))
+    """Every token is mapped by its correction, so the score needs no alignment."""
+    t = op.cut(tokens(spark, d).select("session_id", "token"))
+    fixed = op.correct(t, known(t)).withColumn("unchanged", F.col("token") == F.col("corrected"))
+    return rounded(op.score(fixed))
 
 
 @query(
