@@ -30,8 +30,9 @@ def with_inputs(sql: str) -> str:
     if not needed:
         return body
     ctes = ", ".join(f"{n} AS ({INPUT_SQL[n]})" for n in needed)
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes}, {body[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return f"{start}{ctes}, {body[len(start):]}"
     return f"WITH {ctes} {body}"
 
 

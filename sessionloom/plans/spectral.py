@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import align, quality
+from ..operators import align, quality, recursive
 from ..operators import spectral as op
 from . import inputs as px
 from .quality import slide_sql
@@ -69,6 +70,49 @@ def _(spark, d):
     return rounded(op.notch(px.signal(spark, d), 20.0, FS, 5.0))
 
 
+def recursion_sql(filters: dict[str, recursive.Filter]) -> str:
+    """CTEs down to ``flt``: the plain recursion, sample by sample, forward and back over the reflected signal."""
+    number = lambda v: f"({float(v):.17e})"
+    ctes, out = ["whole AS (SELECT session_id, channel, list(x ORDER BY sample) AS l, count(*) AS n FROM px_signal GROUP BY 1,2)"], []
+    for k, (band, (zeros, poles, gain)) in enumerate(filters.items()):
+        b, a = gain * np.real(np.poly(zeros)), np.real(np.poly(poles))
+        n, step = len(poles), np.eye(len(poles), k=1)
+        step[:, 0] -= a[1:]
+        rest = np.linalg.solve(np.eye(n) - step, b[1:] - a[1:] * b[0])
+        z = [f"z{i}" for i in range(1, n + 1)]
+        first = ", ".join(f"{number(v)}*x AS {c}" for v, c in zip(rest, z, strict=True))
+        y = f"({number(b[0])}*e.x+f.z1)"
+        after = ", ".join(f"{'f.z%d+' % (i + 1) if i < n else ''}{number(b[i])}*e.x-{number(a[i])}*{y} AS z{i}" for i in range(1, n + 1))
+
+        def run(name, src):
+            return f"""{name} AS (SELECT session_id, channel, n, p, CAST(-1 AS BIGINT) AS t, x AS y, {first} FROM {src} WHERE t=0
+ UNION ALL SELECT f.session_id, f.channel, f.n, f.p, e.t, {y} AS y, {after} FROM {name} f JOIN {src} e ON e.session_id=f.session_id AND e.channel=f.channel AND e.t=f.t+1)"""  # noqa: B023
+
+        ctes += [
+            f"""ext{k} AS MATERIALIZED (SELECT session_id, channel, n, p, q AS t, CASE WHEN q<p THEN 2*l[1]-l[p-q+1] WHEN q<p+n THEN l[q-p+1] ELSE 2*l[n]-l[n-1-(q-p-n)] END AS x
+ FROM (SELECT *, unnest(range(0,n+2*p)) AS q FROM (SELECT *, least({3 * (n + 1)}, n-1) AS p FROM whole)))""",
+            run(f"fwd{k}", f"ext{k}"),
+            f"rev{k} AS MATERIALIZED (SELECT session_id, channel, n, p, n+2*p-1-t AS t, y AS x FROM fwd{k} WHERE t>=0)",
+            run(f"bwd{k}", f"rev{k}"),
+        ]
+        out.append(f"SELECT session_id, channel, '{band}' AS band, n+p-1-t AS sample, y AS x FROM bwd{k} WHERE t>=p AND t<n+p")
+    return ", ".join([*ctes, f"flt AS ({' UNION ALL '.join(out)})"])
+
+
+RECURSIVE = {"e1_recursive_bandpass": {"band": recursive.butterworth(5.0, 20.0, FS)}, "e2_recursive_notch": {"notch": recursive.notch_filter(20.0, FS, 5.0)},
+             "d19_recursive_bank": {n: recursive.butterworth(lo, hi, FS) for n, (lo, hi) in BANK.items()}}
+
+
+def _recursive(name, filters):
+    @query(name, f"WITH RECURSIVE {recursion_sql(filters)} SELECT session_id, channel, band, sample, round(x,5)+0.0 AS x FROM flt")
+    def _(spark, d):
+        return rounded(recursive.forward_back(px.signal(spark, d), filters), 5)
+
+
+for _name, _filters in RECURSIVE.items():
+    _recursive(_name, _filters)
+
+
 @query("e3_welch_psd", f"WITH {PSD} SELECT session_id, channel, bin, round(freq,6) AS freq, round(power,7) AS power FROM psd")
 def _(spark, d):
     return rounded(rounded(psd(spark, d), 6, "freq"), 7, "power").withColumn("bin", F.col("bin").cast("long"))
@@ -185,11 +229,10 @@ def _(spark, d):
 
 @query(
     "d19_filter_bank",
-    f"WITH {BANKED} SELECT session_id, channel, band, count(*) AS n, round(stddev_pop(x),6) AS std FROM flt GROUP BY 1,2,3",
+    f"WITH {BANKED} SELECT session_id, channel, band, sample, round(x,5)+0.0 AS x FROM flt",
 )
 def _(spark, d):
-    bank = op.filter_bank(px.signal(spark, d), BANK, FS)
-    return rounded(bank.groupBy("session_id", "channel", "band").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("x").alias("std")))
+    return rounded(op.filter_bank(px.signal(spark, d), BANK, FS), 5)
 
 
 @query(
