@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole texts go to Python: a batch is held several times over, on both sides
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
