@@ -43,7 +43,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     margin's values and a ``share`` (any positive scale).  A value without a
     target, or with share null or not above 0, gets weight 0.  Each round fits
     the margins one after the other, so the last one is met exactly; sums are
-    pre-aggregated and the table of cells is written once a round.  Rounds go on
+    pre-aggregated and the table of cells is written after each fit.  Rounds go on
     until all margins are met to TOLERANCE; targets that exclude each other end
     at MOST_ROUNDS with the last margin met, and ``margin_error`` tells by how
     much the others are missed.
@@ -60,8 +60,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             step = now.join(goal, margin, "left").select(
                 margin, F.when(F.col("__now") > 0, F.coalesce("__goal", F.lit(0.0)) / F.col("__now")).otherwise(0.0).alias("__step")
             )
-            fit = fit.join(step, margin).withColumn("weight", F.col("weight") * F.col("__step")).drop("__step")
-        fit = cut(fit)
+            # written each time: plans that hold the cells twice per margin would grow eightfold in a round
+            fit = cut(fit.join(step, margin).withColumn("weight", F.col("weight") * F.col("__step")).drop("__step"))
         if k + 1 >= rounds and margin_error(fit, goals) <= TOLERANCE:
             break
     return fit
