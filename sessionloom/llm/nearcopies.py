@@ -113,34 +113,33 @@ def _mixed_ids(ids: np.ndarray) -> np.ndarray:
     return _mixed(ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
-def _led(point: np.ndarray, doc: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted points, their documents and sketches, and for each row the place of its point's leader: the least hash of a document."""
+def _led(point: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted points, their documents, the place of each row's leader (the least hash of a document), and the order."""
     by = np.lexsort((_mixed_ids(doc), point))
-    point, doc, sketch = point[by], doc[by], sketch[by]
+    point, doc = point[by], doc[by]
     first = np.flatnonzero(np.concatenate(([True], point[1:] != point[:-1])))
-    return point, doc, sketch, np.repeat(first, np.diff(np.concatenate((first, [len(point)]))))
+    return point, doc, np.repeat(first, np.diff(np.concatenate((first, [len(point)])))), by
 
 
-_MET = "a long, kind long, b long, sketch long"  # kind 0: document, its leader; 1: document, a point it shares; 2: point, a document
+_MET = "a long, kind long, b long"  # kind 0: document, its leader; 1: document, a point it shares; 2: point, a document
 
 
 def _rows_of(parts: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     kinds = np.concatenate([np.full(len(p[1]), p[0], np.int64) for p in parts])
-    a, b, sketch = (np.concatenate([p[i].view(np.int64) for p in parts]) for i in (1, 2, 3))
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, kinds, b, sketch)], schema=schema)
+    a, b = (np.concatenate([p[i].view(np.int64) for p in parts]) for i in (1, 2))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, kinds, b)], schema=schema)
 
 
-def _star(point: np.ndarray, doc: np.ndarray, sketch: np.ndarray, leader: np.ndarray, similarity: float) -> list[tuple]:
-    """Every other document of a point meets its leader, once, if their sketches allow a link; all are known to share the point."""
+def _star(point: np.ndarray, doc: np.ndarray, leader: np.ndarray, may: np.ndarray | bool = True) -> list[tuple]:
+    """Every other document of a point that ``may`` be linked meets its leader, once; all are known to share the point."""
     alone = np.ones(len(point), bool)
     same = point[1:] == point[:-1]
     alone[1:] &= ~same
     alone[:-1] &= ~same
-    other = np.bitwise_count((sketch ^ sketch[leader]).view(np.uint64))
-    may = (doc != doc[leader]) & (other <= SKETCH - equal_bits(similarity))
-    pairs = np.stack((doc[may], doc[leader[may]]), axis=1)
+    tried = (doc != doc[leader]) & may
+    pairs = np.stack((doc[tried], doc[leader[tried]]), axis=1)
     pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
-    return [(0, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64)), (1, doc[~alone], point[~alone], sketch[~alone])]
+    return [(0, pairs[:, 0], pairs[:, 1]), (1, doc[~alone], point[~alone])]
 
 
 def _meetings(nodes: DataFrame, similarity: float, rows: int = 200_000) -> DataFrame:
@@ -164,17 +163,19 @@ def _meetings(nodes: DataFrame, similarity: float, rows: int = 200_000) -> DataF
                 balls = (prints + tags)[:, :, None] ^ flips
                 points = np.concatenate((balls.reshape(len(ids), -1), part.column(3).flatten().to_numpy().reshape(len(ids), -1)), axis=1)
                 each = points.shape[1]
-                point, doc, sketch, leader = _led(points.ravel(), np.repeat(ids, each), np.repeat(sketches, each))
+                point, doc, leader, by = _led(points.ravel(), np.repeat(ids, each))
+                sketch = np.repeat(sketches, each)[by]
+                alike = np.bitwise_count((sketch ^ sketch[leader]).view(np.uint64)) <= SKETCH - equal_bits(similarity)
                 once = np.concatenate(([True], point[1:] != point[:-1]))
-                yield _rows_of([*_star(point, doc, sketch, leader, similarity), (2, point[once], doc[once], sketch[once])], arrow)
+                yield _rows_of([*_star(point, doc, leader, alike), (2, point[once], doc[once])], arrow)
 
     def far(batches):
-        for a, kind, b, sketch in whole_runs(batches, rows):
-            a, b, sketch = a.view(np.int64), b.view(np.int64), sketch.view(np.int64)
+        for a, kind, b in whole_runs(batches, rows):
+            a, b = a.view(np.int64), b.view(np.int64)
             known = kind < 2
-            found = _star(*_led(a[~known], b[~known], sketch[~known]), similarity) if not known.all() else []
+            found = _star(*_led(a[~known], b[~known])[:3]) if not known.all() else []
             if known.any() or found:
-                yield _rows_of([*[(k, a[kind == k], b[kind == k], sketch[kind == k]) for k in (0, 1)], *found], arrow)
+                yield _rows_of([*[(k, a[kind == k], b[kind == k]) for k in (0, 1)], *found], arrow)
 
     local = nodes.select("doc_id", "sketch", "prints", "others").mapInArrow(near, schema)
     return cut(local.repartition("a").sortWithinPartitions("a").mapInArrow(far, schema))
@@ -248,9 +249,9 @@ def _sent(small: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows (point, doc_id, sketch, root) of points whose documents are in several groups; of equal crowds one is enough."""
+    """The rows (point, doc_id, root) of points whose documents are in several groups; of equal crowds one is enough."""
     known = _sent(roots.withColumnRenamed("node", "doc_id"))
-    now = members.join(known, "doc_id", "left").select("point", "doc_id", "sketch", F.coalesce("root", "doc_id").alias("root"))
+    now = members.join(known, "doc_id", "left").select("point", "doc_id", F.coalesce("root", "doc_id").alias("root"))
     split = cut(now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("point"))
     now = cut(now.join(_sent(split), "point", "left_semi").distinct())
     marks = now.groupBy("point").agg(F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.count(F.lit(1)).alias("n"))
@@ -258,12 +259,11 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return cut(now.join(_sent(once), "point", "left_semi"))
 
 
-def _more_leaders(members: DataFrame, similarity: float, k: int) -> DataFrame:
-    """Pairs of each document of an open point with another leader of the point, if it is in another group and of a like sketch."""
-    lead = cut(members.groupBy("point").agg(F.min_by(F.struct("doc_id", "sketch", "root"), F.xxhash64("doc_id", F.lit(k))).alias("l")))
-    alike = F.bit_count(F.col("m.sketch").bitwiseXOR(F.col("l.sketch"))) <= SKETCH - equal_bits(similarity)
+def _more_leaders(members: DataFrame, k: int) -> DataFrame:
+    """Pairs of each document of an open point with another leader of the point, if it is in another group."""
+    lead = cut(members.groupBy("point").agg(F.min_by(F.struct("doc_id", "root"), F.xxhash64("doc_id", F.lit(k))).alias("l")))
     m, one = members.alias("m"), _sent(lead).select("point", "l.*").alias("l")
-    led = m.join(one, (F.col("m.point") == F.col("l.point")) & (F.col("m.root") != F.col("l.root")) & alike)
+    led = m.join(one, (F.col("m.point") == F.col("l.point")) & (F.col("m.root") != F.col("l.root")))
     return led.select(F.least("m.doc_id", "l.doc_id").alias("u"), F.greatest("m.doc_id", "l.doc_id").alias("v"))
 
 
@@ -298,13 +298,13 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         return cut(components(known.unionByName(_verified(pairs, texts, words, similarity))))
 
     roots = joined(same, led)
-    members = _open(met.where("kind = 1").select(F.col("b").alias("point"), F.col("a").alias("doc_id"), "sketch"), roots)
+    members = _open(met.where("kind = 1").select(F.col("b").alias("point"), F.col("a").alias("doc_id")), roots)
     for k in range(ROUNDS):
         if members.isEmpty():
             return roots
-        roots = joined(_links(roots), _more_leaders(members, similarity, k))
-        members = _open(members.select("point", "doc_id", "sketch"), roots)
-    open_docs = cut(members.select("doc_id", "root", "sketch").distinct())
+        roots = joined(_links(roots), _more_leaders(members, k))
+        members = _open(members.select("point", "doc_id"), roots)
+    open_docs = cut(members.select("doc_id", "root").distinct().join(nodes.select("doc_id", "sketch"), "doc_id"))
     if open_docs.isEmpty():
         return roots
     return joined(_links(roots), _pairs_of_open(open_docs, texts, words, similarity))
