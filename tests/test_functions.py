@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sessionloom.functions.joins import attach, first_containing, points_in_intervals
+from sessionloom.functions.joins import attach, first_containing, interval_nodes, points_in_intervals
 from sessionloom.functions.ordered import first_k, over_frames, over_slices
 from sessionloom.functions.quantiles import exact_positions, exact_quantiles
 
@@ -137,6 +137,33 @@ def test_points_in_intervals_equals_loop(spark):
     assert semi.count() == len({(k, t) for k, t in pts for kk, o, n, a, b in rows if kk == k and a <= t <= b})
 
 
+def test_intervals_of_many_levels_equal_loop(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(90):
+        a = int(rng.integers(-3000, 3000)) * int(rng.choice([1, 16]))
+        rows.append((i % 2, i * 7 % 90, f"e{i}", a, a + int(rng.choice([-1, 0, 3, 40, 255, 4096, 70000]))))
+    rows.append((0, 200, "open", -5, 4 * 10**15))  # a missing stop set far in the future
+    iv = spark.createDataFrame(rows, "k long, ord long, name string, a long, b long")
+    pts = [(k, int(t)) for k in (0, 1, 2) for t in np.unique(rng.integers(-50000, 50000, 400))] + [(0, 10**15), (0, 5 * 10**15)]
+    p = spark.createDataFrame(pts, "k long, t long")
+    inside = {(k, t): sorted((o, n) for kk, o, n, a, b in rows if kk == k and a <= t <= b) for k, t in pts}
+    for width in (1, 3, 1000):
+        pairs = points_in_intervals(p, iv, ["k"], "t", "a", "b", width).collect()
+        assert sorted((r["k"], r["t"], r["ord"]) for r in pairs) == sorted((k, t, o) for (k, t), h in inside.items() for o, _ in h)
+        semi = points_in_intervals(p, iv, ["k"], "t", "a", "b", width, "left_semi").collect()
+        assert sorted((r["k"], r["t"]) for r in semi) == sorted(kt for kt, h in inside.items() if h)
+        got = first_containing(p, iv, ["k"], "t", "a", "b", ["ord"], ["name"], width, ["t"]).collect()
+        assert {(r["k"], r["t"]): r["hit"] and r["hit"]["name"] for r in got} == {kt: h[0][1] if h else None for kt, h in inside.items()}
+
+
+def test_a_long_interval_is_a_few_rows(spark):
+    iv = spark.createDataFrame([(1, 0.0, 4e15), (1, float("-inf"), float("inf")), (1, 5.0, 5.0)], "k long, a double, b double")
+    assert interval_nodes(iv, "a", "b", 1000).count() < 1000
+    p = spark.createDataFrame([(1, 5.0), (1, -1e300), (1, None)], "k long, t double")
+    assert points_in_intervals(p, iv, ["k"], "t", "a", "b", 1000).count() == 4
+
+
 def test_cut_lies_in_the_shared_folder_and_is_released(spark):
     import glob
 
