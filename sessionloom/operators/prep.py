@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import attach, with_row
@@ -142,47 +142,60 @@ def split_by_size(rows: DataFrame, train: float, val: float, session: str = "ses
     return attach(rows, prev.select(session, part.alias("split")), [session])
 
 
-def poisson_copies(mean: Column, u: Column) -> Column:
-    """Poisson number of copies for a uniform ``u`` in [0, 1): steps of the distribution below u."""
-    most = F.ceil(mean + 12 * F.sqrt(mean) + 12).cast("int")
-    start = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("c"))
-    step = lambda a, i: F.struct(
-        (a["k"] + F.when(u >= a["c"], 1).otherwise(0)).alias("k"),
-        (a["p"] * mean / i).alias("p"),
-        (a["c"] + a["p"] * mean / i).alias("c"),
+def draw_places(classes: DataFrame, n: int, seed: int, label: str = "label") -> DataFrame:
+    """``n`` draws with replacement: label, rank (1-based, within the label), copies.
+
+    ``classes`` has label, n (rows) and weight (of each row).  All weights form
+    one line, class after class; the draw with number i falls where the hash of
+    i says, so neither tasks nor retries change it, and there are ``n`` draws.
+    """
+    running = Window.orderBy(label)  # one row per class
+    line = classes.where((F.col("n") > 0) & (F.col("weight") > 0)).withColumn("upto", F.sum(F.col("n") * F.col("weight")).over(running))
+    line = line.withColumn("since", F.lag("upto", 1, 0.0).over(running))
+    packed = line.agg(F.sort_array(F.collect_list(F.struct("upto", "since", "weight", "n", label))).alias("__line"))
+    u = hash60(seed, "id") / F.lit(2.0**HASH_BITS)
+    at = F.col("__at")
+    hit = F.coalesce(F.try_element_at(F.filter("__line", lambda c: c["upto"] > at), F.lit(1)), F.try_element_at("__line", F.lit(-1)))
+    return (
+        with_row(classes.sparkSession.range(n), packed)
+        .where(F.size("__line") > 0)
+        .withColumn("__at", u * F.element_at("__line", -1)["upto"])
+        .withColumn("__hit", hit)
+        .select(
+            F.col(f"__hit.{label}").alias(label),
+            F.least(F.col("__hit.n"), F.floor((at - F.col("__hit.since")) / F.col("__hit.weight")) + 1).cast("long").alias("rank"),
+        )
+        .groupBy(label, "rank")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda a: a["k"])
 
 
-def resample(rows: DataFrame, weights: DataFrame, id_cols: list[str], seed: int = 42, label: str = "label") -> DataFrame:
-    """Draw rows with replacement: each row appears a Poisson number of times with its weight as mean.
+def resample(rows: DataFrame, weights: DataFrame, id_cols: list[str], seed: int = 42, label: str = "label", n: int | None = None) -> DataFrame:
+    """Draw ``n`` rows (as many as there are) with replacement, each with the weight of its label.
 
-    The draw depends on the row's hash only, so a retried task repeats it.
+    Rows of a label are numbered by their hash in slices; draws name numbers
+    and are counted before they meet the rows, so no label is gathered in one
+    task.  ``copy`` counts the copies of a row.  Rows without a label, or with
+    one that has no weight, are never drawn.  ``id_cols`` identify a row.
     """
-    weighted = attach(rows, weights.select(label, F.col("weight").alias("__w")), [label])
-    u = hash60(seed, *id_cols) / F.lit(2.0**HASH_BITS)
-    copies = poisson_copies(F.col("__w"), u)
-    return (
-        weighted.withColumn("__n", copies)
-        .where("__n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .drop("__n", "__w")
-    )
+    labelled = rows.where(F.col(label).isNotNull())
+    if n is None:
+        n = labelled.count()
+    sizes = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    places = draw_places(sizes.join(weights.select(label, F.col("weight").cast("double")), label), n, seed, label)
+    hashed = labelled.withColumn("__h", hash60(seed, *id_cols))
+    ranked = over_slices(hashed, [label], ["__h", *id_cols], 2.0**HASH_BITS / RANK_SLICES, rank="__rank")
+    drawn = ranked.join(places.withColumnsRenamed({"rank": "__rank", "copies": "__copies"}), [label, "__rank"])
+    return drawn.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("copy"))
 
 
 def auto_balance(rows: DataFrame, id_cols: list[str], threshold: float = 3.0, seed: int = 42, label: str = "label") -> DataFrame:
     """Resample with balanced weights when the largest class exceeds ``threshold`` times the smallest."""
-    dist = distribution(rows, label)
-    uneven = F.col("imbalance") > threshold
-    weighted = attach(rows, dist.select(label, F.col("weight").alias("__w"), uneven.alias("__u")), [label])
-    u = hash60(seed, *id_cols) / F.lit(2.0**HASH_BITS)
-    copies = F.when(F.col("__u"), poisson_copies(F.col("__w"), u)).otherwise(F.lit(1))
-    return (
-        weighted.withColumn("__n", copies)
-        .where("__n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .drop("__n", "__w", "__u")
-    )
+    dist = cut(distribution(rows.where(F.col(label).isNotNull()), label))
+    imbalance = dist.agg(F.max("imbalance")).first()[0]
+    if imbalance is None or imbalance <= threshold:
+        return rows.withColumn("copy", F.lit(1).cast("long"))
+    return resample(rows, dist, id_cols, seed, label)
 
 
 def fit_norm(samples: DataFrame, keys: list[str], value: str = "x", floor: float = 1e-8) -> DataFrame:

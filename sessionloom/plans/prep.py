@@ -98,31 +98,33 @@ def _(spark, d):
     return rows.groupBy("session_id", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-def poisson_sql(src: str) -> str:
-    """Copies per row: how many steps of the Poisson distribution of its weight lie below its hash."""
+def draws_sql(src: str) -> str:
+    """As many draws as rows: the hash of a draw's number falls on the line of all weights."""
     return f"""v AS ({src}), wt AS (SELECT label, count(*) AS n, sum(count(*)) OVER ()/(count(*) OVER ()*count(*))::DOUBLE AS w, max(count(*)) OVER ()/min(count(*)) OVER ()::DOUBLE AS imb FROM v GROUP BY 1),
- pr AS (SELECT label, imb, j, sum(exp(-w+j*ln(w)-lgamma(j+1.0::DOUBLE))) OVER (PARTITION BY label ORDER BY j) AS cdf FROM wt, range(0,90) r(j)),
- cp AS (SELECT v.vec_id, v.label, CASE WHEN any_value(imb)>{{thr}} THEN count(*) FILTER (('0x'||substr(md5(vec_id||'-42'),1,15))::BIGINT/1152921504606846976::DOUBLE>=cdf) ELSE 1 END AS c FROM v JOIN pr USING (label) GROUP BY 1,2)"""
+ ln AS (SELECT *, sum(n*w) OVER (ORDER BY label) AS upto FROM wt), li AS (SELECT *, lag(upto,1,0.0::DOUBLE) OVER (ORDER BY label) AS since, max(upto) OVER () AS whole FROM ln),
+ u AS (SELECT ('0x'||substr(md5(i||'-42'),1,15))::BIGINT/1152921504606846976::DOUBLE AS u FROM range((SELECT count(*) FROM v)) t(i)),
+ dr AS (SELECT label, least(n, floor((u*whole-since)/w)::BIGINT+1) AS r, count(*) AS c FROM u JOIN li ON u*whole>=since AND u*whole<upto GROUP BY 1,2),
+ rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY substr(md5(vec_id||'-42'),1,15), vec_id) AS r FROM v),
+ cp AS (SELECT vec_id, label, c FROM rk JOIN dr USING (label, r))"""
 
 
 UNEVEN = "SELECT vec_id, CASE WHEN label=0 THEN 0 ELSE 1 END AS label FROM embeddings"
+DRAWN = "SELECT vec_id, label, unnest(range(1,c+1)) AS copy FROM cp"
 
 
-@query(
-    "k9_weighted_resample",
-    f"WITH {poisson_sql('SELECT vec_id, label FROM embeddings').format(thr=0)} SELECT label, CAST(sum(c) AS BIGINT) AS n, count(*) FILTER (c>0) AS n_distinct FROM cp GROUP BY 1",
-)
+@query("k9_weighted_resample", f"WITH {draws_sql('SELECT vec_id, label FROM embeddings')} {DRAWN}")
 def _(spark, d):
     v = vectors(spark, d)
-    return op.resample(v, op.distribution(v), ["vec_id"]).groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("vec_id").alias("n_distinct")
-    )
+    return op.resample(v, op.distribution(v), ["vec_id"]).select("vec_id", "label", "copy")
 
 
-@query("k10_auto_balance", f"WITH {poisson_sql(UNEVEN).format(thr=3)} SELECT label, CAST(sum(c) AS BIGINT) AS n FROM cp GROUP BY 1")
+@query(
+    "k10_auto_balance",
+    f"WITH {draws_sql(UNEVEN)}, b AS (SELECT any_value(imb)>3 AS uneven FROM wt) SELECT * FROM ({DRAWN}) WHERE (SELECT uneven FROM b) UNION ALL SELECT vec_id, label, 1 FROM v WHERE NOT (SELECT uneven FROM b)",
+)
 def _(spark, d):
     skewed = vectors(spark, d).withColumn("label", F.expr("CASE WHEN label = 0 THEN 0 ELSE 1 END"))
-    return op.auto_balance(skewed, ["vec_id"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return op.auto_balance(skewed, ["vec_id"]).select("vec_id", "label", "copy")
 
 
 @query(

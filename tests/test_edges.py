@@ -345,7 +345,20 @@ def test_resample_balances_and_repeats(spark):
     drawn = prep.resample(rows, prep.distribution(rows), ["id"])
     n = {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()}
     assert abs(n[0] - 4500) < 250 and abs(n[1] - 4500) < 300
-    assert drawn.exceptAll(prep.resample(rows, prep.distribution(rows), ["id"])).count() == 0
+    assert drawn.count() == 9000
+    other = prep.resample(rows.repartition(7), prep.distribution(rows), ["id"])
+    assert drawn.exceptAll(other).count() == 0 and other.exceptAll(drawn).count() == 0
+    once = drawn.where("copy = 1").count()
+    assert once == drawn.select("id").distinct().count()
+    # 8,000 rows of the large class drawn 4,500 times: 8,000 (1 - exp(-4,500 / 8,000)) of them at least once
+    assert abs(drawn.where("label = 0").select("id").distinct().count() - 3442) < 150
+    assert prep.resample(rows, prep.distribution(rows), ["id"], n=123).count() == 123
+    assert prep.resample(rows.limit(0), prep.distribution(rows), ["id"]).count() == 0
+    none = rows.withColumn("label", F.when(F.col("id") % 2 == 0, F.col("label")))
+    kept = prep.resample(none, prep.distribution(none.where("label IS NOT NULL")), ["id"])
+    assert kept.count() == 4500 and kept.where("label IS NULL").count() == 0
+    only = rows.sparkSession.createDataFrame([(0, 0.0), (1, 2.0)], "label int, weight double")
+    assert prep.resample(rows, only, ["id"], n=50).where("label = 1").count() == 50
     even = rows.withColumn("label", F.col("id") % 2)
     assert prep.auto_balance(even, ["id"]).count() == 9000
 
