@@ -30,6 +30,8 @@ LEAF = 128
 CELL_ROWS = 8192
 SAMPLE = 1 << 16
 MOST_CELLS = 1 << 12
+LARGEST = 1e140  # norms beyond, or below 1 / LARGEST, are not projected: their squares leave the doubles
+BLOCK = 2048
 
 
 def chi_square(x: float, m: int = DIMENSIONS) -> float:
@@ -152,6 +154,10 @@ def nearest(
     most SAMPLE points into at most MOST_CELLS cells; every vector is put into
     its cell.  A query first searches its own cell; with the k-th product from
     there it goes only to cells the stopping test cannot exclude.
+
+    Vectors whose norm is no ordinary number (LARGEST) are compared exactly, in
+    blocks: as data with all queries, as queries with all data.  A product
+    beyond the doubles is infinite; infinite ones tie.
     """
     spark = data.sparkSession
     v = F.col("v")
@@ -159,23 +165,87 @@ def nearest(
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
     rows = data.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size("v") > 0)).where(finite)
-    rows = rows.withColumn("norm", norm).where((F.col("norm") > 0) & (F.col("norm") < F.lit(1e150)))
-    widths = rows.groupBy(F.size("v").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("top"))
+    rows = rows.where(F.exists("v", lambda e: e != 0)).withColumn("norm", norm)
+    rows = rows.withColumn("odd", (F.col("norm") < F.lit(1 / LARGEST)) | (F.col("norm") > F.lit(LARGEST)))
+    widths = rows.groupBy(F.size("v").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("odd"), F.col("norm"))).alias("top"), F.count_if("odd").alias("n_odd")
+    )
     usual = widths.orderBy(F.desc("n"), "w").first()
     out = "query_id long, rank int, vec_id long, score double"
     if usual is None:
         return spark.createDataFrame([], out)
-    width, top, n = usual["w"], float(usual["top"]), usual["n"]
-    rows = cut(rows.where(F.size("v") == width).select("vec_id", "v", F.xxhash64("v").alias("h")))
+    width, top, n, n_odd = usual["w"], usual["top"], usual["n"], usual["n_odd"]
+    rows = cut(rows.where(F.size("v") == width).select("vec_id", "v", "odd", F.xxhash64("v").alias("h")))
 
-    points = cut(
+    every = cut(
         first_k(rows, ["h", "v"], ["vec_id"], k + 1, "place")
-        .groupBy("h", "v")
+        .groupBy("h", "v", "odd")
         .agg(F.min("vec_id").alias("point"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     asked = rows.where(is_query).select("vec_id", "h", "v")
-    asked = cut(asked.join(points.select("h", "v", "point"), ["h", "v"]).select(F.col("vec_id").alias("query_id"), "point"))
+    asked = cut(asked.join(every.select("h", "v", "point"), ["h", "v"]).select(F.col("vec_id").alias("query_id"), "point"))
+    searched = asked.select("point").distinct().join(every.select("point", "v", "odd"), "point").select("point", "v", "odd")
+    need = k + 1
+    found = []
+    if n_odd:
+        searched = cut(searched)
+        odd, plain = every.where("odd"), every.where("NOT odd")
+        found = [compared(searched, odd, need, n, n_odd), compared(searched.where("odd"), plain, need, n_odd, n)]
+    if n > n_odd:
+        queries = searched.where("NOT odd").select("point", "v")
+        found += _in_cells(every.where("NOT odd"), queries, n, float(top), need, sure, cell_rows)
+    hits = found[0]
+    for more in found[1:]:
+        hits = hits.unionByName(more)
+    best = first_k(hits, ["query"], [F.desc("score"), "point"], need, "place").drop("place")
+    # Points to ids: equal vectors have equal products, ties go to the smaller id.
+    ids = every.select("point", F.explode("ids").alias("vec_id"))
+    listed = first_k(best.join(ids, "point"), ["query"], [F.desc("score"), "vec_id"], need, "place")
+    per_query = asked.join(listed, asked["point"] == listed["query"]).where("query_id <> vec_id")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return per_query.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of all rows with one vector; only the results may leave the doubles."""
+    _, a = np.frexp(np.abs(x).max(axis=1))
+    _, b = np.frexp(np.abs(q).max())
+    with np.errstate(over="ignore", under="ignore"):
+        return np.ldexp((np.ldexp(x, -a[:, None]) * np.ldexp(q, -b)).sum(axis=1), a + b)
+
 
+def compared(queries: DataFrame, points: DataFrame, need: int, n_queries: int, n_points: int) -> DataFrame:
+    """query, point, score: the ``need`` best points of every query by blocks of both tables.
+
+    The two numbers bound the rows of the tables and say how many blocks there are.
+    """
+    schema = schema_of("query long, point long, score double")
+    arrow = to_arrow_schema(schema)
+    blocks = {"i": max(1, -(-n_queries // BLOCK)), "j": max(1, -(-n_points // BLOCK))}
+    own = lambda c: F.pmod(F.xxhash64("point"), F.lit(blocks[c])).cast("long").alias(c)
+    each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks[c] - 1).cast("long"))).alias(c)
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return arrow.empty_table()
+        names, ids = left.column("point").to_numpy(), right.column("point").to_numpy()
+        q, x = _vectors(left.column("v")), _vectors(right.column("v"))
+        out = []
+        for j, name in enumerate(names):
+            score = products(x, q[j])
+            kept = np.lexsort((ids, -score))[:need]
+            out.append(pa.table([np.full(len(kept), name), ids[kept], score[kept]], schema=arrow))
+        return pa.concat_tables(out)
+
+    a = queries.select(own("i"), each("j"), "point", "v")
+    b = points.select(each("i"), own("j"), "point", "v")
+    return a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInArrow(best, schema)
+
+
+def _in_cells(
+    points: DataFrame, queries: DataFrame, n: int, top: float, need: int, sure: float, cell_rows: int
+) -> list[DataFrame]:
+    """query, point, score: what the search through the cells of the tree finds."""
     # the top of the tree
     some = points.where(F.pmod(F.xxhash64("point"), F.lit(max(1, n))) < SAMPLE).select("v").limit(SAMPLE)
     sample = _sampled(some, top)
@@ -201,11 +271,9 @@ def nearest(
         return run
 
     placed = cut(points.select("point", "v").mapInArrow(place(False), schema))
-    queries = asked.select("point").distinct().join(points.select("point", "v"), "point").select("point", "v")
     home = cut(queries.mapInArrow(place(True), schema))
 
     limit = quantile(sure)
-    need = k + 1
     found_schema = schema_of("query long, point long, score double")
     found_arrow = to_arrow_schema(found_schema)
 
@@ -247,13 +315,7 @@ def nearest(
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), *t.columns[1:]], schema=more_arrow)
 
     rest = visit(bounded.select("cell", "point", "v", "bound").mapInArrow(spread, more_schema))
-    best = first_k(first.unionByName(rest), ["query"], [F.desc("score"), "point"], need, "place").drop("place")
-    # Points to ids: equal vectors have equal products, ties go to the smaller id.
-    ids = points.select("point", F.explode("ids").alias("vec_id"))
-    listed = first_k(best.join(ids, "point"), ["query"], [F.desc("score"), "vec_id"], need, "place")
-    per_query = asked.join(listed, asked["point"] == listed["query"]).where("query_id <> vec_id")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return per_query.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return [first, rest]
 
 
 def _sampled(some: DataFrame, top: float) -> np.ndarray:

@@ -206,6 +206,33 @@ def test_neighbours_of_few_and_none(spark):
     assert neighbours.nearest(data.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("plain", [0, 60])
+def test_neighbours_of_any_finite_size(spark, plain):
+    from fractions import Fraction
+
+    rng = np.random.default_rng(4)
+    vectors = [[1e200, 0.0], [1e-200, 0.0], [-1e200, 1e200], [1e200, 1e200], [3e307, -1e307], [5e-324, 0.0], [1e-170, -2e-170], [1e200, 0.0]]
+    vectors += rng.normal(size=(plain, 2)).tolist()
+    data = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(data, F.col("vec_id") % 2 == 0, k=5, sure=1 - 1e-13, cell_rows=20).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+
+    def product(a, b):
+        exact = sum(Fraction(x) * Fraction(y) for x, y in zip(a, b, strict=True))
+        try:
+            return float(exact)
+        except OverflowError:
+            return float("inf") if exact > 0 else float("-inf")
+
+    assert set(got) == set(range(0, len(vectors), 2))
+    for q, ranked in got.items():
+        scores = {i: product(vectors[q], v) for i, v in enumerate(vectors) if i != q}
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        assert [ranked[r][0] for r in range(1, 6)] == want, (q, ranked)
+        assert np.allclose([ranked[r][1] for r in range(1, 6)], [scores[i] for i in want], rtol=1e-12, atol=0)
+
+
 def test_neighbour_recall(spark):
     data = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
     got = neighbours.nearest(data, F.col("vec_id") % 20 == 0, cell_rows=100).collect()
