@@ -3,89 +3,123 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import attach
 from .lineage import cut
 
+#: Values of one cell that are put in order in one task; larger cells are cut again.
+MOST = 1 << 16
+#: Cells of the first pass in each doubling of the magnitude, and the place of the magnitude 1 (the least number has a place above 0).
+PARTS = 8
+ONE = PARTS * 1100
+
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str], bits: int = 8
+    df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str], bits: int = 12, most: int = MOST
 ) -> DataFrame:
     """One row per key with linearly interpolated quantiles, as ``percentile``."""
     at = lambda p: lambda total: (total - 1) * F.lit(float(p))
-    return exact_positions(df, keys, value, [at(p) for p in probs], names, bits)
+    return exact_positions(df, keys, value, [at(p) for p in probs], names, bits, most)
+
+
+def _magnitude(x: Column) -> Column:
+    """A cell by sign and logarithm; cells are in the order of the values, since logarithms never fall."""
+    size = F.abs(x)
+    infinite = size == F.lit(float("inf"))
+    place = F.floor(F.log2(F.when((size > 0) & ~infinite, size)) * PARTS) + ONE
+    place = F.when(infinite, F.lit(2 * ONE)).otherwise(place)
+    return F.when(x == 0, F.lit(0)).when(x > 0, place).otherwise(-place).cast("long")
+
+
+def _between(x: Column, least: Column, last: Column, cells: int) -> Column:
+    """One of ``cells`` equal steps from the least to the last value; this one has a further cell of its own."""
+    return F.floor((x - least) / (last - least) * cells).cast("long")
+
+
+def _ranks(positions: list[Callable[[Column], Column]], total: Column) -> Column:
+    """The two 0-based ranks around each position; the result lies between them by the part ``f``."""
+    return F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), rank(h).cast("long").alias("r"), (h - F.floor(h)).cast("double").alias("f"))
+                for i, h in enumerate(p(total) for p in positions)
+                for side, rank in enumerate((F.floor, F.ceil))
+            ]
+        )
+    )
+
+
+def _interpolated(names: list[str]) -> list[Column]:
+    found = []
+    for i, name in enumerate(names):
+        mine = F.col("__w.i") == i
+        lo, hi = (F.max(F.when(mine & (F.col("__w.side") == side), F.col("__v"))) for side in (0, 1))
+        part = F.max(F.when(mine, F.col("__w.f")))
+        found.append((lo + F.when(part == 0, F.lit(0.0)).otherwise((hi - lo) * part)).alias(name))
+    return found
 
 
 def exact_positions(
-    df: DataFrame, keys: list[str], value: str, positions: list[Callable[[Column], Column]], names: list[str], bits: int = 8
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    positions: list[Callable[[Column], Column]],
+    names: list[str],
+    bits: int = 12,
+    most: int = MOST,
 ) -> DataFrame:
     """Values at given places of the sorted group, one row per key.
 
     A position maps the group size to a 0-based place; fractions interpolate.
 
-    ``percentile`` keeps every distinct value of a group in one task.  Here a
-    bounded sketch only proposes cell borders; exact counts per cell tell which
-    cells hold the wanted ranks, and only those cells are sorted.  The sketch
-    error affects how even the cells are, never the result.  Null and NaN are
-    left out.  There are ``2**bits`` cells.
+    No group is sorted.  Each pass counts rows by cell, combined before the
+    shuffle, and tells which cells hold the wanted ranks; only their rows go on.
+    The first cells are magnitudes, later ones ``2**bits`` equal steps of a cell.
+    A cell with one different value is settled whatever its size; up to ``most``
+    values are put in order; larger cells are cut again, which always splits
+    them, as the least and the last value part.  Null and NaN are left out, so
+    are rows with a null key.
     """
-    cells = 2**bits
     x = F.col(value).cast("double")
-    counted = (
-        df.where(F.col(value).isNotNull() & ~F.isnan(x))
-        .groupBy(*keys, x.alias("__x"))
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    grid = [i / cells for i in range(1, cells)]
-    # The sketch depends on the order in which partial results arrive, so it is
-    # written once: every later step must see the same cells.
-    borders = cut(
-        counted.groupBy(*keys).agg(
-            F.percentile_approx("__x", grid, F.lit(cells * 8)).alias("__borders"), F.sum("__c").alias("__total")
+    there = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.col(value).isNotNull() & ~F.isnan(x))
+    # written once: every pass must see the same values
+    rows = cut(df.where(there).select(*keys, x.alias("__x")))
+    group, digit, wanted, settled = list(keys), _magnitude(F.col("__x")), None, []
+    n, before, rank = F.col("__n"), F.col("__before"), F.col("__w.r")
+    while True:
+        placed = rows.withColumn("__cell", digit)
+        cells = placed.groupBy(*group, "__cell").agg(
+            F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__a"), F.max("__x").alias("__b")
         )
-    )
-    # binary search: number of borders below the value
-    halves = ", ".join(str(2**b) for b in reversed(range(bits)))
-    cell = F.expr(f"aggregate(array({halves}), 0, (n, h) -> n + IF(__borders[n + h - 1] < __x, h, 0))")
-    placed = attach(counted, borders, keys).withColumn("__cell", cell).drop("__borders")
-
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__cell")
-    sizes = (
-        placed.groupBy(*keys, "__cell", "__total")
-        .agg(F.sum("__c").alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    )
-    # 0-based ranks around each quantile; the result lies between them.
-    want = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.floor(h).alias("lo"), F.ceil(h).alias("hi"), h.cast("double").alias("h"))
-            for i, h in enumerate(p(F.col("__total")) for p in positions)
-        ]
-    )
-    sizes = sizes.withColumn("__want", F.explode(want)).where(
-        ((F.col("__want.lo") >= F.col("__before")) & (F.col("__want.lo") < F.col("__before") + F.col("__n")))
-        | ((F.col("__want.hi") >= F.col("__before")) & (F.col("__want.hi") < F.col("__before") + F.col("__n")))
-    )
-    hot = sizes.groupBy(*keys, "__cell", "__before").agg(F.collect_list("__want").alias("__wants"))
-    inner = Window.partitionBy(*keys, "__cell").orderBy("__x")
-    ranked = (
-        placed.join(hot, [*keys, "__cell"])
-        .withColumn("__to", F.col("__before") + F.sum("__c").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("__w", F.explode("__wants"))
-        .withColumn("__from", F.col("__to") - F.col("__c"))
-    )
-    has = lambda r: (F.col(f"__w.{r}") >= F.col("__from")) & (F.col(f"__w.{r}") < F.col("__to"))
-    sums = []
-    for i, name in enumerate(names):
-        mine = F.col("__w.i") == i
-        lo = F.max(F.when(mine & has("lo"), F.col("__x")))
-        hi = F.max(F.when(mine & has("hi"), F.col("__x")))
-        step = F.max(F.when(mine, F.col("__w.h") - F.col("__w.lo")))
-        sums.append((lo + F.when(step == 0, F.lit(0.0)).otherwise((hi - lo) * step)).alias(name))
-    return ranked.groupBy(*keys).agg(*sums)
+        w = Window.partitionBy(*(group or [F.lit(0)]))
+        cells = cells.withColumn("__below", F.sum("__n").over(w.orderBy("__cell")) - n)
+        if wanted is None:
+            cells = cells.withColumn("__total", F.sum("__n").over(w))
+            cells = cells.withColumn("__before", F.col("__below")).withColumn("__w", _ranks(positions, F.col("__total"))).drop("__total")
+        else:
+            cells = cells.join(wanted, group).withColumn("__before", before + F.col("__below"))
+        hot = cut(cells.drop("__below").where((rank >= before) & (rank < before + n)))
+        settled.append(hot.where("__a = __b").select(*keys, "__w", F.col("__a").alias("__v")))
+        several = hot.where("__a < __b")
+        largest = several.agg(F.max("__n")).first()[0]
+        if largest is None:
+            break
+        named = [F.col("__a").alias("__least"), F.col("__b").alias("__last")]
+        inside = several.select(*group, "__cell", "__n", "__a", "__b").distinct()
+        rows = cut(placed.join(inside, [*group, "__cell"]).select(*keys, *named, "__n", "__x"))
+        wanted = several.select(*keys, *named, "__n", "__before", "__w")
+        group = [*keys, "__least", "__last"]
+        ordered = rows.where(n <= most).groupBy(*group).agg(F.sort_array(F.collect_list("__x")).alias("__s"))
+        found = ordered.join(wanted, group)
+        settled.append(found.select(*keys, "__w", F.col("__s")[(rank - before).cast("int")].alias("__v")))
+        if largest <= most:
+            break
+        rows, wanted = (t.where(n > most).drop("__n") for t in (rows, wanted))
+        digit = _between(F.col("__x"), F.col("__least"), F.col("__last"), 2**bits)
+    return reduce(DataFrame.unionByName, settled).groupBy(*keys).agg(*_interpolated(names))
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:

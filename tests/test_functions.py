@@ -90,6 +90,34 @@ def test_exact_quantiles_of_many_partial_sketches(spark):
         assert np.allclose([r[c] for c in "abcd"], want[r["k"]], rtol=0, atol=1e-9)
 
 
+def test_exact_quantiles_cut_cells_until_they_are_small(spark):
+    """Every magnitude, both signs, infinities, heavy copies; cells of one value more than fits are cut again."""
+    rng = np.random.default_rng(5)
+    wide = np.concatenate([s * 10.0 ** rng.uniform(-320, 300, 300) for s in (1, -1)] + [[0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf]])
+    data = {
+        0: wide,
+        1: 1 + rng.integers(0, 3000, 3000) * 2.0**-52,  # neighbours in the last bits
+        2: np.concatenate([np.full(5000, 3.25), 3.25 + rng.random(200) * 1e-6]),
+        3: -np.concatenate([rng.random(3000), np.full(400, 0.5)]),
+    }
+    rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [(None, 1.0)]
+    df = spark.createDataFrame(rows, "k long, x double").repartition(7)
+    rank = [lambda n, p=p: F.floor((n - 1) * p) for p in (0.0, 0.1, 0.5, 0.77, 1.0)]
+    for bits, most in ((5, 40), (12, 7)):
+        got = {r["k"]: [r[f"q{i}"] for i in range(5)] for r in exact_positions(df, ["k"], "x", rank, [f"q{i}" for i in range(5)], bits, most).collect()}
+        for k, vs in data.items():
+            s = np.sort(vs)
+            assert got.pop(k) == [s[int(np.floor((len(s) - 1) * p))] for p in (0.0, 0.1, 0.5, 0.77, 1.0)]
+        assert not got
+
+
+def test_exact_quantiles_without_rows_or_keys(spark):
+    none = spark.createDataFrame([(1, None), (1, float("nan"))], "k long, x double")
+    assert exact_quantiles(none, ["k"], "x", [0.5], ["m"]).collect() == []
+    whole = spark.range(11).select(F.col("id").cast("double").alias("x"))
+    assert exact_quantiles(whole, [], "x", [0.25, 0.5], ["a", "b"]).first().asDict() == {"a": 2.5, "b": 5.0}
+
+
 def test_exact_positions(spark):
     df = spark.range(100).select(F.lit(1).alias("k"), (F.col("id") % 50).cast("double").alias("x"))
     got = exact_positions(df, ["k"], "x", [lambda n: F.floor(n * 0.05), lambda n: n - 1 - F.floor(n * 0.05)], ["a", "b"]).first()
