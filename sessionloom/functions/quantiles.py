@@ -12,9 +12,8 @@ from .lineage import cut
 
 #: Values of one cell that are put in order in one task; larger cells are cut again.
 MOST = 1 << 16
-#: Cells of the first pass in each doubling of the magnitude, and the place of the magnitude 1 (the least number has a place above 0).
+#: Cells of the first pass in each doubling of the magnitude.
 PARTS = 8
-ONE = PARTS * 1100
 
 
 def exact_quantiles(
@@ -25,12 +24,15 @@ def exact_quantiles(
     return exact_positions(df, keys, value, [at(p) for p in probs], names, bits, most)
 
 
-def _magnitude(x: Column) -> Column:
-    """A cell by sign and logarithm; cells are in the order of the values, since logarithms never fall."""
-    size = F.abs(x)
+def magnitude(x: Column, parts: int = PARTS) -> Column:
+    """A cell by sign and logarithm; cells are in the order of the values, since logarithms never fall.
+
+    The magnitude 1 has a place so high that the least number has one above 0.
+    """
+    one, size = parts * 1100, F.abs(x)
     infinite = size == F.lit(float("inf"))
-    place = F.floor(F.log2(F.when((size > 0) & ~infinite, size)) * PARTS) + ONE
-    place = F.when(infinite, F.lit(2 * ONE)).otherwise(place)
+    place = F.floor(F.log2(F.when((size > 0) & ~infinite, size)) * parts) + one
+    place = F.when(infinite, F.lit(2 * one)).otherwise(place)
     return F.when(x == 0, F.lit(0)).when(x > 0, place).otherwise(-place).cast("long")
 
 
@@ -87,7 +89,7 @@ def exact_positions(
     there = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.col(value).isNotNull() & ~F.isnan(x))
     # written once: every pass must see the same values
     rows = cut(df.where(there).select(*keys, x.alias("__x")))
-    group, digit, wanted, settled = list(keys), _magnitude(F.col("__x")), None, []
+    group, digit, wanted, settled = list(keys), magnitude(F.col("__x")), None, []
     n, before, rank = F.col("__n"), F.col("__before"), F.col("__w.r")
     while True:
         placed = rows.withColumn("__cell", digit)

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.joins import attach, points_in_intervals
+from ..functions.lineage import cut
 from ..functions.ordered import over_frames, over_slices
-from ..functions.quantiles import exact_median, exact_positions, exact_quantiles
-from .align import slide
+from ..functions.quantiles import exact_positions, exact_quantiles, magnitude
+from .align import window_count
 
 S = ["session_id"]
 K = ["session_id", "channel"]
+#: Segments of a session that one task numbers.
+SEGMENTS = 4096
 
 
 def spread(x: str = "x") -> Column:
@@ -29,17 +32,37 @@ def channel_stats(samples: DataFrame) -> DataFrame:
     return samples.groupBy(*K).agg(F.stddev_pop("x").alias("std"), spread().alias("range"))
 
 
-def sliding_range(samples: DataFrame, size: int = 2500, step: int | None = None) -> DataFrame:
-    """Range in sliding windows, at the centre sample of each."""
-    step = step or size // 5
+def window_ranges(samples: DataFrame, size: int, step: int) -> DataFrame:
+    """Range of each sliding window that ends inside its channel.
+
+    Starts and ends of all windows cut a step in two panes.  Extremes are taken
+    once per pane, combined before the shuffle; only panes, not samples, are
+    copied to the windows they are in.
+    """
+    whole, rest = divmod(size, step)
+    s = F.col("sample")
+    at = [F.floor(s / F.lit(step)).cast("long").alias("__step"), (F.pmod(s, F.lit(step)) >= rest).cast("long").alias("__part")]
+    panes = samples.groupBy(*K, *at).agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
+    n = samples.groupBy(*K).agg((F.max("sample") + 1).alias("__n"))
+    first = F.greatest(F.lit(0).cast("long"), F.col("__step") - whole + F.col("__part"))
+    last = F.least(F.col("__step"), window_count(F.col("__n"), size, step).cast("long") - 1)
     return (
-        slide(samples.select(*K, "sample", "x"), K, size, step)
+        attach(panes, n, K)
+        .withColumn("__first", first)
+        .withColumn("__last", last)
+        .where("__last >= __first")
+        .withColumn("window", F.explode(F.sequence("__first", "__last")))
         .groupBy(*K, "window")
-        .agg(spread().alias("range"))
-        .select(*K, (F.col("window") * step + size // 2).alias("centre"), "range")
+        .agg((F.max("__hi") - F.min("__lo")).alias("range"))
     )
 
 
+def sliding_range(samples: DataFrame, size: int = 2500, step: int | None = None) -> DataFrame:
+    """Range in sliding windows, at the centre sample of each."""
+    step = step or size // 5
+    return window_ranges(samples, size, step).select(*K, (F.col("window") * step + size // 2).alias("centre"), "range")
+
+
 def tumbling(samples: DataFrame, size: int) -> Column:
     return F.floor(F.col("sample") / size).cast("long")
 
@@ -55,9 +78,23 @@ def flatline_percent(samples: DataFrame, size: int = 2500, threshold: float = 0.
 
 
 def segment_ranges(samples: DataFrame, size: int, step: int) -> DataFrame:
-    """Median over channels of the range in each overlapping segment of a session."""
-    per = slide(samples.select(*K, "sample", "x"), K, size, step).groupBy(*K, "window").agg(spread().alias("r"))
-    return exact_median(per, [*S, "window"], "r", "range")
+    """Median over channels of the range in each overlapping segment of a session; as many values as a device has channels."""
+    per = window_ranges(samples, size, step).where(~F.isnan("range"))
+    return per.groupBy(*S, "window").agg(F.median("range").alias("range"))
+
+
+def lowest_segments(segments: DataFrame, ratio: float) -> DataFrame:
+    """The share ``1 - ratio`` of a session's segments with the lowest ranges, earlier ones first, and their number ``__n``.
+
+    Segments are numbered in slices of nearly one range; those of a flat signal
+    (range 0) in slices of their place.
+    """
+    flat = F.floor(F.col("window") / F.lit(SEGMENTS)) - F.lit(1 << 40)
+    slices = F.when(F.col("range") == 0, flat).otherwise(magnitude(F.col("range"), 4096))
+    n = segments.groupBy(*S).agg(F.count(F.lit(1)).alias("__n"))
+    numbered = over_slices(segments.withColumn("__slice", slices), S, ["__slice", "range", "window"], 1, rank="__r")
+    keep = F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(1 - ratio) + F.lit(1e-9)))
+    return attach(numbered, n, S).where(F.col("__r") <= keep).select(*S, "window", "__n")
 
 
 def reject_segments(samples: DataFrame, rate: float, duration: float = 5.0, overlap: float = 0.5, ratio: float = 0.5) -> DataFrame:
@@ -69,30 +106,25 @@ def reject_segments(samples: DataFrame, rate: float, duration: float = 5.0, over
     size = int(duration * rate)
     step = int((duration - 2 * overlap) * rate)
     step = step if step > 0 else size // 4
-    # One row per segment of all channels, so a session's segments fit one sort.
-    per = segment_ranges(samples, size, step)
-    w = Window.partitionBy(*S)
-    chosen = (
-        per.withColumn("__n", F.count(F.lit(1)).over(w))
-        .withColumn("__r", F.row_number().over(w.orderBy("range", "window")))
-        .where(F.col("__r") <= F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(1 - ratio) + F.lit(1e-9))))
-        .select(*S, "__n", (F.col("window") * step).alias("__a"), (F.col("window") * step + size - 1).alias("__b"))
-    )
+    start = F.col("window") * step
+    lowest = lowest_segments(cut(segment_ranges(samples, size, step)), ratio)
+    chosen = cut(lowest.select(*S, "window", "__n", start.alias("__a"), (start + size - 1).alias("__b")))
     # Samples kept: a segment adds what the one before it does not cover.
-    before = F.lag("__b").over(Window.partitionBy(*S).orderBy("__a"))
     kept = (
-        chosen.withColumn("__new", F.col("__b") - F.greatest(F.col("__a") - 1, F.coalesce(before, F.lit(-1))))
+        over_slices(chosen, S, ["window"], SEGMENTS, lags={"__before": "__b"})
+        .withColumn("__new", F.col("__b") - F.greatest(F.col("__a") - 1, F.coalesce("__before", F.lit(-1))))
         .groupBy(*S)
         .agg(F.sum("__new").alias("__kept"), F.max("__n").alias("__segments"))
     )
     length = samples.groupBy(*S).agg((F.max("sample") + 1).alias("__len"))
-    cut = (
+    shorter = (
         length.join(kept, S)
         .where((F.col("__len") >= rate) & (F.col("__segments") >= 2) & (F.col("__kept") < F.col("__len")) & (F.col("__kept") >= rate * 2))
         .select(*S)
     )
-    inside = points_in_intervals(samples, chosen.join(cut, S, "left_semi"), S, "sample", "__a", "__b", max(size, 1), "left_semi")
-    return inside.unionByName(samples.join(cut, S, "left_anti"))
+    spans = chosen.join(shorter, S, "left_semi").drop("window", "__n")
+    inside = points_in_intervals(samples, spans, S, "sample", "__a", "__b", max(size, 1), "left_semi")
+    return inside.unionByName(samples.join(shorter, S, "left_anti"))
 
 
 def clip(samples: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:

@@ -537,3 +537,33 @@ def test_normal_quantiles_of_ties(spark):
     assert [g[:2] for g in got] == list(enumerate(sorted(x), 1))
     assert abs(got[9][2] - NormalDist().inv_cdf((10 - 0.3175) / 43.365)) < 1e-8
     assert abs(got[0][2] - NormalDist().inv_cdf(1 - 0.5 ** (1 / 43))) < 1e-8
+
+
+def test_window_ranges_by_panes(spark):
+    """Sizes that steps divide or not, steps beyond the size, gaps and an unfinished end, against plain windows."""
+    rng = np.random.default_rng(8)
+    data = {(s, c): {int(i): float(x) for i, x in enumerate(rng.normal(size=47 + 3 * c)) if i % 11 != 5} for s in "ab" for c in (0, 1)}
+    df = frame(spark, [(s, c, i, x) for (s, c), xs in data.items() for i, x in xs.items()], "session_id string, channel int, sample long, x double")
+    for size, step in ((10, 5), (7, 3), (12, 12), (4, 9), (9, 4), (48, 2)):
+        want = {}
+        for key, xs in data.items():
+            for w in range((max(xs) + 1 - size) // step + 1 if max(xs) + 1 >= size else 0):
+                inside = [xs[i] for i in range(w * step, w * step + size) if i in xs]
+                want[(*key, w)] = max(inside) - min(inside)
+        got = {(r["session_id"], r["channel"], r["window"]): r["range"] for r in quality.window_ranges(df, size, step).collect()}
+        assert got == want
+
+
+def test_lowest_segments_with_ties(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SEGMENTS", 3)
+    rng = np.random.default_rng(9)
+    data = {"a": rng.integers(0, 4, 41), "b": np.ones(10), "c": np.array([2.0]), "d": np.arange(9)[::-1]}
+    df = frame(spark, [(s, w, float(x)) for s, xs in data.items() for w, x in enumerate(xs)], "session_id string, window long, range double")
+    for ratio in (0.5, 0.9, 0.0):
+        got = {}
+        for r in quality.lowest_segments(df, ratio).collect():
+            assert r["__n"] == len(data[r["session_id"]])
+            got.setdefault(r["session_id"], []).append(r["window"])
+        for s, xs in data.items():
+            order = sorted(range(len(xs)), key=lambda w: (xs[w], w))
+            assert sorted(got[s]) == sorted(order[: max(1, int(len(xs) * (1 - ratio) + 1e-9))])
