@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..operators.catalog import reset
 
 
-def save_results(df: DataFrame, path: str, spread: int = 8, rows_per_file: int = 5_000_000) -> None:
+def save_results(df: DataFrame, path: str, spread: int = 8, rows_per_file: int = 5_000_000, whole: int = 100_000) -> None:
     """Write one partition per session; sessions already there are replaced.
 
-    A session goes to up to ``spread`` tasks, so a large one is written in parallel.
+    A session of up to ``whole`` rows is one file, as files, not rows, are what
+    many sessions cost; a larger one goes to up to ``spread`` tasks.
     """
+    df = cut(df)
+    large = df.groupBy(F.col("session_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > whole)
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
-    salt = F.pmod(F.xxhash64(*plain), F.lit(spread))
+    salt = F.when(F.col("__n").isNotNull(), F.pmod(F.xxhash64(*plain), F.lit(spread))).otherwise(F.lit(0))
+    # a stated number of partitions, as adaptive execution would merge these few small rows
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.withColumn("__salt", salt)
-        .repartition("session_id", "__salt")
-        .drop("__salt")
+        df.join(large, df["session_id"].eqNullSafe(large["__id"]), "left")
+        .withColumn("__salt", salt)
+        .repartition(tasks, "session_id", "__salt")
+        .drop("__salt", "__id", "__n")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

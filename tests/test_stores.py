@@ -48,6 +48,13 @@ def test_result_store_replaces_only_written_sessions(spark, tmp_path):
     assert stores.label_map_table(spark, {"b": 1, "a": 0}).orderBy("pattern_ord").first()["pattern"] == "b"
 
 
+def test_result_store_writes_a_small_session_as_one_file(spark, tmp_path):
+    path = str(tmp_path / "res")
+    stores.save_results(spark.range(0, 3000, 1, 8).select((F.col("id") % 20).alias("session_id"), F.col("id").alias("v")), path)
+    assert len(stores.load_results(spark, path).inputFiles()) == 20
+    assert stores.load_results(spark, path).groupBy("session_id").count().where("count = 150").count() == 20
+
+
 def test_ledger_reset(spark, tmp_path):
     old, new = str(tmp_path / "old"), str(tmp_path / "new")
     rows = spark.createDataFrame([(1, "a", "success", 1, 1), (2, "b", "failed", 2, 2)], "data_id long, transform_id string, status string, ts_ms long, seq long")
