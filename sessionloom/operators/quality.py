@@ -7,10 +7,11 @@ number per session and channel.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.joins import attach, points_in_intervals
 from ..functions.lineage import cut
@@ -268,30 +269,37 @@ _PAIR = T.StructType(
 )
 
 
-def _moments(pdf: pd.DataFrame) -> pd.DataFrame:
+def _by_channel(table: pa.Table, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Channels, and their values side by side: a row per sample, the mean of rows that repeat, NaN without one."""
+    table = table.select(["sample", "channel", value]).drop_null()
+    x = np.asarray(table.column(value).combine_chunks(), dtype="float64")
+    known = ~np.isnan(x)
+    samples, row = np.unique(np.asarray(table.column("sample").combine_chunks())[known], return_inverse=True)
+    channels, col = np.unique(np.asarray(table.column("channel").combine_chunks())[known], return_inverse=True)
+    at = row * len(channels) + col
+    n = np.bincount(at, minlength=len(samples) * len(channels))
+    sums = np.bincount(at, weights=x[known], minlength=len(n))
+    with np.errstate(invalid="ignore"):
+        return channels, (sums / n).reshape(len(samples), len(channels))
+
+
+def _as_table(columns: dict, schema: T.StructType, session) -> pa.Table:
+    arrow = to_arrow_schema(schema)
+    n = len(next(iter(columns.values())))
+    return pa.table([pa.array([session] * n if f.name == "session_id" else columns[f.name], f.type) for f in arrow], schema=arrow)
+
+
+def _moments(table: pa.Table) -> pa.Table:
     """Sums for all channel pairs of one stretch of samples."""
-    wide = pdf.pivot_table(index="sample", columns="channel", values="y")
-    x = wide.to_numpy()
+    ch, x = _by_channel(table, "y")
     ok = ~np.isnan(x)
     z = np.where(ok, x, 0.0)
     m = ok.astype(float)
     n, sab = m.T @ m, z.T @ z
     sa, saa = z.T @ m, (z * z).T @ m
     i, j = np.triu_indices(x.shape[1], 1)
-    ch = wide.columns.to_numpy()
-    return pd.DataFrame(
-        {
-            "session_id": pdf["session_id"].iloc[0],
-            "a": ch[i],
-            "b": ch[j],
-            "n": n[i, j].astype("int64"),
-            "sa": sa[i, j],
-            "sb": sa[j, i],
-            "saa": saa[i, j],
-            "sbb": saa[j, i],
-            "sab": sab[i, j],
-        }
-    )
+    sums = {"a": ch[i], "b": ch[j], "n": n[i, j].astype("int64"), "sa": sa[i, j], "sb": sa[j, i], "saa": saa[i, j], "sbb": saa[j, i], "sab": sab[i, j]}
+    return _as_table(sums, _PAIR, table.column("session_id")[0].as_py())
 
 
 def correlations(samples: DataFrame, block: int = 50_000) -> DataFrame:
@@ -306,7 +314,7 @@ def correlations(samples: DataFrame, block: int = 50_000) -> DataFrame:
         attach(samples.select(*K, "sample", "x"), centre, K)
         .select(*K, "sample", (F.col("x") - F.col("__m")).alias("y"), F.floor(F.col("sample") / block).alias("block"))
         .groupBy(*S, "block")
-        .applyInPandas(_moments, _PAIR)
+        .applyInArrow(_moments, _PAIR)
     )
     t = parts.groupBy(*S, "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     n = F.col("n")
@@ -325,22 +333,23 @@ def without_duplicates(channels: DataFrame, corr: DataFrame, above: float = 0.98
     return channels.join(later, K, "left_anti")
 
 
-_JOINT = "session_id long, a long, b long, i int, j int, n long"
+_JOINT = T.StructType(
+    [T.StructField(c, T.IntegerType() if c in ("i", "j") else T.LongType()) for c in ("session_id", "a", "b", "i", "j", "n")]
+)
 
 
-def _joint_counts(pdf: pd.DataFrame) -> pd.DataFrame:
+def _joint_counts(table: pa.Table) -> pa.Table:
     """Joint histogram of all channel pairs of one stretch of samples."""
-    wide = pdf.pivot_table(index="sample", columns="channel", values="bin")
-    ch, x = wide.columns.to_numpy(), wide.to_numpy()
-    out = []
+    ch, x = _by_channel(table, "bin")
+    out: dict[str, list] = {c: [] for c in ("a", "b", "i", "j", "n")}
     for p in range(len(ch)):
         for q in range(p + 1, len(ch)):
             ok = ~(np.isnan(x[:, p]) | np.isnan(x[:, q]))
             code, n = np.unique(x[ok, p].astype("int64") * 100_000 + x[ok, q].astype("int64"), return_counts=True)
-            out.append(pd.DataFrame({"a": ch[p], "b": ch[q], "i": code // 100_000, "j": code % 100_000, "n": n}))
-    res = pd.concat(out) if out else pd.DataFrame({c: [] for c in ("a", "b", "i", "j", "n")})
-    res.insert(0, "session_id", pdf["session_id"].iloc[0])
-    return res
+            for c, v in zip(out, (np.full(len(n), ch[p]), np.full(len(n), ch[q]), code // 100_000, code % 100_000, n), strict=True):
+                out[c].append(v)
+    columns = {c: np.concatenate(v) if v else [] for c, v in out.items()}
+    return _as_table(columns, _JOINT, table.column("session_id")[0].as_py())
 
 
 def mutual_information(samples: DataFrame, bins: int = 8, block: int = 50_000) -> DataFrame:
@@ -352,7 +361,7 @@ def mutual_information(samples: DataFrame, bins: int = 8, block: int = 50_000) -
         attach(samples.select(*K, "sample", "x"), ends, K)
         .select(*K, "sample", bin_of.alias("bin"), F.floor(F.col("sample") / block).alias("block"))
         .groupBy(*S, "block")
-        .applyInPandas(_joint_counts, _JOINT)
+        .applyInArrow(_joint_counts, _JOINT)
     )
     joint = parts.groupBy(*S, "a", "b", "i", "j").agg(F.sum("n").alias("n"))
     pair = Window.partitionBy(*S, "a", "b")  # at most bins x bins rows

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from sessionloom.functions.strips import pack, strips, unpack
-from sessionloom.operators import lang
+from sessionloom.operators import lang, quality
 
 CH = "session_id long, idx long, ch string, ts_ms long"
 
@@ -71,3 +71,15 @@ def test_view_of_tokens_in_order(spark):
     df = spark.createDataFrame(rows, "session_id long, token_idx long, token string, corrected string, unchanged boolean").repartition(3)
     got = {(r["session_id"], r["piece"]): (r["original"], r["corrected"], r["score"]) for r in lang.correction_view(df, 3).collect()}
     assert got == {(1, 0): ("a c", "a b C", 0.5), (2, 1): ("z", "z", 1.0)}
+
+
+def test_channels_side_by_side_from_arrow():
+    table = pa.table({"session_id": [7] * 6, "channel": [2, 1, 1, 2, 3, 1], "sample": [0, 0, 0, 1, 1, 2], "y": [4.0, 1.0, 3.0, None, float("nan"), 5.0]})
+    channels, x = quality._by_channel(table, "y")
+    assert channels.tolist() == [1, 2] and str(x.tolist()) == "[[2.0, 4.0], [5.0, nan]]"
+    assert quality._moments(table).to_pylist() == [
+        {"session_id": 7, "a": 1, "b": 2, "n": 1, "sa": 2.0, "sb": 4.0, "saa": 4.0, "sbb": 16.0, "sab": 8.0}
+    ]
+    assert quality._moments(table.filter(pa.array([True] + [False] * 5))).num_rows == 0
+    none = table.filter(pa.array([False] * 3 + [True] + [False] * 2))
+    assert quality._moments(none).num_rows == 0
