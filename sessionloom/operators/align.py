@@ -252,8 +252,12 @@ def expand(df: DataFrame, n: Column, name: str) -> DataFrame:
 
 def clock(frames: DataFrame, t: Timing) -> DataFrame:
     """One row per session and slot of the master clock."""
+    return _ticks(clock_range(frames, t), t)
+
+
+def _ticks(span: DataFrame, t: Timing) -> DataFrame:
     return (
-        expand(clock_range(frames, t), F.col("n_slots"), "slot")
+        expand(span, F.col("n_slots"), "slot")
         .select(*S, "slot", (F.col("t0") + F.col("slot") * F.lit(float(t.period))).alias("time_ms"))
     )
 
@@ -266,8 +270,9 @@ def slot_of(key: Column, t0: Column, n: Column, period: float) -> Column:
 
 def to_slots(windows: DataFrame, frames: DataFrame, t: Timing, key: str = "ideal_ms") -> DataFrame:
     """All slots of the clock, with the window that falls on each."""
+    span = cut(clock_range(frames, t))
     placed = (
-        attach(windows, clock_range(frames, t), S)
+        attach(windows, span, S)
         .withColumn("slot", slot_of(F.col(key), F.col("t0"), F.col("n_slots"), t.period))
         .where(F.abs(F.col("t0") + F.col("slot") * F.lit(float(t.period)) - F.col(key)) <= F.lit(t.tolerance))
     )
@@ -275,7 +280,7 @@ def to_slots(windows: DataFrame, frames: DataFrame, t: Timing, key: str = "ideal
     order = lambda c: F.when(F.col("is_actual"), F.col("window_idx")) if c in OPTICAL else F.col("window_idx")
     carried = [c for c in windows.columns if c not in (*S, key)]
     one = placed.groupBy(*S, "slot").agg(*[F.max_by(c, order(c)).alias(c) for c in carried])
-    return clock(frames, t).join(one, [*S, "slot"], "left")
+    return _ticks(span, t).join(cut(one), [*S, "slot"], "left")
 
 
 def masked(slots: DataFrame) -> DataFrame:
@@ -304,15 +309,20 @@ def masked(slots: DataFrame) -> DataFrame:
 
 def processed_fnirs(frames: DataFrame, t: Timing) -> DataFrame:
     """Optical frames inside the overlap, gap-filled and truncated."""
-    inside = attach(of(frames, "fnirs"), overlap(frames), S).where("ts_ms BETWEEN from_ms AND to_ms").drop("from_ms", "to_ms")
+    inside = attach(of(frames, "fnirs"), cut(overlap(frames)), S).where("ts_ms BETWEEN from_ms AND to_ms").drop("from_ms", "to_ms")
     return truncate(cut(gap_fill(inside, t, zero_unknown=True)), t)
 
 
 def two_stream_windows(frames: DataFrame, t: Timing) -> DataFrame:
-    """Master-clock slots of sessions that have both streams."""
+    """Master-clock slots of sessions that have both streams.
+
+    Tables of one row per session are written: all steps are dealt by session, so
+    they would otherwise run, with their sorts and tables in memory, in one stage.
+    """
     frames = cut(frames)
     processed = cut(processed_fnirs(frames, t))
-    starts = align_start(frames, overlap_frames(frames), drift(processed, t), t)
+    bounds, offsets = cut(overlap_frames(frames)), cut(drift(processed, t))
+    starts = cut(align_start(frames, bounds, offsets, t))
     both = frames.join(starts.select(*S), S, "left_semi")
     return masked(to_slots(chunk_pairs(frames, processed, starts, t), both, t))
 
@@ -360,7 +370,7 @@ def route(sessions: DataFrame, frames: DataFrame) -> DataFrame:
 def all_windows(sessions: DataFrame, frames: DataFrame, t: Timing) -> DataFrame:
     """Windows of every session along its own path."""
     frames = cut(frames)
-    routed = route(sessions, frames)
+    routed = cut(route(sessions, frames))
     pick = lambda r: frames.join(routed.where(F.col("route") == r).select(*S), S, "left_semi")
     return (
         two_stream_windows(pick("both"), t)

@@ -166,7 +166,7 @@ def _(spark, d):
     f"{SLOTS}, spans AS ({SPANS}) SELECT session_id, slot, slot-both_start AS dataset_idx, eeg_valid, fnirs_valid FROM sl JOIN spans USING (session_id) WHERE slot>=both_start AND slot<both_end",
 )
 def _(spark, d):
-    out = op.joint_windows(op.two_stream_windows(px.frames(spark, d), T))
+    out = op.joint_windows(op.cut(op.two_stream_windows(px.frames(spark, d), T)))
     return out.select("session_id", "slot", "dataset_idx", "eeg_valid", "fnirs_valid")
 
 
