@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.ordered import dealt
 from ..operators import optical as op
 from . import inputs as px
 from .registry import query, rounded
@@ -122,8 +123,10 @@ def _(spark, d):
  SELECT file_id, frame, channel, count(*) AS n FROM px_cells JOIN top USING (file_id) WHERE beyond OR channel IN (SELECT channel FROM kept) GROUP BY 1,2,3""",
 )
 def _(spark, d):
-    out = op.prune(px.cells(spark, d), op.feasible(distances(spark, d), None, 25.0))
-    return out.groupBy("file_id", "frame", "channel").agg(F.count(F.lit(1)).alias("n"))
+    cells = px.cells(spark, d)
+    out = op.prune(cells, op.feasible(distances(spark, d), None, 25.0))
+    keys = ["file_id", "frame", "channel"]
+    return dealt(out.select(*keys), keys, cells.count()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -132,7 +135,9 @@ def _(spark, d):
 )
 def _(spark, d):
     none = op.feasible(distances(spark, d), None, -1.0)
-    return op.prune(px.cells(spark, d), none).groupBy("file_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("channel").alias("n_channels"))
+    cells = px.cells(spark, d)
+    out = dealt(op.prune(cells, none).select("file_id", "channel"), ["file_id", "channel"], cells.count())
+    return out.groupBy("file_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("channel").alias("n_channels"))
 
 
 @query(

@@ -2,9 +2,12 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.functions.ordered import dealt
 from sessionloom.operators import align
+from sessionloom.plans.catalogue import QUERIES
 
 DAY = 86_400_000
 
@@ -22,3 +25,18 @@ def test_windows_of_two_streams_are_few_steps_at_a_time(spark):
     # 12 EEG frames make six windows, on the first six of 12 slots
     found = slots.groupBy("session_id").agg(F.count(F.lit(1)), F.count_if("eeg_valid"), F.count_if("fnirs_valid")).collect()
     assert sorted(tuple(r) for r in found) == [(1, 12, 6, 6), (2, 12, 6, 6)]
+
+
+def test_groups_are_dealt_by_rows_not_by_the_setting(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
+    few, many = dealt(df, ["a", "b"], 1000, 100), dealt(df, ["a", "b"], 1000, 1000)
+    assert (few.rdd.getNumPartitions(), many.rdd.getNumPartitions()) == (10, 4)
+    keyed = few.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    assert len(re.findall(r"Exchange hash", plan_of(keyed))) == 1
+    assert sorted(map(tuple, keyed.collect()), key=str) == sorted(map(tuple, df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()), key=str)
+
+
+@pytest.mark.parametrize("name", ["g8_prune_frames", "g8_prune_without_match"])
+def test_pruned_cells_are_not_gathered_by_the_reading_task(spark, name):
+    first = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")).split("REPARTITION_BY_NUM")[1]
+    assert "count(1)" not in first.split("max(")[0]
