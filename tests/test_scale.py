@@ -2,11 +2,14 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.functions.ordered import dealt
-from sessionloom.operators import align
+from sessionloom.functions.strips import pack, unpack
+from sessionloom.operators import align, lang
 from sessionloom.plans.catalogue import QUERIES
 
 DAY = 86_400_000
@@ -40,3 +43,29 @@ def test_groups_are_dealt_by_rows_not_by_the_setting(spark):
 def test_pruned_cells_are_not_gathered_by_the_reading_task(spark, name):
     first = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")).split("REPARTITION_BY_NUM")[1]
     assert "count(1)" not in first.split("max(")[0]
+
+
+@pytest.mark.parametrize("clock", [[0, 50, 100, 150, 200, 250, 300], [5, 5, 9, 100, 101, 7, -3], [2**62, 1, 2, 3, 4, 5, 2**62]])
+@pytest.mark.parametrize("found", [[], [("ab", 0, 2), ("é", 2, 3), ("cd", 5, 7)], [("x", 1, 4), ("yyyyy", 0, 2), ("", 6, 7)]])
+def test_packed_tokens_come_back(clock, found):
+    times = np.array(clock, dtype="int64")
+    token, lo, hi, t0, t1 = [c.to_pylist() for c in lang._unflat(unpack(pack(lang._flat(found, times))))]
+    assert list(zip(token, lo, hi, strict=True)) == found
+    assert t0 == [clock[a] for a in lo] and t1 == [clock[b - 1] for b in hi]
+
+
+def test_packed_tokens_of_even_text_are_little_more_than_the_text():
+    text = " ".join(f"word{k * 7919 % 1000}" for k in range(600))
+    found, times = lang.regex_spans(text), np.arange(len(text), dtype="int64") * 50 + 10**12
+    alone = len(pack([pa.array([t[0] for t in found])]))
+    assert len(pack(lang._flat(found, times))) < 1.3 * alone
+
+
+def test_characters_meet_all_tokens_by_one_shuffle(spark):
+    chars = spark.createDataFrame([(1, k, "abcdefghij"[k % 10], k * 10) for k in range(40)], "session_id long, idx long, ch string, ts_ms long")
+    tokens = spark.createDataFrame([(1, 0, "ab", 0, 2), (1, 1, "c-n", 2, 25), (1, 2, "x", 39, 40), (1, 3, "gone", 40, 44), (1, 4, "", 3, 3)], "session_id long, token_idx long, token string, start long, end long")
+    out = lang.align_chars(tokens, chars, cell=8)
+    got = sorted((r.token_idx, r.start_ms, r.end_ms) for r in out.collect())
+    assert got == [(0, 0, 10), (1, 20, 240), (2, 390, 390), (3, 0, 0), (4, 0, 0)]
+    final = plan_of(out).split("Initial Plan")[0]  # of two uses of the characters the second reads the first one's shuffle
+    assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") == 1
