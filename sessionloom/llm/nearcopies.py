@@ -121,7 +121,9 @@ def _led(point: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
     return point, doc, np.repeat(first, np.diff(np.concatenate((first, [len(point)])))), by
 
 
-_MET = "a long, kind long, b long"  # kind 0: document, its leader; 1: document, a point it shares; 2: point, a document
+# kind 0: document, its leader on some point; 1: the same, but too different to be linked; 2: point, a document;
+# 3: leader of some documents of a point, the leader of all of them
+_MET = "a long, kind long, b long"
 
 
 def _rows_of(parts: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -130,20 +132,20 @@ def _rows_of(parts: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, kinds, b)], schema=schema)
 
 
-def _star(point: np.ndarray, doc: np.ndarray, leader: np.ndarray, may: np.ndarray | bool = True) -> list[tuple]:
-    """Every other document of a point that ``may`` be linked meets its leader, once; all are known to share the point."""
-    alone = np.ones(len(point), bool)
-    same = point[1:] == point[:-1]
-    alone[1:] &= ~same
-    alone[:-1] &= ~same
-    tried = (doc != doc[leader]) & may
-    pairs = np.stack((doc[tried], doc[leader[tried]]), axis=1)
-    pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
-    return [(0, pairs[:, 0], pairs[:, 1]), (1, doc[~alone], point[~alone])]
+def _star(doc: np.ndarray, leader: np.ndarray, kind: np.ndarray | int) -> list[tuple]:
+    """Every other document of a point meets its leader: once, on however many points it leads."""
+    kind = np.broadcast_to(kind, len(doc))
+    found = []
+    for k in np.unique(kind):
+        met = (doc != doc[leader]) & (kind == k)
+        pairs = np.stack((doc[met], doc[leader[met]]), axis=1)
+        pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
+        found.append((k, pairs[:, 0], pairs[:, 1]))
+    return found
 
 
 def _meetings(nodes: DataFrame, similarity: float, rows: int = 200_000) -> DataFrame:
-    """Rows of kind 0 and 1 for all points that several documents share.
+    """Rows of kind 0, 1 and 3 for all points that several documents share.
 
     Points of AT_ONCE documents are compared where they arise; of each only the
     leader goes on.  So a point that very many documents share is one row for
@@ -167,13 +169,13 @@ def _meetings(nodes: DataFrame, similarity: float, rows: int = 200_000) -> DataF
                 sketch = np.repeat(sketches, each)[by]
                 alike = np.bitwise_count((sketch ^ sketch[leader]).view(np.uint64)) <= SKETCH - equal_bits(similarity)
                 once = np.concatenate(([True], point[1:] != point[:-1]))
-                yield _rows_of([*_star(point, doc, leader, alike), (2, point[once], doc[once])], arrow)
+                yield _rows_of([*_star(doc, leader, np.where(alike, 0, 1)), (2, point[once], doc[once])], arrow)
 
     def far(batches):
         for a, kind, b in whole_runs(batches, rows):
             a, b = a.view(np.int64), b.view(np.int64)
             known = kind < 2
-            found = _star(*_led(a[~known], b[~known])[:3]) if not known.all() else []
+            found = _star(*_led(a[~known], b[~known])[1:3], 3) if not known.all() else []
             if known.any() or found:
                 yield _rows_of([*[(k, a[kind == k], b[kind == k]) for k in (0, 1)], *found], arrow)
 
@@ -231,11 +233,12 @@ def _pairs_of_open(open_docs: DataFrame, texts: DataFrame, words: int, similarit
     sets = map_columns(among(texts, open_docs.select("doc_id")), run, "doc_id long, grams array<int>").join(open_docs, "doc_id")
     sets = cut(sets.withColumn("key", F.xxhash64("doc_id", "grams")))
     each = sets.select("doc_id", "root", "sketch", "key", F.explode("grams").alias("gram"))
-    often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    of_doc = each.join(often, "gram").groupBy("doc_id", "root", "sketch", "key").agg(F.sort_array(F.collect_set(F.struct("n", "gram"))).alias("order"))
+    # a shingle that one group alone holds is in the order, but makes no pair
+    often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("shared"))
+    of_doc = each.join(often, "gram").groupBy("doc_id", "root", "sketch", "key").agg(F.sort_array(F.collect_set(F.struct("n", "gram", "shared"))).alias("order"))
     first = F.size("order") - F.ceil(F.size("order") * F.lit(similarity) - 1e-9).cast("int") + 1
     heads = of_doc.select("doc_id", "root", "sketch", F.size("order").alias("size"), F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x"))
-    heads = cut(heads.where("x.n > 1").select("doc_id", "root", "sketch", "size", (F.col("size") - F.col("at")).alias("left"), F.col("x.gram").alias("gram")))
+    heads = cut(heads.where("x.shared").select("doc_id", "root", "sketch", "size", (F.col("size") - F.col("at")).alias("left"), F.col("x.gram").alias("gram")))
     a, b = heads.alias("a"), heads.alias("b")
     enough = (F.col("a.size") + F.col("b.size")) * F.lit(similarity / (1 + similarity)) - 1e-9
     may = (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.root") != F.col("b.root")) & (F.least("a.left", "b.left") >= enough)
@@ -248,22 +251,33 @@ def _sent(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.count() <= MOST_IDS else small
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows (point, doc_id, root) of points whose documents are in several groups; of equal crowds one is enough."""
-    known = _sent(roots.withColumnRenamed("node", "doc_id"))
-    now = members.join(known, "doc_id", "left").select("point", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    split = cut(now.groupBy("point").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("point"))
-    now = cut(now.join(_sent(split), "point", "left_semi").distinct())
-    marks = now.groupBy("point").agg(F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.count(F.lit(1)).alias("n"))
-    once = cut(marks.groupBy("mark", "n").agg(F.min("point").alias("point")).select("point"))
-    return cut(now.join(_sent(once), "point", "left_semi"))
+def _open(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (doc_id, lead, far, root, lead_root) that belong to points whose documents are in several groups.
+
+    The documents of a point hang on leaders, and those (``far``) on one of
+    them.  So there are several groups on it only if a document and its leader
+    are in two; such a leader is open, then the leader it hangs on, then the
+    leaders that hang on that.  A leader stands for all its points: no row a
+    point is needed.
+    """
+    known = _sent(roots)
+    of_doc, of_lead = (known.select(F.col("node").alias(k), F.col("root").alias(r)) for k, r in (("doc_id", "root"), ("lead", "lead_root")))
+    now = met.select("doc_id", "lead", "far").join(of_doc, "doc_id", "left").join(of_lead, "lead", "left")
+    now = cut(now.select("doc_id", "lead", "far", F.coalesce("root", "doc_id").alias("root"), F.coalesce("lead_root", "lead").alias("lead_root")))
+    far = now.where("far").select("doc_id", "lead")
+    leads = cut(now.where("root <> lead_root").select("lead").distinct())
+    up = far.join(_sent(leads).withColumnRenamed("lead", "doc_id"), "doc_id", "left_semi").select("lead")
+    leads = cut(leads.unionByName(up).distinct())
+    rows = cut(now.join(_sent(leads), "lead", "left_semi"))
+    down = cut(rows.where("far").select(F.col("doc_id").alias("lead")).distinct().join(leads, "lead", "left_anti"))
+    return cut(rows.unionByName(now.where("NOT far").join(_sent(down), "lead", "left_semi")))
 
 
 def _more_leaders(members: DataFrame, k: int) -> DataFrame:
-    """Pairs of each document of an open point with another leader of the point, if it is in another group."""
-    lead = cut(members.groupBy("point").agg(F.min_by(F.struct("doc_id", "root"), F.xxhash64("doc_id", F.lit(k))).alias("l")))
-    m, one = members.alias("m"), _sent(lead).select("point", "l.*").alias("l")
-    led = m.join(one, (F.col("m.point") == F.col("l.point")) & (F.col("m.root") != F.col("l.root")))
+    """Pairs of each document of an open leader with another document of it, if that is in another group."""
+    lead = cut(members.groupBy("lead").agg(F.min_by(F.struct("doc_id", "root"), F.xxhash64("doc_id", F.lit(k))).alias("l")))
+    m, one = members.alias("m"), _sent(lead).select("lead", "l.*").alias("l")
+    led = m.join(one, (F.col("m.lead") == F.col("l.lead")) & (F.col("m.root") != F.col("l.root")))
     return led.select(F.least("m.doc_id", "l.doc_id").alias("u"), F.greatest("m.doc_id", "l.doc_id").alias("v"))
 
 
@@ -277,10 +291,11 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     Links are pairs that meet on a point and share ``similarity`` of their
     shingles.  Documents with the same shingles are one node.  On every point
     all are first tried against one leader, the same for most points of a group;
-    points whose documents are then in one group are done.  Where groups stay
+    leaders whose documents are then in one group are done.  Where groups stay
     apart ROUNDS more leaders are tried; then all pairs between groups that can
     have the similarity are found by their rarest shingles.  So no link is lost
     and neither a crowd of copies nor a crowd of groups costs all its pairs.
+    What a document and its leader share is one row, not one for each point.
 
     Rows with a null id are never linked; rows that repeat an id are one
     document; null and empty texts have no shingles and link to each other.
@@ -292,21 +307,21 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     same = prints.select("digest", F.col("doc_id").alias("u")).join(nodes.select("digest", F.col("doc_id").alias("v")), "digest").select("u", "v")
     same = cut(same.where("u <> v").distinct())
     met = _meetings(nodes, similarity)
-    led = met.where("kind = 0").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    led = met.where("kind <> 1").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
 
     def joined(known: DataFrame, pairs: DataFrame) -> DataFrame:
         return cut(components(known.unionByName(_verified(pairs, texts, words, similarity))))
 
     roots = joined(same, led)
-    members = _open(met.where("kind = 1").select(F.col("b").alias("point"), F.col("a").alias("doc_id")), roots)
+    members = _open(met.select(F.col("a").alias("doc_id"), F.col("b").alias("lead"), (F.col("kind") == 3).alias("far")).distinct(), roots)
     for k in range(ROUNDS):
         if members.isEmpty():
             return roots
         roots = joined(_links(roots), _more_leaders(members, k))
-        members = _open(members.select("point", "doc_id"), roots)
-    open_docs = cut(members.select("doc_id", "root").distinct().join(nodes.select("doc_id", "sketch"), "doc_id"))
-    if open_docs.isEmpty():
-        return roots
+        members = _open(members, roots) if k + 1 < ROUNDS else members
+    either = cut(members.select("doc_id").unionByName(members.select(F.col("lead").alias("doc_id"))).distinct())
+    named = either.join(_sent(roots.withColumnRenamed("node", "doc_id")), "doc_id", "left").join(nodes.select("doc_id", "sketch"), "doc_id")
+    open_docs = cut(named.select("doc_id", F.coalesce("root", "doc_id").alias("root"), "sketch"))
     return joined(_links(roots), _pairs_of_open(open_docs, texts, words, similarity))
 
 

@@ -92,6 +92,31 @@ def test_crowd_of_several_groups_does_not_cost_all_pairs(spark, monkeypatch):
     assert sum(tried) < 10_800 * 0.7  # of all pairs of different groups
 
 
+def test_crowd_around_a_passage_is_some_rows_a_document(spark, monkeypatch):
+    """Documents that share a passage meet on very many points; what goes on is their leaders, not the points."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        w = [f"w{k}" for k in range(300)] + [f"t{i}_{k}" for k in range(50)]
+        rows.append((i, " ".join(w)))
+        if i % 10 == 0:
+            w[rng.randrange(300, 350)] = "x"
+            rows.append((1000 + i, " ".join(w)))
+    left = []
+    opened = nearcopies._open
+
+    def counted(*args):
+        out = opened(*args)
+        left.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearcopies, "_open", counted)
+    got = dict(nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect())
+    assert got == plain_groups(rows)
+    assert len(got) == 60
+    assert 0 < sum(left) < 25 * len(rows)
+
+
 @pytest.mark.parametrize("kind", ["substituted", "appended", "truncated", "merged"])
 def test_finds_copies_of_every_form_near_the_limit(spark, kind):
     """Pairs at 0.80-0.85, by the brute-force similarity."""
