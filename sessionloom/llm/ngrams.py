@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import mmap
 import tempfile
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,35 @@ def deltas(a: np.ndarray) -> bytes:
     return packed(np.diff(a, prepend=0))
 
 
+# --- order ------------------------------------------------------------------
+
+
+def order_of(x: np.ndarray) -> np.ndarray:
+    """Stable order of non-negative integers: number and place share 63 bits where they fit, which sorts without an index."""
+    bits = len(x).bit_length()
+    key = x.astype(np.int64)
+    if len(x) and int(key.max()) >> (63 - bits):  # a name is a shard and a place in it: leave no room between them
+        low = key & 0xFFFFFFFF
+        each = int(low.max()) + 1
+        if (int(key.max() >> 32) + 1) * each >> (63 - bits):
+            return np.argsort(x, kind="stable")
+        key = (key >> 32) * each + low
+    key = key << bits | np.arange(len(x))
+    key.sort()
+    return key & ((1 << bits) - 1)
+
+
+def different(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique`` of non-negative integers: values, first place of each, and the number of each row's value."""
+    order = order_of(x)
+    values = x[order]
+    heads = np.ones(len(x), bool)
+    heads[1:] = values[1:] != values[:-1]
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(heads) - 1
+    return values[heads], order[heads], back
+
+
 # --- Elias-Fano -------------------------------------------------------------
 
 
@@ -92,6 +122,8 @@ class EliasFano:
 
     def _select(self, counts: np.ndarray, k: np.ndarray, bit: int) -> np.ndarray:
         """Place of the k-th (from 0) bit of a kind: its word by search, then halves of the word by their counts."""
+        if 4 * len(k) > len(self.words):  # so many that all are decoded at once
+            return np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little") == bit)[k]
         w = np.searchsorted(counts, k, side="right")
         left = k - np.where(w > 0, counts[np.maximum(w - 1, 0)], 0)
         word = self.words[w]
@@ -158,9 +190,11 @@ class Level:
 
     def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray) -> None:
         """Sorted by (context, word), all different; ``total`` is the context's count."""
-        words, rank = np.unique(word, return_inverse=True)
-        contexts, first = np.unique(context, return_index=True)
-        k = np.searchsorted(contexts, context)
+        words, _, rank = different(word)
+        heads = np.ones(len(context), bool)
+        heads[1:] = context[1:] != context[:-1]
+        first, k = np.flatnonzero(heads), np.cumsum(heads) - 1
+        contexts = context[first]
         self.base = max(1, len(words))
         # A node is its place; the running sum of counts gives each count as a difference.
         lists = [contexts - START, np.append(first, len(context)), words, k * self.base + rank, np.cumsum(np.append(0, count))]
@@ -174,9 +208,9 @@ class Level:
     @staticmethod
     def _among(known: EliasFano, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, is it there) of each value."""
-        different, back = np.unique(values, return_inverse=True)
-        place = np.minimum(known.successor(different), known.n - 1)
-        return place[back], (known.get(place) == different)[back]
+        once, _, back = different(values)
+        place = np.minimum(known.successor(once), known.n - 1)
+        return place[back], (known.get(place) == once)[back]
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place or -1, count, code) of n-grams."""
@@ -239,7 +273,7 @@ def _tokenize(docs: DataFrame, shards: int) -> DataFrame:
         counts = np.bincount(tokens[train], minlength=len(vocabulary))
         words = list(vocabulary)
         home = np.array([xxhash.xxh3_64_intdigest(w) % shards for w in words])
-        order = np.argsort(home, kind="stable")
+        order = order_of(home)
         # local ids follow the shards, so that answers put one behind the other are in their order
         new = np.empty(len(words), np.int64)
         new[order] = np.arange(len(words))
@@ -258,7 +292,9 @@ def _tokenize(docs: DataFrame, shards: int) -> DataFrame:
         part, done = TaskContext.get().partitionId(), 0
 
         def fresh():
-            return [], [], [], [], {}
+            vocabulary = defaultdict()
+            vocabulary.default_factory = vocabulary.__len__  # a new word gets the next number
+            return [], [], [], [], vocabulary
 
         ids, held, sizes, tokens, vocabulary = fresh()
         room = 0
@@ -268,9 +304,8 @@ def _tokenize(docs: DataFrame, shards: int) -> DataFrame:
                 ids.append(doc_id)
                 held.append(out)
                 sizes.append(len(found) + 1)
-                put = vocabulary.setdefault
-                tokens += [put(w, len(vocabulary)) for w in found]
-                tokens.append(put(END, len(vocabulary)))
+                tokens.extend(map(vocabulary.__getitem__, found))
+                tokens.append(vocabulary[END])
                 room += len(text) + 64
                 if room >= BLOCK_BYTES:
                     for r in close((part << 32) + done, ids, held, sizes, tokens, vocabulary):
@@ -305,7 +340,7 @@ class Walk:
         count = np.concatenate([unpacked(r["b"]) for r in words])
         self.word, self.count = gid[self.local], count[self.local]
         self.rank = np.empty(len(gid), np.int64)
-        self.rank[np.argsort(gid)] = np.arange(len(gid))
+        self.rank[order_of(gid)] = np.arange(len(gid))
         self.p = (self.count + 1.0) / (train_tokens + train_words + 1.0)
         self.base = self.p.copy()
         # before the first word stands the start, as often as the end of a document
@@ -317,31 +352,33 @@ class Walk:
         for level in range(2, known + 1):
             self.take(answers.get(level, []))
 
-    def asked(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    def asked(self, counted: bool = True) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
         """(tokens asked, [context, word, total, training count] per question, question of each, shard of each question).
 
-        Questions are sorted by shard, context and word.  Words and contexts
-        without training counts need none.
+        Questions are sorted by shard, context and word; their columns are only
+        given if ``counted``.  Words and contexts without training counts need none.
         """
         least = 1 if self.level == 2 else LEAST_CONTEXT
         ok = np.flatnonzero((self.total >= least) & (self.count > 0) & (self.place >= self.level - 2))
         c, w = self.node[ok], self.word[ok]
         # one number per n-gram: rank of the context, then rank of the word (ranks follow the global numbers)
-        contexts, k = np.unique(c, return_inverse=True)
-        key = k * len(self.rank) + self.rank[self.local[ok]]
-        different, first, back = np.unique(key, return_index=True, return_inverse=True)
-        n_train = np.bincount(back[self.train[ok]], minlength=len(different))
-        c, w = contexts[different // max(1, len(self.rank))], w[first]
+        # the contexts of the second order are words, whose ranks are known
+        k = np.where(c == START, 0, self.rank[self.local[np.maximum(ok - 1, 0)]] + 1) if self.level == 2 else different(c - START)[2]
+        _, first, back = different(k * len(self.rank) + self.rank[self.local[ok]])
+        c, w = c[first], w[first]
         shard = (mix(c, w) % np.uint64(self.shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
+        order = order_of(shard)
         moved = np.empty(len(order), np.int64)
         moved[order] = np.arange(len(order))
-        questions = [c[order], w[order], self.total[ok][first][order], n_train[order]]
+        questions = []
+        if counted:
+            n_train = np.bincount(back[self.train[ok]], minlength=len(first))
+            questions = [c[order], w[order], self.total[ok][first][order], n_train[order]]
         return ok, questions, moved[back], shard[order]
 
     def take(self, answers: list[dict]) -> None:
         """Use the answers of the next level."""
-        ok, questions, back, _ = self.asked()
+        ok, _, back, _ = self.asked(counted=False)
         node, total = np.full(len(self.p), -1, np.int64), np.zeros(len(self.p), np.int64)
         if answers:
             rows = sorted(answers, key=lambda r: r["shard"])
@@ -350,7 +387,7 @@ class Walk:
                 node[ok] = np.concatenate([unpacked(r["a"]) - 1 | r["shard"] << 32 for r in rows])[back]
                 total[ok] = np.concatenate([unpacked(r["b"]) for r in rows])[back]
             f = np.where(codes > 0, frequency(codes - 1), 0.0)
-            context = questions[2][back]
+            context = self.total[ok]
             self.p[ok] = (context * f + PRIOR * self.p[ok]) / (context + PRIOR)
         # words that were not asked have no count here; a known context still takes its share
         rest = np.ones(len(self.p), bool)
@@ -379,11 +416,11 @@ def _count_words(words: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
         unpack = zstandard.ZstdDecompressor()
-        known: dict[bytes, int] = {}
+        known: dict[bytes, int] = defaultdict()
+        known.default_factory = known.__len__
         ids, counts = [], []
         for r in rows:
-            put = known.setdefault
-            ids.append(np.array([put(w, len(known)) for w in unpack.decompress(r["a"]).split(b"\t")], np.int64))
+            ids.append(np.array(list(map(known.__getitem__, unpack.decompress(r["a"]).split(b"\t"))), np.int64))
             counts.append(unpacked(r["b"]))
         total = np.bincount(np.concatenate(ids), weights=np.concatenate(counts)).astype(np.int64)
         order = np.argsort(-total, kind="stable")  # frequent words get short numbers
@@ -435,7 +472,8 @@ def _answers(questions: DataFrame, last: bool) -> DataFrame:
             total.append(t[np.flatnonzero(heads)][np.cumsum(heads) - 1])
             n.append(unpacked(r["d"]))
         c, w, t, k = (np.concatenate(x) for x in (context, word, total, n))
-        order = np.lexsort((w, c))
+        words, _, rank = different(w)
+        order = order_of(different(c - START)[2] * max(1, len(words)) + rank)
         c, w, t, k = c[order], w[order], t[order], k[order]
         fresh = np.ones(len(c), bool)
         fresh[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])

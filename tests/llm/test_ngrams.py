@@ -110,3 +110,23 @@ def test_level_finds_exactly_what_it_holds():
 def test_bytes_round_trip():
     for a in ([], [0], [255, 256, 1 << 50], list(range(1000))):
         assert ngrams.unpacked(ngrams.packed(np.array(a, np.int64))).tolist() == a
+
+
+@pytest.mark.parametrize("top", [1, 50, 1 << 30, 1 << 62])
+def test_order_and_different_equal_numpy(top):
+    rng = np.random.default_rng(top)
+    for n in (0, 1, 1000):
+        plain = rng.integers(0, top, n)
+        names = plain % (1 << 21) | rng.integers(0, 1 << 13, n) << 32  # a shard and a place in it
+        for x in (plain, names, np.sort(plain)[::-1], plain.astype(np.int32) % 7 if top < 1 << 31 else plain):
+            assert ngrams.order_of(x).tolist() == np.argsort(x, kind="stable").tolist()
+            want = np.unique(x, return_index=True, return_inverse=True)
+            assert all(a.tolist() == b.tolist() for a, b in zip(ngrams.different(x), want, strict=True))
+
+
+def test_selecting_many_equals_selecting_few():
+    v = np.sort(np.random.default_rng(1).integers(0, 1 << 20, 3000))
+    parts, bits, n = ngrams.EliasFano.encode(v)
+    ef = ngrams.EliasFano(dict(zip(parts, ngrams.mapped(list(parts.values())), strict=True)), bits, n)
+    assert ef.get(np.arange(n)).tolist() == v.tolist()
+    assert [int(ef.get(np.array([i]))[0]) for i in range(n)] == v.tolist()
