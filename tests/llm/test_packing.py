@@ -1,5 +1,6 @@
 """Packing: ids against the tokenizers library, every id once, little padding."""
 
+import random
 import zlib
 
 import numpy as np
@@ -31,6 +32,25 @@ def test_ids_equal_the_tokenizers_library(spark, reference):
         assert enc.ids(t).tolist() == reference.encode(t, add_special_tokens=False).ids, t[:80]
 
 
+def test_new_words_of_a_text_are_encoded_in_one_call(reference, monkeypatch):
+    rng = random.Random(8)
+    marks = ["a", "B", "é", "日", "7", ",", "'s", "\n", "\t", "\x1c", "\u00a0", "\u3000", "\x85", "😀"]
+    words = ["".join(rng.choices("abcdefgh,.'1", k=rng.randint(1, 9))) for _ in range(600)] + ["x" * 100]
+    enc = packing.Encoder(*packing.public_files())
+    calls, encode = [], enc.encode
+    monkeypatch.setattr(enc, "encode", lambda text: calls.append(text) or encode(text))
+    line = " ".join(words)
+    for text in (line, line, line[::-1] + "\n", "\n" + line):
+        calls.clear()
+        assert enc.ids(text).tolist() == reference.encode(text, add_special_tokens=False).ids
+        assert len(calls) <= 3
+    assert "x" * 100 not in enc.known
+    monkeypatch.setattr(packing, "CHUNKS", 50)  # what is remembered goes in between
+    for _ in range(2000):
+        text = "".join(rng.choices([*marks, " ", " ", " ", " a"], k=rng.randint(1, 14)))
+        assert enc.ids(text).tolist() == reference.encode(text, add_special_tokens=False).ids, text
+
+
 def check(rows, texts, reference, capacity=packing.CAPACITY):
     ids = {i: [*reference.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts}
     covered, sequences = {}, {}
