@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,42 @@ def test_crowd_around_a_passage_is_some_rows_a_document(spark, monkeypatch):
     assert 0 < sum(left) < 25 * len(rows)
 
 
+def test_crowd_of_copies_and_outliers_does_not_cost_all_pairs(spark, monkeypatch):
+    """Copies of one text in one group, and others of it that differ too much from nearly all of them."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 401):
+        w = list(base)
+        for k in range(1 if i <= 300 else 4):
+            w[rng.randrange(k * 37, k * 37 + 30)] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    tried = []
+    verified = nearcopies._verified
+
+    def counted(pairs, *rest):
+        tried.append(pairs.where("u <> v").distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(nearcopies, "_verified", counted)
+    got = dict(nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(9)).collect())
+    assert got == plain_groups(rows)
+    assert len(got) > 300
+    assert sum(tried) < 8 * len(rows)
+
+
+def test_parities_lose_no_pair(spark):
+    """A pair that has the similarity never differs in more parities than its sets allow."""
+    rng = random.Random(9)
+    for n in (1, 2, 5, 30, 200, 2000):
+        for _ in range(40):
+            both = [rng.randrange(1 << 31) for _ in range(n)]
+            a, b = ({*both, *[rng.randrange(1 << 31) for _ in range(rng.randint(0, n // 8 + 1))]} for _ in range(2))
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = (nearcopies.parities(np.array(sorted(s))) for s in (a, b))
+                assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= (len(a) + len(b)) * nearcopies.most_apart(0.8) + 1e-6
+
+
 @pytest.mark.parametrize("kind", ["substituted", "appended", "truncated", "merged"])
 def test_finds_copies_of_every_form_near_the_limit(spark, kind):
     """Pairs at 0.80-0.85, by the brute-force similarity."""
