@@ -5,7 +5,8 @@ import random
 import pyarrow as pa
 import pytest
 
-from sessionloom.functions.strips import pack, strips, unpack
+from sessionloom import session
+from sessionloom.functions.strips import over_strips, pack, strips, unpack
 from sessionloom.operators import lang, quality
 
 CH = "session_id long, idx long, ch string, ts_ms long"
@@ -83,3 +84,35 @@ def test_channels_side_by_side_from_arrow():
     assert quality._moments(table.filter(pa.array([True] + [False] * 5))).num_rows == 0
     none = table.filter(pa.array([False] * 3 + [True] + [False] * 2))
     assert quality._moments(none).num_rows == 0
+
+
+def test_token_columns_equal_the_regular_expression():
+    rng = random.Random(5)
+    signs = "ab'_ \t\n\r.,\u00e9\u0663\u0301\u6f22\U0001f600\u00a0\x0b-\x1c\u00bd\u200d"
+    for text in ["", " ", *("".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(500))]:
+        token, lo, hi = lang.token_spans(text)
+        assert list(zip(token.to_pylist(), lo.tolist(), hi.tolist(), strict=True)) == lang.regex_spans(text)
+
+
+def test_a_tokenizer_may_give_rows_or_columns(spark):
+    df = spark.createDataFrame([(s, i, c, i * 50) for s in (1, 2) for i, c in enumerate("It's one w\u00f6rld, or two " * 9)], CH)
+    got = [sorted(tuple(r) for r in lang.tokenize(df, 700, *t).collect()) for t in ((), (lang.regex_spans,))]
+    assert got[0] == got[1] and len(got[0]) == 2 * 9 * 6
+
+
+def test_bytes_of_small_rows_are_not_counted(spark):
+    of = lambda: spark.conf.get(session.BATCH_BYTES, None)
+    session.tune(spark)
+    usual = of()
+    session.tune(spark, small_rows=True)
+    assert of() == session.NO_LIMIT != usual
+    session.tune(spark)  # texts and large strips keep their limit
+    assert of() == usual
+
+
+def test_keys_without_the_needed_strip_are_not_unpacked(spark):
+    rows = spark.createDataFrame([(1, 0, 5), (1, 1, 6), (2, 0, 7)], "k long, tag byte, v long")
+    parts = strips(rows, ["k"], ["v"], tag="tag").selectExpr("k", "tag", "if(k = 2, CAST('broken' AS BINARY), body) AS body")
+    whole = lambda key, sides: {"v": sides[1][0], "w": sides[0][0]}
+    got = over_strips(parts, ["k"], whole, spark.createDataFrame([], "k long, v long, w long").schema, need=1)
+    assert [tuple(r) for r in got.collect()] == [(1, 6, 5)]
