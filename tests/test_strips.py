@@ -116,3 +116,8 @@ def test_keys_without_the_needed_strip_are_not_unpacked(spark):
     whole = lambda key, sides: {"v": sides[1][0], "w": sides[0][0]}
     got = over_strips(parts, ["k"], whole, spark.createDataFrame([], "k long, v long, w long").schema, need=1)
     assert [tuple(r) for r in got.collect()] == [(1, 6, 5)]
+
+
+def test_tokens_are_counted_once_for_the_vocabulary(spark):
+    out = lang.vocabulary(spark.createDataFrame([("b",), ("a",), ("b",)], "token string"))
+    assert "LogicalRDD" not in out._jdf.queryExecution().optimizedPlan().toString() and sorted((r["token"], r["n"]) for r in out.collect()) == [("a", 1), ("b", 2)]
