@@ -8,6 +8,7 @@ import pytest
 from sessionloom import session
 from sessionloom.functions.strips import over_strips, pack, strips, unpack
 from sessionloom.operators import lang, quality
+from sessionloom.plans import lang as plans
 
 CH = "session_id long, idx long, ch string, ts_ms long"
 
@@ -74,6 +75,20 @@ def test_view_of_tokens_in_order(spark):
     assert got == {(1, 0): ("a c", "a b C", 0.5), (2, 1): ("z", "z", 1.0)}
 
 
+def test_view_of_pieces_without_a_token(spark):
+    rows = [(1, 0, None, "b", True), (1, 1, None, None, False), (2, 1, "y", "y", True), (2, 0, "x", None, True), (2, 0, "w", None, True)]
+    df = spark.createDataFrame(rows, "session_id long, token_idx long, token string, corrected string, unchanged boolean").repartition(1)
+    got = {r["session_id"]: (r["original"], r["corrected"], r["score"]) for r in lang.correction_view(df, 3).collect()}
+    assert got == {1: ("", "b", 0.5), 2: ("w x y", "y", 1.0)}
+
+
+def test_rows_are_put_in_order_by_the_first_column_where_it_decides():
+    columns = [pa.array([3, 1, 2]), pa.array([None, 5, 4])]
+    assert [c.to_pylist() for c in lang._in_order(columns, 2)] == [[1, 2, 3], [5, 4, None]]
+    columns = [pa.array([3, 1, 1]), pa.array([None, 5, 4])]
+    assert [c.to_pylist() for c in lang._in_order(columns, 2)] == [[1, 1, 3], [4, 5, None]]
+
+
 def test_channels_side_by_side_from_arrow():
     table = pa.table({"session_id": [7] * 6, "channel": [2, 1, 1, 2, 3, 1], "sample": [0, 0, 0, 1, 1, 2], "y": [4.0, 1.0, 3.0, None, float("nan"), 5.0]})
     channels, x = quality._by_channel(table, "y")
@@ -121,3 +136,14 @@ def test_keys_without_the_needed_strip_are_not_unpacked(spark):
 def test_tokens_are_counted_once_for_the_vocabulary(spark):
     out = lang.vocabulary(spark.createDataFrame([("b",), ("a",), ("b",)], "token string"))
     assert "LogicalRDD" not in out._jdf.queryExecution().optimizedPlan().toString() and sorted((r["token"], r["n"]) for r in out.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_known_words_and_corrections_come_from_counted_tokens(spark):
+    rows = [("Their",)] * 5 + [("their",)] * 4 + [("thier",), ("Theis",), ("theirs",), ("...",), (None,)]
+    t = spark.createDataFrame([(1, k, w) for k, (w,) in enumerate(rows)], "session_id long, token_idx long, token string")
+    each = plans.counted(t)
+    assert {r["token"]: r["n"] for r in each.collect()} == {"Their": 5, "their": 4, "thier": 1, "Theis": 1, "theirs": 1, "...": 1, None: 1}
+    assert [tuple(r) for r in plans.known(each).collect()] == [tuple(r) for r in plans.known(t).collect()] == [("their", 9)]
+    got = sorted((r["token"], r["corrected"]) for r in plans.corrected(t).where("token <> corrected").collect())
+    assert got == sorted((r["token"], r["corrected"]) for r in lang.correct(t, plans.known(t)).where("token <> corrected").collect())
+    assert got == [("Theis", "Their"), ("theirs", "their")]
